@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.operators.spread import SLICE, spread_join
+from sparkmart.operators.spread import CELL, spread_join
 from sparkmart.schemas import BENEFIT_FLAGS
 
 BENEFITS = list(BENEFIT_FLAGS.values())
@@ -68,8 +68,8 @@ def raw_customers(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame
     customer = table(spark, sf_dir, "customer")
     held = spread_join(
         owners(spark, sf_dir), [customer.select(F.col("c_custkey").alias("owner"))], ["owner"],
-        how="inner", rows_per_slice=BUCKET_ROWS, keep_slice=True,
-    ).groupBy("owner", SLICE).agg(F.collect_set("account").alias("accounts"))
+        how="inner", rows_per_slice=BUCKET_ROWS, keep_cell=True,
+    ).groupBy("owner", CELL).agg(F.collect_set("account").alias("accounts"))
     docs = customer.join(held, customer.c_custkey == held.owner, "left")
 
     segment, balance, nation = F.col("c_mktsegment"), F.col("c_acctbal"), F.col("c_nationkey")
@@ -163,7 +163,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str, until: str | None = None)
     buckets that had been synced by then.  Orders with very many lines have several buckets.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
-    lines = table(spark, sf_dir, "lineitem") \
+    lineitem = table(spark, sf_dir, "lineitem")
+    lines = lineitem \
         .join(part, F.col("l_partkey") == F.col("p_partkey")) \
         .select("l_orderkey", "l_shipdate", "l_quantity", "l_returnflag", "l_discount",
                 "l_extendedprice", "p_brand", "p_retailprice")
@@ -172,7 +173,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str, until: str | None = None)
     if until is not None:
         orders = orders.filter(F.col("o_orderdate") <= F.lit(until).cast("timestamp_ntz"))
     placed = spread_join(lines, [orders], ["l_orderkey"], how="inner",
-                         rows_per_slice=BUCKET_ROWS, keep_slice=True)
+                         rows_per_slice=BUCKET_ROWS, count_from=lineitem, keep_cell=True)
     tx = F.struct(
         _iso(F.col("l_shipdate")).alias("date"),
         F.floor("l_quantity").cast("int").alias("amount"),
@@ -180,11 +181,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str, until: str | None = None)
         F.when(F.col("l_discount") != 0, F.col("p_brand")).alias("symbol"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         F.col("l_extendedprice").cast("decimal(10,2)").alias("total"))
-    buckets = placed.groupBy("l_orderkey", SLICE, "o_orderdate").agg(
+    buckets = placed.groupBy("l_orderkey", CELL, "o_orderdate").agg(
         F.collect_list(tx).alias("transactions"), F.count(F.lit(1)).alias("transaction_count"),
         F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
     return _envelope(
-        buckets, F.concat(F.lit("T"), "l_orderkey", F.lit("-"), SLICE),
+        buckets, F.concat(F.lit("T"), "l_orderkey", F.lit("-"), CELL),
         [F.col("l_orderkey").alias("account_id"), F.col("transaction_count"),
          _iso(F.col("first")).alias("bucket_start_date"),
          _iso(F.col("last")).alias("bucket_end_date"), F.col("transactions")],

@@ -445,9 +445,9 @@ def star_report(spark, sf):
         F.col("transaction_details_pk").alias("transaction_details_fk"), "transaction_type")
     dated = rows.join(F.broadcast(calendar), rows.transaction_date_fk == calendar.date_id)
     kept = spread_join(lookup_fk(dated, kinds, ["transaction_details_fk"]), [ledger],
-                       ["account_fk"], how="inner")
+                       ["account_fk"], how="inner", count_from=rows)
     return (
-        spread_join(kept, [people], ["customer_fk"], how="inner")
+        spread_join(kept, [people], ["customer_fk"], how="inner", count_from=rows)
         .groupBy("year", "quarter", "transaction_type", "gold_tier", "has_derivatives")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"),
              F.sum(F.col("amount") * F.col("unit_price")).alias("volume"))

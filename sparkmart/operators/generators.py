@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 
 def explode_array(df: DataFrame, array: str, item: str, keep_empty: bool = False) -> DataFrame:
-    """One row per array member.  Rows without members vanish unless ``keep_empty``."""
-    generate = F.explode_outer if keep_empty else F.explode
-    return df.withColumn(item, generate(array))
+    """One row per array member.  Rows without members vanish unless ``keep_empty``.
+
+    A plain ``explode`` of a column makes Spark add a filter on the array's size, and pushes it
+    below the projection that makes the array: with arrays out of ``from_json`` every document
+    would be decoded twice.  An expression as input keeps that filter away.
+    """
+    if keep_empty:
+        return df.withColumn(item, F.explode_outer(array))
+    return df.withColumn(item, F.explode(F.coalesce(array, F.array())))
 
 
 def explode_map(df: DataFrame, entries: str, key: str, value: str) -> DataFrame:

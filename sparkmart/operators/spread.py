@@ -8,70 +8,105 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 4_000_000
-SLICE = "_slice"
+CELL = "_cell"
 
 
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows, and how many slices they need.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int, name: str) -> DataFrame:
+    """Keys with more than ``rows_per_slice`` rows, and in ``name`` how many slices they need.
 
-    Counted with a map-side combine.  At most ``rows / rows_per_slice`` keys can qualify:
-    2,500 for ten billion rows, 2.5 million short rows for ten trillion.  That bound is what
-    makes it safe to broadcast the result.
+    Counted with a map-side combine.  At most ``rows / rows_per_slice`` keys can qualify: at the
+    default 2,500 for ten billion rows, 2.5 million short rows for ten trillion.  That bound is
+    what makes it safe to broadcast the result.
     """
+    rows = F.count(F.lit(1))
     return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_slice)
-        .select(*keys, F.ceil(F.col("_rows") / rows_per_slice).cast("int").alias("_slices"))
+        df.groupBy(*keys).agg(rows.alias("_rows")).filter(F.col("_rows") > rows_per_slice)
+        .select(*keys, F.ceil(F.col("_rows") / rows_per_slice).cast("int").alias(name))
     )
 
 
 def _with_slices(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    hot = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_slices")
+    """Add ``_slices`` and ``_parts`` of the row's key, 1 and 1 unless it is hot."""
     same = _all([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    marked = df.join(F.broadcast(hot), same, "left")
+    marked = df.join(F.broadcast(hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})),
+                     same, "left")
+    one = F.lit(1)
     return (
-        marked.withColumn("_slices", F.coalesce("_slices", F.lit(1)))
+        marked.withColumns({"_slices": F.coalesce("_slices", one),
+                            "_parts": F.coalesce("_parts", one)})
         .drop(*[f"_hot_{k}" for k in keys])
     )
 
 
+def _deal(share: str) -> Column:
+    """Deal rows out over ``share`` groups by position, so that copies of a row are spread too."""
+    row = F.xxhash64(F.monotonically_increasing_id())
+    return F.when(F.col(share) == 1, 0).otherwise(F.pmod(row, F.col(share))).cast("int")
+
+
 def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how: str = "left",
-                null_safe: bool = False, rows_per_slice: int = ROWS_PER_SLICE,
-                keep_slice: bool = False) -> DataFrame:
+                many: DataFrame | None = None, null_safe: bool = False,
+                rows_per_slice: int = ROWS_PER_SLICE, count_from: DataFrame | None = None,
+                keep_cell: bool = False) -> DataFrame:
     """Join ``big`` with each lookup on ``keys`` (``how`` is ``left`` or ``inner``).
 
-    The rows of a hot key are dealt out over several slices and the lookup rows of that key are
-    repeated once per slice; all other keys have one slice.  ``big`` is shuffled once, on
-    (keys, slice), for all lookups together.  The result is that of the plain joins.
+    ``lookups`` have one row per key; ``many`` is one more lookup that may have any number.
+    The rows of a key that is hot in ``big`` are dealt out over slices, those of a key that is
+    hot in ``many`` over parts, and slices x parts make the key's cells.  Each row goes to the
+    cells of its slice or part, lookup rows to all cells of their key; other keys have one cell.
+    Every matching pair meets in exactly one cell, so the result is that of the plain joins, and
+    ``big`` is shuffled once, on (keys, cell), for all of them.
 
-    Slices go by row position, not by content, so that copies of one row are dealt out as well.
+    ``count_from`` may name a cheaper frame to count keys in that has all rows of ``big`` or more.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"a spread join is left or inner, not {how}")
-    hot = hot_keys(big.select(*keys), keys, rows_per_slice)
-    row = F.xxhash64(F.monotonically_increasing_id())
-    out = (
-        _with_slices(big, keys, hot)
-        .withColumn(SLICE, F.when(F.col("_slices") == 1, 0)
-                    .otherwise(F.pmod(row, F.col("_slices"))).cast("int"))
-        .drop("_slices")
-    )
-    for lookup in lookups:
-        per_slice = (
-            _with_slices(lookup, keys, hot)
-            .withColumn("_at", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-            .drop("_slices")
-            .withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    if not null_safe:  # a NULL key matches nothing
+        lookups = [lookup.dropna(subset=keys) for lookup in lookups]
+        many = many if many is None else many.dropna(subset=keys)
+    counted = (big if count_from is None else count_from).select(*keys)
+    hot = hot_keys(counted, keys, rows_per_slice, "_slices").withColumn("_parts", F.lit(1))
+    if many is not None:
+        parts = hot_keys(many.select(*keys), keys, rows_per_slice, "_parts")
+        hot = (
+            hot.unionByName(parts.withColumn("_slices", F.lit(1)))
+            .groupBy(*keys).agg(F.max("_slices").alias("_slices"), F.max("_parts").alias("_parts"))
         )
+
+    out = _with_slices(big, keys, hot).withColumn("_slice", _deal("_slices"))
+    if many is None:
+        out = out.withColumn(CELL, F.col("_slice"))
+    else:
+        first = F.col("_slice") * F.col("_parts")
+        out = out.withColumn(CELL, F.explode(F.sequence(first, first + F.col("_parts") - 1)))
+    out = out.drop("_slice", "_slices")
+
+    def join(left: DataFrame, right: DataFrame) -> DataFrame:
+        right = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
         match = [
             F.col(k).eqNullSafe(F.col(f"_key_{k}")) if null_safe
             else F.col(k) == F.col(f"_key_{k}")
             for k in keys
         ]
-        out = out.join(per_slice, _all([*match, F.col(SLICE) == F.col("_at")]), how)
-        out = out.drop("_at", *[f"_key_{k}" for k in keys])
-    return out if keep_slice else out.drop(SLICE)
+        joined = left.join(right, _all([*match, F.col(CELL) == F.col("_at")]), how)
+        return joined.drop("_at", *[f"_key_{k}" for k in keys])
+
+    for lookup in lookups:
+        last = F.col("_slices") * F.col("_parts") - 1
+        cells = F.explode(F.sequence(F.lit(0), last))
+        out = join(out, _with_slices(lookup, keys, hot).withColumn("_at", cells)
+                   .drop("_slices", "_parts"))
+    if many is not None:
+        dealt = _with_slices(many, keys, hot).withColumn("_part", _deal("_parts"))
+        cells = F.transform(F.sequence(F.lit(0), F.col("_slices") - 1),
+                            lambda s: s * F.col("_parts") + F.col("_part"))
+        out = join(out, dealt.withColumn("_at", F.explode(cells))
+                   .withColumn("_hit", F.lit(True)).drop("_part", "_slices", "_parts"))
+        # a key with parts does have matches, so a cell of it without one adds no row
+        out = out.filter(F.col("_hit").isNotNull() | (F.col("_parts") == 1)).drop("_hit")
+    out = out.drop("_parts")
+    return out if keep_cell else out.drop(CELL)

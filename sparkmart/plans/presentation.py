@@ -96,11 +96,12 @@ def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers
 
     ``customers`` and ``accounts`` are lookups of current rows.  The transactions are shuffled
     once, by account, for the account and the owner lookup together; owners are resolved to
-    customer keys before, on the much smaller bridge.
+    customer keys before, on the much smaller bridge.  Accounts with very many transactions or
+    very many owners are split over several tasks.
     """
     account_keys = accounts.select("account_id", F.col("account_sk").alias("account_fk"))
     owners = resolve_owners(bridge, customers)
-    joined = spread_join(transactions, [account_keys, owners], ["account_id"])
+    joined = spread_join(transactions, [account_keys], ["account_id"], many=owners)
     pairs = details.select(F.col("transaction_details_pk").alias("transaction_details_fk"),
                            *DETAIL_KEYS)
     reason = (

@@ -20,10 +20,7 @@ def process_customers(raw: DataFrame) -> DataFrame:
 
     Customers without accounts drop out; customers without tiers stay.
     """
-    docs = parse_envelope(raw, CUSTOMER_DOC)
-    per_account = explode_array(docs, "data.accounts", "account_id")
-    per_tier = explode_map(per_account, "data.tier_and_details", "tier_key", "tier_details")
-    return per_tier.select(
+    docs = parse_envelope(raw, CUSTOMER_DOC).select(
         F.col("_id").alias("id"),
         F.col("data.username").alias("user_name"),
         "data.name",
@@ -31,12 +28,14 @@ def process_customers(raw: DataFrame) -> DataFrame:
         iso_to_date(F.col("data.birthdate")).alias("birth_date"),
         "data.email",
         F.col("data.active").alias("active_customer"),
-        "account_id",
-        "tier_key",
-        "tier_details.tier",
-        "tier_details.benefits",
-        F.col("tier_details.active").alias("tier_active"),
         F.col(SYNCED).alias("ingest_date"),
+        "data",
+    )
+    per_account = explode_array(docs, "data.accounts", "account_id")
+    return explode_map(per_account, "data.tier_and_details", "tier_key", "details").select(
+        "id", "user_name", "name", "address", "birth_date", "email", "active_customer",
+        "account_id", "tier_key", "details.tier", "details.benefits",
+        F.col("details.active").alias("tier_active"), "ingest_date",
     )
 
 
@@ -51,22 +50,28 @@ def process_accounts(raw: DataFrame) -> DataFrame:
 
 def decode_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
     """One row per transaction of the buckets synced after the mark, usable or not."""
-    buckets = parse_envelope(newer_than(raw, SYNCED, mark), TRANSACTION_DOC)
-    rows = explode_array(buckets, "data.transactions", "tx")
-    made = F.col("tx.date")
-    return rows.select(
-        composite_key(F.col("data.account_id"), iso_to_epoch(made)).alias("transaction_id"),
+    buckets = parse_envelope(newer_than(raw, SYNCED, mark), TRANSACTION_DOC).select(
         "data.account_id",
+        iso_to_date(F.col("data.bucket_start_date")).alias("bucket_start_date"),
+        iso_to_date(F.col("data.bucket_end_date")).alias("bucket_end_date"),
+        "data.transaction_count",
+        F.col(SYNCED).alias("ingest_date"),
+        "data",
+    )
+    made = F.col("tx.date")
+    return explode_array(buckets, "data.transactions", "tx").select(
+        composite_key(F.col("account_id"), iso_to_epoch(made)).alias("transaction_id"),
+        "account_id",
         iso_to_date(made).alias("transaction_date"),
         F.col("tx.transaction_code").alias("transaction_type"),
         "tx.symbol",
         "tx.amount",
         F.col("tx.price").alias("unit_price"),
         F.col("tx.total").alias("total_price"),
-        iso_to_date(F.col("data.bucket_start_date")).alias("bucket_start_date"),
-        iso_to_date(F.col("data.bucket_end_date")).alias("bucket_end_date"),
-        "data.transaction_count",
-        F.col(SYNCED).alias("ingest_date"),
+        "bucket_start_date",
+        "bucket_end_date",
+        "transaction_count",
+        "ingest_date",
     )
 
 
