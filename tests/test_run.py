@@ -1,0 +1,204 @@
+"""Whole loads over hand-made documents: three runs, repeats, broken runs."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
+from sparkmart import schemas as S
+from sparkmart.operators.quality import check_not_null, check_one_current
+from sparkmart.plans import run as run_module
+from sparkmart.plans.run import TABLES, run_pipeline
+from sparkmart.sources.store import TableStore
+from tests.test_processed import bucket, envelope, move, person, tier
+
+T1 = datetime(2024, 5, 3, 2)
+T2, T3 = T1 + timedelta(days=7), T1 + timedelta(days=14)
+OK, BAD = "is_rejected=false", "is_rejected=true"
+SYNC = [datetime(2024, 5, d) for d in (1, 8, 15)]
+
+
+def collections(spark, people, accounts, buckets, deleted=()):
+    def frame(docs):
+        df = envelope(spark, docs)
+        rows = [(r._id, r.data, r._fivetran_synced, r._id in deleted) for r in df.collect()]
+        return spark.createDataFrame(rows, S.ENVELOPE)
+    return {"customers": frame(people), "accounts": frame(accounts),
+            "transactions": frame(buckets)}
+
+
+def account(number, *products, limit=1):
+    return (f"acc{number}", {"account_id": number, "limit": limit, "products": list(products)},
+            SYNC[0])
+
+
+def who(name, accounts, address="home"):
+    return (name, person(accounts, {"k": tier("Gold")}, address=address), SYNC[0])
+
+
+FIRST = ([who("ann", [1, 2]), who("bob", [2])],
+         [account(1, "Brokerage"), account(2), account(3)],
+         [("b1", bucket(1, move(), move(symbol=None), move("1960-01-01T00:00:00Z")), SYNC[0]),
+          ("b2", bucket(2, move(amount=5)), SYNC[0]),
+          ("b3", bucket(3, move(amount=7)), SYNC[0])])
+SECOND = ([who("ann", [1, 2], "moved"), who("bob", [2]), who("cat", [3, 9])],
+          [account(1, "Commodity"), account(2), account(3)],
+          FIRST[2] + [("b4", bucket(1, move(symbol="new", transaction_code="sell")), SYNC[1]),
+                      ("b9", bucket(9, move()), SYNC[1])])
+
+
+def facts(store, part=OK):
+    schema = S.FACT_TRANSACTION + ", reject_reason string"
+    return store.appended("fact_transaction", schema, part=part)
+
+
+def dump(store):
+    dims = {"dim_customer": S.DIM_CUSTOMER, "dim_account": S.DIM_ACCOUNT}
+    out = {t: sorted(map(str, store.versions(t, s).collect())) for t, s in dims.items()}
+    out["details"] = sorted(map(str, store.snapshot(
+        "dim_transaction_details", S.DIM_TRANSACTION_DETAILS).collect()))
+    out["facts"] = sorted(map(str, facts(store).drop("fact_transactions_pk").collect()))
+    out["rejects"] = sorted(map(str, facts(store, BAD).drop("fact_transactions_pk").collect()))
+    out["moves"] = sorted(map(str, store.appended(
+        "transaction", S.PROCESSED_TRANSACTION, part=OK).collect()))
+    return out
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    store = TableStore(spark, str(tmp_path_factory.mktemp("run") / "tables"))
+    run_pipeline(spark, store, collections(spark, *FIRST), T1)
+    first = dump(store)
+    run_pipeline(spark, store, collections(spark, *SECOND), T2)
+    return store, first
+
+
+def test_first_and_second_run(spark, loaded):
+    store, first = loaded
+    assert all(store.runs(t)[0].startswith("20240503") for t in TABLES)
+    assert store.runs("dim_date") == store.runs("customer")[:1]
+    rows = facts(store).collect()
+    # first run: 2 moves of ann's account 1, 1 move of joint account 2 (two owners);
+    # second run: 1 move of account 1
+    assert sorted((r.customer_bk, r.account_bk, r.amount) for r in rows) == [
+        ("ann", 1, 1), ("ann", 1, 1), ("ann", 1, 1), ("ann", 2, 5), ("bob", 2, 5)]
+    assert len({r.fact_transactions_pk for r in rows}) == 5
+    assert check_one_current(store.versions("dim_customer", S.DIM_CUSTOMER), "customer_bk") \
+        .first().violations == 0
+    broken = check_not_null(facts(store), S.NOT_NULL["fact_transaction"]).collect()
+    assert all(r.violations == 0 for r in broken)
+
+
+def test_q12_every_row_is_loaded_once_although_runs_share_a_day(loaded):
+    store, _ = loaded
+    stamps = sorted(r.create_date for r in facts(store).collect())
+    assert stamps == [T1] * 4 + [T2]
+
+
+def test_q14_rows_without_keys_are_rejected_with_a_reason(loaded):
+    store, _ = loaded
+    found = {(r.account_bk, r.customer_bk, r.reject_reason) for r in facts(store, BAD).collect()}
+    assert found == {(3, None, "account has no owner"),
+                     (9, "cat", "account is not in the account dimension")}
+
+
+def test_q2_undated_rows_are_kept_apart(loaded):
+    store, _ = loaded
+    lost = store.appended("transaction", S.PROCESSED_TRANSACTION, part=BAD).collect()
+    assert [(r.account_id, r.transaction_id) for r in lost] == [(1, None)]
+
+
+def test_q7_q25_facts_stay_on_the_version_they_were_loaded_with(loaded):
+    store, _ = loaded
+    people = {r.customer_sk: r for r in store.versions("dim_customer", S.DIM_CUSTOMER).collect()}
+    linked = sorted((r.create_date, people[r.customer_fk].address) for r in facts(store).collect()
+                    if r.customer_bk == "ann" and r.account_bk == 1)
+    assert linked == [(T1, "home"), (T1, "home"), (T2, "moved")]
+
+
+def test_q13_null_symbols_find_their_details(loaded):
+    store, _ = loaded
+    details = store.snapshot("dim_transaction_details", S.DIM_TRANSACTION_DETAILS).collect()
+    assert {(r.transaction_type, r.symbol) for r in details} == {
+        (t, s) for t in ("buy", "sell") for s in ("s", "new", None)}
+    assert len(details) == 6
+    assert all(r.transaction_details_fk is not None for r in facts(store).collect())
+
+
+def test_q5_first_run_rows_of_closed_versions(loaded):
+    store, _ = loaded
+    ann = [r for r in store.versions("dim_customer", S.DIM_CUSTOMER).collect()
+           if r.customer_bk == "ann"]
+    assert sorted((r.address, r.start_date, r.end_date, r.is_current) for r in ann) == [
+        ("home", T1.date(), T2.date(), False), ("moved", T2.date(), None, True)]
+
+
+def test_a_repeated_run_changes_nothing(spark, loaded):
+    store, _ = loaded
+    before = dump(store)
+    run_pipeline(spark, store, collections(spark, *FIRST), T2)
+    assert dump(store) == before
+
+
+def test_runs_go_forward_in_time(spark, loaded):
+    store, _ = loaded
+    with pytest.raises(ValueError):
+        run_pipeline(spark, store, collections(spark, *FIRST), T1 - timedelta(days=1))
+
+
+def test_a_broken_run_goes_on_and_later_runs_pick_up_what_is_left(spark, tmp_path, monkeypatch,
+                                                                 loaded):
+    store = TableStore(spark, str(tmp_path / "tables"))
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(run_module, "build_fact_transaction", fail)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, store, collections(spark, *FIRST), T1)
+    assert store.runs("dim_customer") and not store.runs("fact_transaction")
+    run_pipeline(spark, store, collections(spark, *FIRST), T1.replace(tzinfo=timezone.utc))
+    assert dump(store) == loaded[1]
+
+    # the next run's fact breaks and is never repeated: the run after it loads both
+    with monkeypatch.context() as patch:
+        patch.setattr(run_module, "build_fact_transaction", fail)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, store, collections(spark, *SECOND), T2)
+    run_pipeline(spark, store, collections(spark, *SECOND), T3)
+    whole = dump(loaded[0])
+    got = dump(store)
+    assert got["moves"] == whole["moves"]
+    assert [f.replace(str(T3.day), "x") for f in got["facts"]] != [] and \
+        len(got["facts"]) == len(whole["facts"]) and len(got["rejects"]) == len(whole["rejects"])
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_q16_resynced_buckets(spark, tmp_path, skip):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    run_pipeline(spark, store, collections(spark, *FIRST), T1)
+    again = [(i, d, SYNC[1]) for i, d, _ in FIRST[2]]
+    later = collections(spark, FIRST[0], FIRST[1], again + SECOND[2][3:4])
+    run_pipeline(spark, store, later, T2, skip_loaded=skip)
+    moves = store.appended("transaction", S.PROCESSED_TRANSACTION, part=OK)
+    assert moves.count() == (5 if skip else 9)
+    assert facts(store).count() == (5 if skip else 9)
+
+
+def test_q17_deleted_documents_can_be_left_out(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    raw = collections(spark, *FIRST, deleted=("b1", "bob"))
+    run_pipeline(spark, store, raw, T1, drop_deleted=True)
+    assert sorted((r.customer_bk, r.account_bk) for r in facts(store).collect()) == [("ann", 2)]
+
+
+def test_collections_can_be_paths(spark, tmp_path):
+    paths = {}
+    for name, df in collections(spark, *FIRST).items():
+        paths[name] = str(tmp_path / name)
+        df.write.parquet(paths[name])
+    store = TableStore(spark, str(tmp_path / "tables"))
+    run_pipeline(spark, store, paths, T1)
+    assert facts(store).count() == 4
