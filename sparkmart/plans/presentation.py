@@ -25,17 +25,26 @@ def customer_grain(processed: DataFrame) -> DataFrame:
 
     Attributes come from the newest document.  Flags hold if any row of the customer has the
     value, whether or not the tier is active.
+
+    The rows of one document share all attributes, so they are first combined per document,
+    which Spark does by hashing, before the shuffle.  Only then is the newest document picked,
+    by a maximum of structs, which it does by sorting: one row per document instead of one per
+    account and tier.
     """
     attributes = ["name", "user_name", "address", "birth_date", "email", "active_customer"]
-    newest = F.max(F.struct("ingest_date", *attributes)).alias("_newest")
-    tiers = presence_flags(F.col("tier"), TIER_FLAGS)
-    benefits = array_presence_flags(F.col("benefits"), BENEFIT_FLAGS)
-    grouped = processed.groupBy(F.col("id").alias("customer_bk")).agg(newest, *tiers, *benefits)
+    flags = [*TIER_FLAGS, *BENEFIT_FLAGS]
+    documents = processed.groupBy(
+        F.col("id").alias("customer_bk"), "ingest_date", *attributes
+    ).agg(*presence_flags(F.col("tier"), TIER_FLAGS),
+          *array_presence_flags(F.col("benefits"), BENEFIT_FLAGS))
+    grouped = documents.groupBy("customer_bk").agg(
+        F.max(F.struct("ingest_date", *attributes)).alias("_newest"),
+        *[F.bool_or(F.col(f"`{flag}`")).alias(flag) for flag in flags])
     return grouped.select(
         "customer_bk",
         *[F.col(f"_newest.{c}").alias(c) for c in attributes[:-1]],
         to_bool(F.col("_newest.active_customer")).alias("active_customer"),
-        *[F.col(f"`{c}`") for c in [*TIER_FLAGS, *BENEFIT_FLAGS]],
+        *[F.col(f"`{flag}`") for flag in flags],
     )
 
 
