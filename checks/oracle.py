@@ -243,9 +243,9 @@ BODIES = {
     "raw_scan_live": """
         select cast(event_id as varchar) as _id, cast(ts as varchar) as _fivetran_synced
         from events where event_type <> 'error'""",
-    "current_versions": f"""
+    "current_rows": f"""
         select {CUSTOMER_COLUMNS}, {VERSION_COLUMNS} from dim_customer_2 where is_current""",
-    "lookup_keys": "select customer_sk, customer_bk from dim_customer_2 where is_current",
+    "lookup_view": "select customer_sk, customer_bk from dim_customer_2 where is_current",
     "snapshot_refresh": """
         select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
             cast(o_orderdate as varchar) as o_orderdate, o_orderpriority from orders""",
@@ -264,13 +264,13 @@ BODIES = {
             cast(p_partkey as integer) as p_partkey, cast(p_size as bigint) as p_size,
             cast(null as varchar) as p_note
         from part""",
-    "defaults_filled": f"""
+    "with_defaults": f"""
         select 'A' || account_id as id, account_id, "limit", {SYNCED_1} as ingest_date,
             '2024-05-03 00:00:00' as create_date
         from accounts_1""",
     "surrogate_keys": f"""
         select c_name, {_key(["c_name"], "1000")} as sk from customer""",
-    "envelope_fields": """
+    "parse_envelope": """
         select cast(event_id as varchar) as _id,
             cast(json_extract(props, '$.k') as integer) as k
         from events""",
@@ -297,7 +297,7 @@ BODIES = {
         select account_id, strftime(transaction_date, '%Y-%m-%dT00:00:00Z') as date, amount, symbol,
             cast(unit_price as double) as price, cast(total_price as double) as total
         from tx""",
-    "iso_dates": """
+    "iso_to_date": """
         select o_orderkey, cast(cast(o_orderdate as date) as varchar) as day,
             cast(epoch(o_orderdate) as bigint) as epoch
         from orders""",
@@ -305,8 +305,8 @@ BODIES = {
         select event_id, cast(cast(ts as date) as varchar) as day,
             cast(floor(epoch(ts)) as bigint) as epoch
         from events""",
-    "transaction_ids": "select transaction_id, account_id from tx",
-    "date_keys": """
+    "transaction_id": "select transaction_id, account_id from tx",
+    "date_key": """
         select cast(cast(l_shipdate as date) as varchar) as day, count(*) as n_rows,
             cast(strftime(l_shipdate, '%Y%m%d') as integer) as date_id
         from lineitem group by all""",
@@ -323,13 +323,13 @@ BODIES = {
         select 'A' || account_id as id, account_id, "limit", products, {SYNCED_1} as ingest_date
         from accounts_1""",
     "process_transactions": f"select {TX_COLUMNS} from tx",
-    "newest_by_key": """
+    "latest_by_key": """
         select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
             cast(o_orderdate as varchar) as o_orderdate, o_orderpriority
         from orders
         qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey) = 1""",
-    "resync_dropped": f"select {TX_COLUMNS} from tx where ingest_date > {CUTOFF}",
-    "high_water_marks": """
+    "drop_loaded": f"select {TX_COLUMNS} from tx where ingest_date > {CUTOFF}",
+    "high_water_mark": """
         select 'orders' as source, cast(max(o_orderdate) as varchar) as mark from orders
         union all select 'lineitem', cast(max(l_shipdate) as varchar) from lineitem
         union all select 'no rows', cast(coalesce(max(o_orderdate), timestamp '1900-01-01') as varchar)
@@ -338,7 +338,7 @@ BODIES = {
     "benefit_flags": "select customer_bk as id, "
                      + ", ".join(f'"{f}"' for f in BENEFIT_FLAGS) + " from customers_1",
     "product_flags": f"select account_id, {PRODUCT_COLUMNS} from accounts_1",
-    "bridge": "select owner as customer_bk, cast(account as integer) as account_id from owners",
+    "account_bridge": "select owner as customer_bk, cast(account as integer) as account_id from owners",
     "dim_customer": f"select {CUSTOMER_COLUMNS} from customers_1",
     "dim_account": f'select account_id, "limit", {PRODUCT_COLUMNS} from accounts_1',
     "dim_date": """
@@ -354,9 +354,9 @@ BODIES = {
         from generate_series(timestamp '1962-01-01', timestamp '2030-12-31', interval 1 day) t(d)
         left join (select transaction_date, count(*) as n, sum(total_price) as total
                    from tx group by 1) on transaction_date = cast(d as date)""",
-    "type_symbol_pairs": f"""
+    "junk_dimension": f"""
         select transaction_type, symbol, {SOURCE} as source_system from pairs""",
-    "scd1_merge": f"""
+    "scd1_upsert": f"""
         with p as (select *, case when p_brand <> 'Brand#25' then p_brand end as brand from part),
         old as (select {_key(["brand", "p_name"])} as pair_sk, brand, p_name
                 from (select distinct brand, p_name from p where p_size <= 30)),

@@ -56,10 +56,11 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def query(fn):
+    """Register a query under its function's name, less ``_query``."""
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return portable(fn(prepare(spark), str(sf_dir).rstrip("/")))
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -130,12 +131,12 @@ def raw_scan_live(spark, sf):
 
 
 @query
-def current_versions(spark, sf):
+def current_rows_query(spark, sf):
     return current_rows(second_customers(spark, sf), drop=["customer_sk"])
 
 
 @query
-def lookup_keys(spark, sf):
+def lookup_view_query(spark, sf):
     return lookup_view(second_customers(spark, sf), ["customer_bk"], "customer_sk")
 
 
@@ -177,7 +178,7 @@ def insert_by_name(spark, sf):
 
 
 @query
-def defaults_filled(spark, sf):
+def with_defaults_query(spark, sf):
     stamp = F.lit(str(RUN_1)).cast("timestamp")
     return with_defaults(accounts(spark, sf), {"create_date": stamp}).drop("products")
 
@@ -192,7 +193,7 @@ def surrogate_keys(spark, sf):
 
 
 @query
-def envelope_fields(spark, sf):
+def parse_envelope_query(spark, sf):
     docs = parse_envelope(raw.raw_events(spark, sf), "k int")
     return docs.select("_id", "data.k")
 
@@ -247,7 +248,7 @@ def explode_transactions(spark, sf):
 
 
 @query
-def iso_dates(spark, sf):
+def iso_to_date_query(spark, sf):
     text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return raw.table(spark, sf, "orders").select(
         "o_orderkey", iso_to_date(text).alias("day"), iso_to_epoch(text).alias("epoch"))
@@ -261,12 +262,12 @@ def iso_fractions(spark, sf):
 
 
 @query
-def transaction_ids(spark, sf):
+def transaction_id_query(spark, sf):
     return transactions(spark, sf).select("transaction_id", "account_id")
 
 
 @query
-def date_keys(spark, sf):
+def date_key_query(spark, sf):
     day = F.col("l_shipdate").cast("date")
     return raw.table(spark, sf, "lineitem").groupBy(day.alias("day")).agg(
         F.count(F.lit(1)).alias("n_rows")).withColumn("date_id", date_key(F.col("day")))
@@ -291,13 +292,13 @@ def process_transactions(spark, sf):
 
 
 @query
-def newest_by_key(spark, sf):
+def latest_by_key_query(spark, sf):
     return latest_by_key(raw.table(spark, sf, "orders"), ["o_custkey"], "o_orderdate",
                          ["o_orderkey"])
 
 
 @query
-def resync_dropped(spark, sf):
+def drop_loaded_query(spark, sf):
     """All buckets arrive again after those up to the cut-off were loaded."""
     rows = transactions(spark, sf)
     business = [c for c in rows.columns if c != "ingest_date"]
@@ -308,7 +309,7 @@ def resync_dropped(spark, sf):
 
 
 @query
-def high_water_marks(spark, sf):
+def high_water_mark_query(spark, sf):
     orders = raw.table(spark, sf, "orders")
     shipped = raw.table(spark, sf, "lineitem")
     later = newer_than(orders, "o_orderdate", "2100-01-01 00:00:00")
@@ -337,7 +338,7 @@ def product_flags(spark, sf):
 
 
 @query
-def bridge(spark, sf):
+def account_bridge_query(spark, sf):
     return account_bridge(customers(spark, sf))
 
 
@@ -365,12 +366,12 @@ def dim_date(spark, sf):
 
 
 @query
-def type_symbol_pairs(spark, sf):
+def junk_dimension_query(spark, sf):
     return with_source(junk_dimension(transactions(spark, sf), *P.DETAIL_KEYS))
 
 
 @query
-def scd1_merge(spark, sf):
+def scd1_upsert_query(spark, sf):
     part = raw.table(spark, sf, "part").withColumn(
         "brand", F.when(F.col("p_brand") != "Brand#25", F.col("p_brand")))
     target = assign_surrogate_keys(
