@@ -404,7 +404,8 @@ BODIES = {
         where owner is null or a.account_id is null
         group by all""",
     "fact_keys_unique": """
-        select 'fact_transactions_pk is unique' as rule, 0 as violations""",
+        select count(*) as n_rows, count(*) as n_keys
+        from tx left join owners on account = tx.account_id""",
     "star_report": """
         select cast(year(transaction_date) as integer) as year,
             cast(quarter(transaction_date) as integer) as quarter, transaction_type,

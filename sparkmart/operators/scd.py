@@ -40,8 +40,7 @@ def with_scd_columns(df: DataFrame, run_date: str | date,
 
 def changed(tracked: list[str], left: str, right: str) -> Column:
     """Does any tracked column differ?  A change to or from NULL is a change."""
-    differs = [~F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in tracked]
-    return reduce(lambda a, b: a | b, differs)
+    return F.expr(" or ".join(f"not ({left}.`{c}` <=> {right}.`{c}`)" for c in tracked))
 
 
 def unchanged_keys(updates: DataFrame, current: DataFrame, key: str,
@@ -57,10 +56,10 @@ def unchanged_keys(updates: DataFrame, current: DataFrame, key: str,
     return updates.select(key).join(moved, key, "left_anti")
 
 
-def _row(side: str, names: list[str], overrides: dict[str, Column]) -> Column:
-    return F.struct(*[
-        overrides.get(n, F.col(f"{side}.`{n}`")).alias(n) for n in names
-    ])
+def _row(side: str, names: list[str], overrides: dict[str, str]) -> str:
+    """SQL text of a struct with the columns ``names`` of one side of the join."""
+    values = (f"{overrides.get(n, f'{side}.`{n}`')} as `{n}`" for n in names)
+    return f"struct({', '.join(values)})"
 
 
 def scd2_delta(current: DataFrame, updates: DataFrame, key: str, tracked: list[str],
@@ -82,18 +81,17 @@ def scd2_delta(current: DataFrame, updates: DataFrame, key: str, tracked: list[s
     existing = current.select(F.col(key).alias("_key"), F.struct(*names).alias("c"))
     joined = incoming.join(existing, "_key", "full_outer")
 
-    day = F.lit(str(run_date)).cast("date")
-    open_version = {"end_date": F.lit(None).cast("date"), "is_current": F.lit(True)}
-    opened = _row("u", names, {sk: F.lit(None).cast("bigint"), "start_date": day, **open_version})
-    refreshed = _row("u", names, {sk: F.col(f"c.`{sk}`"), "start_date": F.col("c.start_date"),
-                                  **open_version})
-    closed = _row("c", names, {"end_date": day, "is_current": F.lit(False)})
+    day = f"date'{run_date}'"
+    still_open = {"end_date": "cast(null as date)", "is_current": "true"}
+    opened = _row("u", names, {sk: "cast(null as bigint)", "start_date": day, **still_open})
+    refreshed = _row("u", names, {sk: f"c.`{sk}`", "start_date": "c.start_date", **still_open})
+    closed = _row("c", names, {"end_date": day, "is_current": "false"})
     kept = _row("c", names, {})
     rows = (
-        F.when(F.col("c").isNull(), F.array(opened))
-        .when(F.col("u").isNull(), F.array(kept))
-        .when(changed(tracked, "u", "c"), F.array(closed, opened))
-        .otherwise(F.array(refreshed))
+        F.when(F.col("c").isNull(), F.expr(f"array({opened})"))
+        .when(F.col("u").isNull(), F.expr(f"array({kept})"))
+        .when(changed(tracked, "u", "c"), F.expr(f"array({closed}, {opened})"))
+        .otherwise(F.expr(f"array({refreshed})"))
     )
     merged = joined.select(F.inline(rows))
     fresh = assign_surrogate_keys(merged.filter(F.col(sk).isNull()), sk, [key], start)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +9,6 @@ ROWS_PER_SLICE = 4_000_000
 CELL = "_cell"
 
 
-def _all(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int, name: str) -> DataFrame:
     """Keys with more than ``rows_per_slice`` rows, and in ``name`` how many slices they need.
 
@@ -31,21 +25,17 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int, name: str) ->
 
 def _with_slices(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """Add ``_slices`` and ``_parts`` of the row's key, 1 and 1 unless it is hot."""
-    same = _all([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    marked = df.join(F.broadcast(hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})),
-                     same, "left")
-    one = F.lit(1)
-    return (
-        marked.withColumns({"_slices": F.coalesce("_slices", one),
-                            "_parts": F.coalesce("_parts", one)})
-        .drop(*[f"_hot_{k}" for k in keys])
-    )
+    same = F.expr(" and ".join(f"`{k}` <=> `_hot_{k}`" for k in keys))
+    renamed = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    return df.join(F.broadcast(renamed), same, "left").selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        "coalesce(_slices, 1) as _slices", "coalesce(_parts, 1) as _parts")
 
 
 def _deal(share: str) -> Column:
     """Deal rows out over ``share`` groups by position, so that copies of a row are spread too."""
-    row = F.xxhash64(F.monotonically_increasing_id())
-    return F.when(F.col(share) == 1, 0).otherwise(F.pmod(row, F.col(share))).cast("int")
+    return F.expr(f"if({share} = 1, 0, "
+                  f"cast(pmod(xxhash64(monotonically_increasing_id()), {share}) as int))")
 
 
 def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how: str = "left",
@@ -81,32 +71,27 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
     if many is None:
         out = out.withColumn(CELL, F.col("_slice"))
     else:
-        first = F.col("_slice") * F.col("_parts")
-        out = out.withColumn(CELL, F.explode(F.sequence(first, first + F.col("_parts") - 1)))
+        cells = "sequence(_slice * _parts, (_slice + 1) * _parts - 1)"
+        out = out.withColumn(CELL, F.expr(f"explode({cells})"))
     out = out.drop("_slice", "_slices")
 
+    equal = "<=>" if null_safe else "="
+    match = F.expr(" and ".join([*[f"`{k}` {equal} `_key_{k}`" for k in keys], f"{CELL} = _at"]))
+
     def join(left: DataFrame, right: DataFrame) -> DataFrame:
         right = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-        match = [
-            F.col(k).eqNullSafe(F.col(f"_key_{k}")) if null_safe
-            else F.col(k) == F.col(f"_key_{k}")
-            for k in keys
-        ]
-        joined = left.join(right, _all([*match, F.col(CELL) == F.col("_at")]), how)
-        return joined.drop("_at", *[f"_key_{k}" for k in keys])
+        return left.join(right, match, how).drop("_at", *[f"_key_{k}" for k in keys])
 
     for lookup in lookups:
-        last = F.col("_slices") * F.col("_parts") - 1
-        cells = F.explode(F.sequence(F.lit(0), last))
-        out = join(out, _with_slices(lookup, keys, hot).withColumn("_at", cells)
+        at = F.expr("explode(sequence(0, _slices * _parts - 1))")
+        out = join(out, _with_slices(lookup, keys, hot).withColumn("_at", at)
                    .drop("_slices", "_parts"))
     if many is not None:
+        at = F.expr("explode(sequence(_part, (_slices - 1) * _parts + _part, _parts))")
         dealt = _with_slices(many, keys, hot).withColumn("_part", _deal("_parts"))
-        cells = F.transform(F.sequence(F.lit(0), F.col("_slices") - 1),
-                            lambda s: s * F.col("_parts") + F.col("_part"))
-        out = join(out, dealt.withColumn("_at", F.explode(cells))
-                   .withColumn("_hit", F.lit(True)).drop("_part", "_slices", "_parts"))
+        out = join(out, dealt.withColumns({"_at": at, "_hit": F.lit(True)})
+                   .drop("_part", "_slices", "_parts"))
         # a key with parts does have matches, so a cell of it without one adds no row
-        out = out.filter(F.col("_hit").isNotNull() | (F.col("_parts") == 1)).drop("_hit")
+        out = out.filter("_hit or _parts = 1").drop("_hit")
     out = out.drop("_parts")
     return out if keep_cell else out.drop(CELL)

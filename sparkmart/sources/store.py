@@ -15,17 +15,23 @@ Run ids must sort in time order as text; ``run_id_of`` makes such ids.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def run_id_of(run_ts: datetime) -> str:
     return run_ts.strftime("%Y%m%dT%H%M%S%f")
 
 
+@cache
+def declared(schema: str) -> StructType:
+    return StructType.fromDDL(schema)
+
+
 def empty_table(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], declared(schema))
 
 
 def conform(df: DataFrame, schema: str) -> DataFrame:
@@ -33,12 +39,11 @@ def conform(df: DataFrame, schema: str) -> DataFrame:
 
     Columns the frame lacks are NULL; columns the schema lacks are left out.
     """
-    fields = empty_table(df.sparkSession, schema).schema.fields
     present = set(df.columns)
-    return df.select(*[
-        (F.col(f"`{f.name}`") if f.name in present else F.lit(None))
-        .cast(f.dataType).alias(f.name)
-        for f in fields
+    return df.selectExpr(*[
+        f"cast({f'`{f.name}`' if f.name in present else 'null'} as {f.dataType.simpleString()})"
+        f" as `{f.name}`"
+        for f in declared(schema).fields
     ])
 
 
@@ -74,8 +79,8 @@ class TableStore:
         reader = self.spark.read.option("basePath", f"{self.root}/{table}")
         if schema is None:
             return reader.option("mergeSchema", "true").parquet(*folders).drop("run")
-        names = [f.name for f in empty_table(self.spark, schema).schema.fields]
-        return reader.schema(schema).parquet(*folders).select(*[f"`{n}`" for n in names])
+        names = [f"`{name}`" for name in declared(schema).names]
+        return reader.schema(declared(schema)).parquet(*folders).select(*names)
 
     def _parts(self, table: str, runs: list[str], part: str | None) -> list[str]:
         if part is None:
