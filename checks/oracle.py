@@ -198,12 +198,14 @@ CTES = {
         join dim_account_1 a on a.account_id = tx.account_id
         join pairs p on p.transaction_type = tx.transaction_type
             and p.symbol is not distinct from tx.symbol""",
-    # what two runs load: run 1 up to the cut-off, run 2 the rest with the versions of batch 2
-    "run_facts": f"""
+    "first_facts": """
         select tx.*, owner, c.gold_tier, a.has_derivatives from tx
         join owners on account = tx.account_id
         join customers_1 c on c.customer_bk = owner
-        join accounts_1 a on a.account_id = tx.account_id where ingest_date <= {CUTOFF}
+        join accounts_1 a on a.account_id = tx.account_id""",
+    # what two runs load: run 1 up to the cut-off, run 2 the rest with the versions of batch 2
+    "run_facts": f"""
+        select * from first_facts where ingest_date <= {CUTOFF}
         union all
         select tx.*, owner, c.gold_tier, a.has_derivatives from tx
         join owners_2 on account = tx.account_id
@@ -226,6 +228,14 @@ VERSION_COLUMNS = f"cast(start_date as varchar) as start_date, " \
                   f"cast(end_date as varchar) as end_date, is_current, {SOURCE} as source_system"
 
 
+STAR = """
+    select cast(year(transaction_date) as integer) as year,
+        cast(quarter(transaction_date) as integer) as quarter, transaction_type,
+        gold_tier, has_derivatives, count(*) as n_rows, sum(amount) as amount,
+        cast(sum(amount * unit_price) as double) as volume
+    from {facts} group by all"""
+
+
 def _violations(rules: dict[str, str], table: str) -> str:
     return " union all ".join(
         f"select '{rule}' as rule, count(*) filter ({broken}) as violations from {table}"
@@ -406,12 +416,8 @@ BODIES = {
     "fact_keys_unique": """
         select count(*) as n_rows, count(*) as n_keys
         from tx left join owners on account = tx.account_id""",
-    "star_report": """
-        select cast(year(transaction_date) as integer) as year,
-            cast(quarter(transaction_date) as integer) as quarter, transaction_type,
-            gold_tier, has_derivatives, count(*) as n_rows, sum(amount) as amount,
-            cast(sum(amount * unit_price) as double) as volume
-        from run_facts group by all""",
+    "star_first_load": STAR.format(facts="first_facts"),
+    "star_report": STAR.format(facts="run_facts"),
     "dq_not_null": _violations({
         f"{c} is not null": f"where {c} is null"
         for c in ["transaction_id", "account_id", "transaction_date", "transaction_type",
