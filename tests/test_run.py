@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
 import pytest
 
 from sparkmart import schemas as S
+from sparkmart.operators import lookup
 from sparkmart.operators.quality import check_not_null, check_one_current
+from sparkmart.operators.spread import spread_join
+from sparkmart.plans import presentation
 from sparkmart.plans import run as run_module
 from sparkmart.plans.run import TABLES, run_pipeline
 from sparkmart.sources.store import TableStore
@@ -194,6 +198,18 @@ def test_q17_deleted_documents_can_be_left_out(spark, tmp_path):
     assert sorted((r.customer_bk, r.account_bk) for r in facts(store).collect()) == [("ann", 2)]
 
 
+def test_hot_keys_and_large_lookups_give_the_same_tables(spark, tmp_path, monkeypatch, loaded):
+    """Every key with more than one row is split, and nothing counts as small."""
+    split = partial(spread_join, rows_per_slice=1)
+    monkeypatch.setattr(presentation, "spread_join", split)
+    monkeypatch.setattr(lookup, "spread_join", split)
+    monkeypatch.setattr(lookup, "is_small", lambda df: False)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    run_pipeline(spark, store, collections(spark, *FIRST), T1)
+    run_pipeline(spark, store, collections(spark, *SECOND), T2)
+    assert dump(store) == dump(loaded[0])
+
+
 def test_collections_can_be_paths(spark, tmp_path):
     paths = {}
     for name, df in collections(spark, *FIRST).items():

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 
 from sparkmart import schemas as S
@@ -126,3 +127,23 @@ def test_q13_scd1_upsert(spark):
     assert len({r[0] for r in added}) == 2
     again = scd1_upsert(spark.createDataFrame(rows, schema), new, ["kind", "symbol"], "pk")
     assert {tuple(r) for r in again.collect()} == set(rows)
+
+
+def test_random_runs_against_a_plain_model(spark):
+    """Versions after four random batches, against a loop over the keys."""
+    rng = random.Random(7)
+    dim, model = empty_table(spark, SCHEMA), {}  # key -> list of [address, mail, start, end]
+    for day in DAYS:
+        batch = {f"k{i}": (rng.choice(["a", "b", None]), rng.choice(["m", "n", None]))
+                 for i in rng.sample(range(200), 150)}
+        for key, (address, mail) in batch.items():
+            versions = model.setdefault(key, [])
+            if versions and versions[-1][0] == address:
+                versions[-1][1] = mail
+                continue
+            if versions:
+                versions[-1][3] = day
+            versions.append([address, mail, day, None])
+        dim, rows = run(spark, dim, [(k, *v) for k, v in batch.items()], day)
+        got = sorted(map(str, [[r[1], r[2], r[3], r[4], r[5]] for r in rows.values()]))
+        assert got == sorted(str([k, *v]) for k, vs in model.items() for v in vs)
