@@ -19,6 +19,8 @@ def high_water_mark(df: DataFrame, col: str, default: str = FIRST_MARK) -> DataF
 def newer_than(df: DataFrame, col: str, mark: datetime | str) -> DataFrame:
     """Rows strictly newer than the mark.
 
-    The mark is a typed literal, so the comparison reaches the parquet scan.
+    The mark is a literal of the column's own kind of timestamp, with or without time zone, so
+    the column is compared as it is stored and the comparison reaches the parquet scan.
     """
-    return df.filter(F.col(col) > F.lit(mark).cast("timestamp"))
+    zoneless = df.select(col).schema[0].dataType.typeName() == "timestamp_ntz"
+    return df.filter(F.col(col) > F.lit(mark).cast("timestamp_ntz" if zoneless else "timestamp"))

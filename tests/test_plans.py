@@ -9,6 +9,7 @@ import pytest
 
 from sparkmart import schemas as S
 from sparkmart.operators.dedup import latest_by_key
+from sparkmart.operators.incremental import newer_than
 from sparkmart.operators.lookup import account_bridge, junk_dimension, lookup_view
 from sparkmart.plans import presentation as P
 from sparkmart.plans.processed import (
@@ -89,6 +90,14 @@ def test_marks_reach_the_scan(plans):
     assert "ReadSchema: struct<data:string,_fivetran_synced:timestamp>" in scan
 
 
+def test_marks_reach_the_scan_for_zoneless_timestamps(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([], "id int, at timestamp_ntz, rest string").write.parquet(path)
+    text = plan(newer_than(spark.read.parquet(path), "at", "2024-05-01 00:00:00").select("id"))
+    assert "GreaterThan(at,2024-05-01" in text and "cast(at" not in text
+    assert "ReadSchema: struct<id:int,at:timestamp_ntz>" in text
+
+
 def test_fact_reads_only_what_it_needs(plans):
     assert "struct<id:string,account_id:int>" in plans["fact"]
     assert "total_price" not in plans["fact"] and "bucket_start_date" not in plans["fact"]
