@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm.common import read
+from sparkmart.llm.credentials import scan_secrets
 from sparkmart.llm.mixing import mix_sources, mixing_sql
+from sparkmart.llm.pseudonyms import pseudonymise
+from sparkmart.llm.sentences import dedup_sentences
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -18,9 +21,24 @@ def query(fn):
     return fn
 
 
+@query
+def op2_sentence_spans(spark, sf_dir):
+    return dedup_sentences(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_linked_secrets(spark, sf_dir):
+    return scan_secrets(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_mix_sources(spark, sf_dir):
     return mix_sources(read(spark, sf_dir, "documents")).drop("source")
 
 
 ORACLE["op4_mix_sources"] = mixing_sql()
+
+
+@query
+def op5_feistel_pseudonyms(spark, sf_dir):
+    return pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"))
