@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm.common import read
 from sparkmart.llm.credentials import scan_secrets
+from sparkmart.llm.jaccard import jaccard_join, jaccard_sql
 from sparkmart.llm.mixing import mix_sources, mixing_sql
 from sparkmart.llm.pseudonyms import pseudonymise
 from sparkmart.llm.sentences import dedup_sentences
@@ -42,3 +43,11 @@ ORACLE["op4_mix_sources"] = mixing_sql()
 @query
 def op5_feistel_pseudonyms(spark, sf_dir):
     return pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op6_jaccard_join"] = jaccard_sql()
