@@ -42,6 +42,14 @@ def only_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if is_small(ids) else ids, key, "left_semi")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df`` unchanged; texts go to Python in batches of at most 500 rows and about 4 MB."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return df
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column, NULL as empty, without copying the text."""
     if column.null_count:

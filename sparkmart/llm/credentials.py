@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import row_slices, staged, text_buffer
+from sparkmart.llm.common import in_small_batches, row_slices, staged, text_buffer
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
@@ -103,7 +103,7 @@ def _scan(batches):
         counts = {k: np.zeros(n, np.int64) for k in KINDS[:3]}
         parts: list[list[dict]] = [[] for _ in range(n)]
         sha = [hashlib.sha256(b"").hexdigest()] * n
-        for lo, hi in row_slices(offs, 8 << 20):
+        for lo, hi in row_slices(offs, 2 << 20):
             for i in np.flatnonzero(_suspects(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])):
                 i = int(i) + lo
                 text = column[i].as_py() or ""
@@ -148,7 +148,7 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     scanned = staged(
-        docs.select("doc_id", "text").mapInArrow(
+        in_small_batches(docs.select("doc_id", "text")).mapInArrow(
             _scan, f"doc_id {doc_type}, n_assign bigint, n_access bigint, n_hex bigint, "
                    f"base_sha256 string, parts {PARTS}")
         .withColumn("rid", F.monotonically_increasing_id()))
@@ -173,7 +173,7 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     the others' rest goes with it.  Texts without a span are unchanged, NULL stays NULL.
     """
     names = docs.columns
-    scanned = docs.select(*names).mapInArrow(_with_parts, _schema_with_parts(docs)).withColumn(
+    scanned = in_small_batches(docs.select(*names)).mapInArrow(_with_parts, _schema_with_parts(docs)).withColumn(
         "_rid", F.monotonically_increasing_id())
     rows = staged(scanned)
     parts = rows.select(F.col("_rid").alias("rid"), F.inline("_parts"))

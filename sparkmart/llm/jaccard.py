@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import row_slices, staged, text_buffer
+from sparkmart.llm.common import in_small_batches, row_slices, staged, text_buffer
 from sparkmart.llm.components import components
 from sparkmart.llm.hashing import mix, shingles, words
 from sparkmart.operators.lookup import is_small
@@ -36,7 +36,7 @@ U = np.uint64
 def _sets(batch, size: int):
     """(row, sorted distinct shingle hashes) of the rows of a batch that have words."""
     buf, offs = text_buffer(batch.column("text"))
-    for lo, hi in row_slices(offs, 8 << 20):
+    for lo, hi in row_slices(offs, 2 << 20):
         w = words(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
         h, at = shingles(w, size)
         cut = np.searchsorted(w.row[at], np.arange(hi - lo + 1))
@@ -116,13 +116,14 @@ def _add_up_wide(pdf):
 
 
 def _prefixes(size: int, percent: int, classes: np.ndarray):
-    """(token, set_id, n, pos): the prefix of every set, once per batch."""
+    """(token, set_id, n, pos): the prefix of every set, once per task."""
     packed = zstandard.compress(classes.tobytes(), 3)
 
     def run(batches):
         rank = np.frombuffer(zstandard.decompress(packed), np.uint8)
+        seen = set()
         for batch in batches:
-            seen, out = set(), []
+            out = []
             for _, tokens in _sets(batch, size):
                 key, n = _set_id(tokens), len(tokens)
                 if key in seen:
@@ -244,7 +245,7 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
 
     field = docs.schema["doc_id"]
     doc_type = field.dataType.simpleString()
-    rows = docs.select("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
+    rows = in_small_batches(docs.select("doc_id", "text")).withColumn("rid", F.monotonically_increasing_id())
     described = staged(rows.mapInArrow(
         _describe(size, to_arrow_type(field.dataType)),
         f"kind int, rid bigint, doc_id {doc_type}, set_id bigint, n bigint, bits binary"))
@@ -255,13 +256,13 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     postings = (
         rows.mapInArrow(_prefixes(size, percent, frequency_classes(described)),
                         "token bigint, set_id bigint, n int, pos int")
-        .withColumn("block", F.expr("cast(floor(ln(n) / ln(1.25)) as int)"))
     )
     lists = (
         postings.groupBy("token").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"))
         .filter("lo < hi").select("token")
     )
-    hits = staged(postings.join(lists, "token").distinct())
+    block = F.expr("cast(floor(ln(n) / ln(1.25)) as int)")
+    hits = staged(postings.join(lists, "token").distinct().withColumn("block", block))
     pivots = hits.groupBy("token", "block").agg(F.min(F.struct("n", "set_id", "pos")).alias("p")).select(
         "token", "block", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("n", "set_id", "pos")])
     hits = staged(hits.join(pivots, ["token", "block"]))

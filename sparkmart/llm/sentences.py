@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import row_slices, text_buffer
+from sparkmart.llm.common import in_small_batches, row_slices, text_buffer
 from sparkmart.llm.hashing import Words, range_hash, words
 
 MIN_SENTENCES, MIN_WORDS = 2, 20
@@ -60,7 +60,7 @@ def _emit(min_sentences: int, min_words: int):
         for batch in batches:
             buf, offs = text_buffer(batch.column("text"))
             rid, doc = batch.column("_rid"), batch.column("doc_id")
-            for lo, hi in row_slices(offs, 8 << 20):
+            for lo, hi in row_slices(offs, 2 << 20):
                 part = buf[offs[lo]:offs[hi]]
                 w = words(part, offs[lo:hi + 1] - offs[lo])
                 h, row, pos, n, _ = spans(w, sentence_starts(w, part), min_sentences, min_words)
@@ -82,7 +82,7 @@ def _apply(min_sentences: int, min_words: int):
             total = np.zeros(batch.num_rows, np.int64)
             gone = np.zeros(batch.num_rows, np.int64)
             texts = []
-            for lo, hi in row_slices(offs, 8 << 20):
+            for lo, hi in row_slices(offs, 2 << 20):
                 part = buf[offs[lo]:offs[hi]]
                 begin = offs[lo:hi + 1] - offs[lo]
                 w = words(part, begin)
@@ -131,7 +131,7 @@ def dedup_sentences(docs: DataFrame, min_sentences: int = MIN_SENTENCES,
     text stays NULL, a text without words is left alone; other columns are ignored.  ``docs``
     must be a table that reads the same twice, rows included.
     """
-    rows = docs.select("doc_id", "text").withColumn("_rid", F.monotonically_increasing_id())
+    rows = in_small_batches(docs.select("doc_id", "text")).withColumn("_rid", F.monotonically_increasing_id())
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     found = rows.mapInArrow(_emit(min_sentences, min_words),
                             f"h bigint, doc_id {doc_type}, _rid bigint, pos int, n int")
