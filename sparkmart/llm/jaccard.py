@@ -7,8 +7,9 @@ positions of a shared shingle rule out is skipped.
 
 *Answers from similar sets.*  Only the links' components are asked for, so not all pairs of a list
 are compared: first each block's smallest set, its pivot, with the others.  A set that links with
-the pivot inherits its answers: partners of either are connected already.  What is left are pairs
-from different components, and of these a pair is skipped when the known distances of both to
+the pivot inherits its answers: partners of either are connected already.  While many are left,
+further rounds take other pivots from each list's largest component.  What is left then are all
+pairs from different components, and of these a pair is skipped when the known distances of both to
 their common pivot rule it out (the size of the symmetric difference is a metric).  Survivors are
 compared by parity bitmaps, whose Hamming distance never exceeds the symmetric difference, and
 then exactly, shingle by shingle.  No link between different sets is lost.
@@ -30,6 +31,8 @@ from sparkmart.operators.lookup import is_small
 SIZE, PERCENT = 5, 80
 #: Cells of the frequency sketch: 2 MB a task, 1 MB as sent to the tasks, whatever the input.
 SKETCH, SEGMENTS = 1 << 20, 16
+#: Pivots a set is compared with in a further round, and the number of such rounds.
+PICKS, MAX_TURNS = 6, 6
 U = np.uint64
 
 
@@ -231,6 +234,25 @@ def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, size: int, perc
             .withColumn("links", F.expr(f"100 * shared >= {percent} * (n_a + n_b - shared)")))
 
 
+def _more_stars(placed: DataFrame, mixed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a < b): each set outside a list's largest component with some sets inside it.
+
+    ``mixed`` names the long lists.  Every set picks one of its lists by hash, and every list's block offers ``PICKS`` sets of its
+    largest component by hash, other ones each turn; so there are at most ``PICKS`` pairs a set.
+    """
+    rows = placed.join(mixed.select("token", "top"), "token")
+    offers = F.array(*[F.min(F.struct(F.xxhash64("set_id", F.lit(turn * PICKS + k)).alias("h"), "set_id", "n", "pos"))
+                       for k in range(PICKS)])
+    pivots = rows.filter("root = top").groupBy("token", "block").agg(offers.alias("offers"))
+    choice = F.struct(F.xxhash64("token", "set_id", F.lit(turn)).alias("h"), "token", "block", "n", "pos")
+    chosen = rows.filter("root <> top").groupBy("set_id").agg(F.min(choice).alias("x"))
+    chosen = chosen.select("set_id", "x.token", "x.block", "x.n", "x.pos")
+    met = chosen.join(pivots, ["token", "block"]).withColumn("p", F.explode(F.array_distinct("offers")))
+    met = met.select("set_id", "n", "pos", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("set_id", "n", "pos")])
+    return met.filter(_possible("", "p_", percent)).select(
+        F.least("set_id", "p_set_id").alias("a"), F.greatest("set_id", "p_set_id").alias("b")).distinct()
+
+
 def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``.
 
@@ -272,20 +294,36 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     )
     tested = staged(bounded(stars, sets, percent))
     exact = staged(verified(tested.filter("alive"), rows, sets, size, percent))
-    links = exact.filter("links").select("a", "b")
-    first = staged(components(links))
-
-    # lists that still have sets of several components: those outside the largest against all
+    found = staged(components(exact.filter("links").select("a", "b")))
     known = tested.join(exact.select("a", "b", "shared"), ["a", "b"], "left").select(
         F.col("a").alias("p_set_id"), F.col("b").alias("set_id"), "low",
         F.expr("n_a + n_b - 2 * shared").alias("apart"))
-    placed = staged(
-        hits.join(first.withColumnsRenamed({"node": "set_id"}), "set_id", "left")
-        .withColumn("root", F.coalesce("root", "set_id"))
-        .join(known, ["p_set_id", "set_id"], "left"))
-    per = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
-    mixed = per.groupBy("token").agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("k"))
-    mixed = mixed.filter("k > 1").select("token", F.col("top.root").alias("top"))
+    hits = staged(hits.join(known, ["p_set_id", "set_id"], "left"))
+    n_hits = hits.count()
+
+    seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for turn in range(MAX_TURNS + 1):
+        placed = staged(
+            hits.join(found.withColumnsRenamed({"node": "set_id"}), "set_id", "left")
+            .withColumn("root", F.coalesce("root", "set_id")))
+        per = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
+        mixed = per.groupBy("token").agg(
+            F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k"))
+        mixed = staged(mixed.filter("k > 1").select(
+            "token", F.col("top.root").alias("top"), F.expr("(all - top.c) * all").alias("cost"), "all"))
+        long = mixed.filter(F.col("all") > 4 * PICKS)
+        if (long.agg(F.sum("cost")).first()[0] or 0) <= n_hits // 4 or turn == MAX_TURNS:
+            break
+        pairs = _more_stars(placed, long, turn, percent).join(seen, ["a", "b"], "left_anti")
+        pairs = staged(bounded(pairs, sets, percent))
+        seen = staged(seen.unionByName(pairs.select("a", "b")))
+        links = staged(verified(pairs.filter("alive"), rows, sets, size, percent).filter("links").select("a", "b"))
+        if not links.isEmpty():
+            old = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            found = staged(components(old.unionByName(links)))
+
+    # what is left in lists of several components: sets outside the largest one against all
+    mixed = mixed.select("token", "top")
     left = placed.join(mixed, "token").filter("root <> top").drop("top")
     left = left.withColumn("block", F.explode(F.expr("array(block - 1, block, block + 1)"))).alias("l")
     limit = f"l.n + r.n - 2 * {_overlap_needed('l.n', 'r.n', percent)}"
@@ -296,13 +334,11 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         f"{_possible('l.', 'r.', percent)} and {derived}"))
     pairs = cross.select(F.expr("least(l.set_id, r.set_id)").alias("a"),
                          F.expr("greatest(l.set_id, r.set_id)").alias("b")).distinct()
-    seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = staged(bounded(pairs.join(seen, ["a", "b"], "left_anti"), sets, percent).filter("alive"))
     more = staged(verified(rest, rows, sets, size, percent).filter("links").select("a", "b"))
 
-    found = first
     if not more.isEmpty():
-        found = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     of_set = sets.select("set_id", "doc_id").join(
         found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "root", F.coalesce("root", "set_id"))
@@ -335,3 +371,19 @@ reach(a, b) as (
   select r.a, e.b from reach r join both_ways e on e.a = r.b)
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, c.component_id
 from sets s join (select a, min(b) as component_id from reach group by a) c on c.a = s.doc_id"""
+
+
+def one_per_component(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, all columns kept.
+
+    Of several rows with that doc_id the one that sorts first by its columns' hash stays; rows with
+    a NULL doc_id stay when no other row of their component has one.
+    """
+    groups = jaccard_join(docs, size, percent).select("doc_id", "component_id").distinct()
+    first = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id"))
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.dropDuplicates(["doc_id"]) if _repeats(kept) else kept
+
+
+def _repeats(df: DataFrame) -> bool:
+    return not df.groupBy("doc_id").count().filter("count > 1").isEmpty()
