@@ -11,7 +11,9 @@ from sparkmart.llm.credentials import scan_secrets
 from sparkmart.llm.jaccard import jaccard_join, jaccard_sql
 from sparkmart.llm.mixing import mix_sources, mixing_sql
 from sparkmart.llm.pseudonyms import pseudonymise
+from sparkmart.llm.quality import classify
 from sparkmart.llm.sentences import dedup_sentences
+from sparkmart.llm.tiling import contaminated_pairs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +53,13 @@ def op6_jaccard_join(spark, sf_dir):
 
 
 ORACLE["op6_jaccard_join"] = jaccard_sql()
+
+
+@query
+def op9_string_tiling(spark, sf_dir):
+    return contaminated_pairs(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("_rid")
+
+
+@query
+def op10_attention_quality(spark, sf_dir):
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
