@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkmart.llm.common import read
 from sparkmart.llm.credentials import scan_secrets
 from sparkmart.llm.jaccard import jaccard_join, jaccard_sql
+from sparkmart.llm.language import identify
 from sparkmart.llm.mixing import mix_sources, mixing_sql
 from sparkmart.llm.pseudonyms import pseudonymise
 from sparkmart.llm.quality import classify
 from sparkmart.llm.sentences import dedup_sentences
 from sparkmart.llm.tiling import contaminated_pairs
+from sparkmart.llm.vectors import near_vectors, near_vectors_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +65,16 @@ def op9_string_tiling(spark, sf_dir):
 @query
 def op10_attention_quality(spark, sf_dir):
     return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op8_language_bitmasks(spark, sf_dir):
+    return identify(read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_collision_counting(spark, sf_dir):
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op1_collision_counting"] = near_vectors_sql()
