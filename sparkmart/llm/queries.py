@@ -14,6 +14,7 @@ from sparkmart.llm.mixing import mix_sources, mixing_sql
 from sparkmart.llm.pseudonyms import pseudonymise
 from sparkmart.llm.quality import classify
 from sparkmart.llm.sentences import dedup_sentences
+from sparkmart.llm.suffixes import dedup_suffixes
 from sparkmart.llm.tiling import contaminated_pairs
 from sparkmart.llm.vectors import near_vectors, near_vectors_sql
 
@@ -78,3 +79,8 @@ def op1_collision_counting(spark, sf_dir):
 
 
 ORACLE["op1_collision_counting"] = near_vectors_sql()
+
+
+@query
+def op7_deep_shallow_suffixes(spark, sf_dir):
+    return dedup_suffixes(read(spark, sf_dir, "documents"))

@@ -80,12 +80,11 @@ def _link_tiles(threshold: float):
     distance = float(np.sqrt(2 - 2 * threshold)) * (1 + 1e-9) + 1e-9
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        same = len(right) == 0
-        right = left if same else right
-        x, y = (np.array(s["embedding"].tolist(), dtype=float).reshape(len(s), -1) for s in (left, right))
+        same = bool((pdf["side"] == 2).any())  # a tile with itself
+        left, right = (pdf, pdf) if same else (pdf[pdf["side"] == 0], pdf[pdf["side"] == 1])
         rows = []
-        if len(x) and len(y):
+        if len(left) and len(right):
+            x, y = (np.array(s["embedding"].tolist(), dtype=float) for s in (left, right))
             dims = x.shape[1]
             nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
             turn = rotation(dims)
@@ -165,7 +164,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     near = cells.withColumn("strip2", F.explode(F.expr("array(strip, strip + 1)"))).join(
         other, ["label", "strip2"]).filter("strip < strip2 or tile <= tile2")
     work = staged(near.withColumn("job", F.monotonically_increasing_id()))
-    sides = work.select("label", "strip", "tile", "job", F.lit(0).alias("side")).unionByName(
+    side = F.expr("if(strip = strip2 and tile = tile2, 2, 0)").alias("side")
+    sides = work.select("label", "strip", "tile", "job", side).unionByName(
         work.filter("strip <> strip2 or tile <> tile2").select(
             "label", F.col("strip2").alias("strip"), F.col("tile2").alias("tile"), "job", F.lit(1).alias("side")))
     found = staged(
