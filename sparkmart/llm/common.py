@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from sparkmart.operators.lookup import is_small
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{table}.parquet")
 
@@ -31,9 +34,17 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from the table, which outlives executors."""
+    """Write ``df`` to the shared folder and go on from the table, which outlives executors.
+
+    The shuffle files behind it are of no use any more, so Spark is told to delete them then.
+    """
     spark, path = df.sparkSession, work_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

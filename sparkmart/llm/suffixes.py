@@ -67,7 +67,7 @@ def anchors(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     pad = np.zeros(LEFT, np.uint64)
     chosen = _slide(np.concatenate([pad, least, pad]), LEFT + 1, np.maximum)
     at = np.flatnonzero((chosen == h) & (h > 0))
-    return at, h[at], row[at].astype(np.int64)
+    return at, mix(h[at] ^ U(0x2545F4914F6CDD1D)), row[at].astype(np.int64)  # chosen hashes are small
 
 
 def contexts(buf: np.ndarray, offs: np.ndarray, at: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -418,11 +418,11 @@ def dedup_suffixes(docs: DataFrame) -> DataFrame:
     sent = chunks.select("cid", "size", "doc_id", "packed").mapInArrow(
         _send_hashes(parts), "part int, cids array<bigint>, sizes array<int>, hashes binary")
     twins = sent.groupBy("part").applyInPandas(_repeated, "cid bigint, twins binary")
-    twins = twins.groupBy("cid").agg(F.collect_list("twins").alias("twins"))
+    twins = staged(twins).groupBy("cid").agg(F.collect_list("twins").alias("twins"))
     around = chunks.select("cid", "size", "doc_id", "packed").join(twins, "cid", "left").mapInArrow(
         _send_contexts(parts), "part int, cid bigint, hashes binary, docs binary, bodies binary")
     replies = around.groupBy("part").applyInPandas(_answer, "cid bigint, hashes binary, spans binary")
-    replies = replies.groupBy("cid").agg(F.collect_list(F.struct("hashes", "spans")).alias("replies"))
+    replies = staged(replies).groupBy("cid").agg(F.collect_list(F.struct("hashes", "spans")).alias("replies"))
     out = chunks.join(replies, "cid", "left").mapInArrow(
         _mark, "doc_id bigint, rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return out.drop("rid")
