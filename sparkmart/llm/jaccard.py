@@ -32,7 +32,7 @@ SIZE, PERCENT = 5, 80
 #: Cells of the frequency sketch: 2 MB a task, 1 MB as sent to the tasks, whatever the input.
 SKETCH, SEGMENTS = 1 << 20, 16
 #: Pivots a set is compared with in a further round, and the number of such rounds.
-PICKS, MAX_TURNS = 6, 6
+PICKS, MAX_TURNS = 6, 3
 U = np.uint64
 
 
@@ -238,7 +238,8 @@ def _more_stars(placed: DataFrame, mixed: DataFrame, turn: int, percent: int) ->
     """Pairs (a < b): each set outside a list's largest component with some sets inside it.
 
     ``mixed`` names the long lists.  Every set picks one of its lists by hash, and every list's block offers ``PICKS`` sets of its
-    largest component by hash, other ones each turn; so there are at most ``PICKS`` pairs a set.
+    largest component by hash, other ones each turn; so there are at most
+    ``PICKS`` pairs a set and block.
     """
     rows = placed.join(mixed.select("token", "top"), "token")
     offers = F.array(*[F.min(F.struct(F.xxhash64("set_id", F.lit(turn * PICKS + k)).alias("h"), "set_id", "n", "pos"))
@@ -246,7 +247,8 @@ def _more_stars(placed: DataFrame, mixed: DataFrame, turn: int, percent: int) ->
     pivots = rows.filter("root = top").groupBy("token", "block").agg(offers.alias("offers"))
     choice = F.struct(F.xxhash64("token", "set_id", F.lit(turn)).alias("h"), "token", "block", "n", "pos")
     chosen = rows.filter("root <> top").groupBy("set_id").agg(F.min(choice).alias("x"))
-    chosen = chosen.select("set_id", "x.token", "x.block", "x.n", "x.pos")
+    around = F.explode(F.expr("array(x.block - 1, x.block, x.block + 1)")).alias("block")
+    chosen = chosen.select("set_id", "x.token", around, "x.n", "x.pos")
     met = chosen.join(pivots, ["token", "block"]).withColumn("p", F.explode(F.array_distinct("offers")))
     met = met.select("set_id", "n", "pos", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("set_id", "n", "pos")])
     return met.filter(_possible("", "p_", percent)).select(
