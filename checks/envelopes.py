@@ -174,14 +174,19 @@ def raw_transactions(spark: SparkSession, sf_dir: str, until: str | None = None)
     lineitem = table(spark, sf_dir, "lineitem")
     lines = lineitem \
         .join(part, F.col("l_partkey") == F.col("p_partkey")) \
-        .select("l_orderkey", "l_shipdate", "l_quantity", "l_returnflag", "l_discount",
-                "l_extendedprice", "p_brand", "p_retailprice")
+        .select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_returnflag",
+                "l_discount", "l_extendedprice", "p_brand", "p_retailprice")
+    # counts and dates are those of the order, however many buckets it is split over
+    whole = lines.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("transaction_count"), F.min("l_shipdate").alias("first"),
+        F.max("l_shipdate").alias("last"))
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                                    "o_orderdate")
     if until is not None:
         orders = orders.filter(F.col("o_orderdate") <= F.lit(until).cast("timestamp_ntz"))
-    placed = spread_join(lines, [orders], ["l_orderkey"], how="inner",
-                         rows_per_slice=BUCKET_ROWS, count_from=lineitem, keep_cell=True)
+    placed = spread_join(lines, [orders.join(whole, "l_orderkey")], ["l_orderkey"], how="inner",
+                         rows_per_slice=BUCKET_ROWS, count_from=lineitem, keep_cell=True,
+                         deal_by=["l_orderkey", "l_linenumber"])
     tx = F.struct(
         _iso(F.col("l_shipdate")).alias("date"),
         F.floor("l_quantity").cast("int").alias("amount"),
@@ -189,9 +194,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str, until: str | None = None)
         F.when(F.col("l_discount") != 0, F.col("p_brand")).alias("symbol"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         F.col("l_extendedprice").cast("decimal(10,2)").alias("total"))
-    buckets = placed.groupBy("l_orderkey", CELL, "o_orderdate").agg(
-        F.collect_list(tx).alias("transactions"), F.count(F.lit(1)).alias("transaction_count"),
-        F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+    buckets = placed.groupBy(
+        "l_orderkey", CELL, "o_orderdate", "transaction_count", "first", "last",
+    ).agg(F.collect_list(tx).alias("transactions"))
     return _envelope(
         buckets, F.concat(F.lit("T"), "l_orderkey", F.lit("-"), CELL),
         [F.col("l_orderkey").alias("account_id"), F.col("transaction_count"),

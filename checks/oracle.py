@@ -110,7 +110,7 @@ CTES = {
         group by l_orderkey""",
     "accounts_1": f"""
         select cast(o_orderkey as integer) as account_id, o_orderstatus, o_orderpriority,
-            cast(floor(o_totalprice / 100) as integer) as "limit", coalesce(products, '') as products,
+            cast(floor(o_totalprice / 100) as integer) as "limit", products,
             {", ".join(f"coalesce({f}, false) as {f}" for f in PRODUCT_FLAGS)}
         from orders left join held on l_orderkey = o_orderkey""",
     "accounts_2": f"""
@@ -124,7 +124,8 @@ CTES = {
             {", ".join("true" if f == "has_derivatives" else "false" for f in PRODUCT_FLAGS)}
         from customer""",
     "tx": """
-        select cast(concat(l_orderkey, cast(epoch(l_shipdate) as bigint)) as bigint) as transaction_id,
+        select cast(cast(concat(l_orderkey, cast(epoch(l_shipdate) as bigint)) as decimal(38,0)) as varchar)
+                as transaction_id,
             cast(l_orderkey as integer) as account_id,
             cast(l_shipdate as date) as transaction_date, l_returnflag as transaction_type,
             case when l_discount <> 0 then p_brand end as symbol,
@@ -187,7 +188,7 @@ CTES = {
     "pairs": f"""
         select {_key(["transaction_type", "symbol"])} as transaction_details_pk,
             transaction_type, symbol
-        from (select distinct transaction_type from tx), (select distinct symbol from tx)""",
+        from (select distinct transaction_type, symbol from tx)""",
     "fact": """
         select transaction_id as transaction_bk, c.customer_sk as customer_fk,
             a.account_sk as account_fk, p.transaction_details_pk as transaction_details_fk,
@@ -215,8 +216,8 @@ CTES = {
 }
 
 TX_COLUMNS = """transaction_id, account_id, cast(transaction_date as varchar) as transaction_date,
-    transaction_type, symbol, amount, cast(unit_price as double) as unit_price,
-    cast(total_price as double) as total_price,
+    transaction_type, symbol, amount, cast(unit_price as varchar) as unit_price,
+    cast(total_price as varchar) as total_price,
     cast(bucket_start_date as varchar) as bucket_start_date,
     cast(bucket_end_date as varchar) as bucket_end_date, transaction_count,
     cast(ingest_date as varchar) as ingest_date"""
@@ -232,7 +233,7 @@ STAR = """
     select cast(year(transaction_date) as integer) as year,
         cast(quarter(transaction_date) as integer) as quarter, transaction_type,
         gold_tier, has_derivatives, count(*) as n_rows, sum(amount) as amount,
-        cast(sum(amount * unit_price) as double) as volume
+        cast(sum(amount * unit_price) as varchar) as volume
     from {facts} group by all"""
 
 
@@ -261,7 +262,7 @@ BODIES = {
             cast(o_orderdate as varchar) as o_orderdate, o_orderpriority from orders""",
     "snapshot_keep_schema": """
         select cast(o_orderkey as integer) as o_orderkey,
-            cast(cast(o_totalprice as decimal(12,2)) as double) as o_totalprice,
+            cast(cast(o_totalprice as decimal(12,2)) as varchar) as o_totalprice,
             cast(cast(o_orderdate as date) as varchar) as o_orderdate,
             cast(null as varchar) as o_note
         from orders""",
@@ -270,7 +271,7 @@ BODIES = {
         from supplier
         union all select c_name, c_acctbal, c_mktsegment from customer""",
     "insert_by_name": """
-        select cast(cast(p_retailprice as decimal(12,2)) as double) as p_retailprice,
+        select cast(cast(p_retailprice as decimal(12,2)) as varchar) as p_retailprice,
             cast(p_partkey as integer) as p_partkey, cast(p_size as bigint) as p_size,
             cast(null as varchar) as p_note
         from part""",
@@ -305,7 +306,7 @@ BODIES = {
         group by all""",
     "explode_transactions": """
         select account_id, strftime(transaction_date, '%Y-%m-%dT00:00:00Z') as date, amount, symbol,
-            cast(unit_price as double) as price, cast(total_price as double) as total
+            cast(unit_price as varchar) as price, cast(total_price as varchar) as total
         from tx""",
     "iso_to_date": """
         select o_orderkey, cast(cast(o_orderdate as date) as varchar) as day,
@@ -327,7 +328,7 @@ BODIES = {
             c_name || '@example.com' as email,
             case when c_acctbal >= 0 then 'true' else 'false' end as active_customer,
             cast(account as integer) as account_id, tier_key, tier,
-            coalesce(benefits, '') as benefits, tier_active, {SYNCED_1} as ingest_date
+            benefits, tier_active, {SYNCED_1} as ingest_date
         from owners join customer using (c_custkey) left join tiers using (c_custkey)""",
     "process_accounts": f"""
         select 'A' || account_id as id, account_id, "limit", products, {SYNCED_1} as ingest_date
@@ -360,7 +361,7 @@ BODIES = {
             strftime(d, '%B') as month_name,
             case when isodow(d) >= 6 then 0 else 1 end as is_weekday,
             case when day(last_day(make_date(year(d), 2, 1))) = 29 then 1 else 0 end as is_leapyear,
-            coalesce(n, 0) as n, cast(coalesce(total, 0) as double) as total
+            coalesce(n, 0) as n, cast(cast(coalesce(total, 0) as decimal(20,2)) as varchar) as total
         from generate_series(timestamp '1962-01-01', timestamp '2030-12-31', interval 1 day) t(d)
         left join (select transaction_date, count(*) as n, sum(total_price) as total
                    from tx group by 1) on transaction_date = cast(d as date)""",
@@ -402,7 +403,7 @@ BODIES = {
     "fact_transaction": f"""
         select transaction_bk, customer_fk, account_fk, transaction_details_fk,
             transaction_date_fk, account_bk, customer_bk, amount,
-            cast(unit_price as double) as unit_price, '2024-05-03 00:00:00' as create_date
+            cast(unit_price as varchar) as unit_price, '2024-05-03 00:00:00' as create_date
         from fact""",
     "fact_rejects": """
         select tx.account_id as account_bk,

@@ -42,15 +42,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Output types that read the same in every client: dates as text, decimals as doubles."""
+    """Output types that read the same in every client: dates and exact decimals as text."""
     def cast(field):
         col, kind = F.col(f"`{field.name}`"), field.dataType.typeName()
-        if kind in ("date", "timestamp", "timestamp_ntz"):
+        if kind in ("date", "timestamp", "timestamp_ntz", "decimal"):
             col = col.cast("string")
-        elif kind == "decimal":
-            col = col.cast("double")
         elif kind == "array":
-            col = F.concat_ws("|", F.array_sort(col))
+            col = F.when(col.isNotNull(), F.concat_ws("|", F.array_sort(col)))
         return col.alias(field.name)
     return df.select(*[cast(field) for field in df.schema.fields])
 
@@ -460,11 +458,16 @@ def _star(store: TableStore) -> DataFrame:
         .select(F.col("account_sk").alias("account_fk"), "has_derivatives")
     kinds = store.snapshot("dim_transaction_details", S.DIM_TRANSACTION_DETAILS).select(
         F.col("transaction_details_pk").alias("transaction_details_fk"), "transaction_type")
-    dated = rows.join(F.broadcast(calendar), rows.transaction_date_fk == calendar.date_id)
-    kept = spread_join(lookup_fk(dated, kinds, ["transaction_details_fk"]), [ledger],
-                       ["account_fk"], how="inner", count_from=rows)
+    # days beyond the calendar's end stay: year and quarter are written in the key
+    day = F.col("transaction_date_fk")
+    dated = rows.join(F.broadcast(calendar), day == calendar.date_id, "left").withColumns({
+        "year": F.coalesce("year", F.expr("cast(transaction_date_fk div 10000 as int)")),
+        "quarter": F.coalesce("quarter", F.expr("cast((transaction_date_fk div 100 % 100 + 2) div 3 as int)"))})
+    row = ["fact_transactions_pk"]
+    kept = spread_join(lookup_fk(dated, kinds, ["transaction_details_fk"], deal_by=row), [ledger],
+                       ["account_fk"], how="inner", count_from=rows, deal_by=row)
     return (
-        spread_join(kept, [people], ["customer_fk"], how="inner", count_from=rows)
+        spread_join(kept, [people], ["customer_fk"], how="inner", count_from=rows, deal_by=row)
         .groupBy("year", "quarter", "transaction_type", "gold_tier", "has_derivatives")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"),
              F.sum(F.col("amount") * F.col("unit_price")).alias("volume"))

@@ -29,11 +29,12 @@ def iso_to_epoch(text: Column) -> Column:
 
 
 def composite_key(number: Column, epoch: Column) -> Column:
-    """The two numbers written one after the other, as bigint.
+    """The two numbers written one after the other, as a decimal that holds any int and bigint.
 
-    NULL when a part is missing, when the epoch is negative or when the result does not fit.
+    NULL when a part is missing or negative.
     """
-    return F.concat(number.cast("string"), epoch.cast("string")).try_cast("bigint")
+    text = F.concat(number.cast("string"), epoch.cast("string"))
+    return F.when((number >= 0) & (epoch >= 0), text.cast("decimal(38,0)"))
 
 
 def date_key(day: Column) -> Column:

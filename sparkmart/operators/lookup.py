@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from sparkmart.operators.spread import spread_join
 
 SMALL_ROWS, SMALL_BYTES = 200_000, 32 * 1024 * 1024
-GRID = 16
 
 
 def lookup_view(dim: DataFrame, key_cols: list[str], sk: str,
@@ -27,15 +26,16 @@ def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_B
 
 
 def lookup_fk(df: DataFrame, lookup: DataFrame, keys: list[str],
-              small: bool | None = None) -> DataFrame:
+              small: bool | None = None, deal_by: list[str] | None = None) -> DataFrame:
     """Left join with a lookup on null-safe keys: a NULL key finds the NULL row.
 
-    A lookup that is measured to be small is broadcast; any other is joined by ``spread_join``.
+    A lookup that is measured to be small is broadcast; any other is joined by ``spread_join``,
+    which deals the rows of hot keys by the columns ``deal_by``.
     """
     if small is None:
         small = is_small(lookup)
     if not small:
-        return spread_join(df, [lookup], keys, null_safe=True)
+        return spread_join(df, [lookup], keys, null_safe=True, deal_by=deal_by)
     renamed = lookup.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     match = F.lit(True)
     for k in keys:
@@ -49,22 +49,9 @@ def account_bridge(customers: DataFrame) -> DataFrame:
 
 
 def junk_dimension(df: DataFrame, left: str, right: str) -> DataFrame:
-    """Every value of ``left`` paired with every value of ``right``; NULL is a value too.
+    """The pairs of ``left`` and ``right`` that occur, each once; NULL is a value too.
 
-    The distinct pairs that occur are found in one pass, and both value lists come from them.
-    Each list is then laid out on a 16 x 16 grid, one along the rows and one along the columns,
-    and an equi-join on the grid cell builds each pair once, in as many tasks as there are cells.
+    One scan and one aggregate with map-side combine.  The fact looks up pairs that occur, so
+    pairs that don't are not made.
     """
-    seen = df.select(left, right).distinct()
-    line = F.explode(F.sequence(F.lit(0), F.lit(GRID - 1)))
-    rows = (
-        seen.select(left).distinct()
-        .withColumn("_row", F.pmod(F.xxhash64(left), F.lit(GRID)).cast("int"))
-        .withColumn("_col", line)
-    )
-    cols = (
-        seen.select(right).distinct()
-        .withColumn("_col", F.pmod(F.xxhash64(right), F.lit(GRID)).cast("int"))
-        .withColumn("_row", line)
-    )
-    return rows.join(cols, ["_row", "_col"]).select(left, right)
+    return df.select(left, right).distinct()

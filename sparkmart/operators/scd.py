@@ -102,8 +102,9 @@ def scd2_merge(target: DataFrame, updates: DataFrame, key: str, tracked: list[st
                run_date: str | date, sk: str) -> DataFrame:
     """The whole dimension after the merge: untouched history and the result of the delta."""
     history = target.filter(~F.col("is_current"))
-    delta = scd2_delta(target.filter("is_current"), updates, key, tracked, run_date, sk,
-                       largest_key(target, sk))
+    current = target.filter("is_current")
+    # closing a version opens one with a higher key, so the largest key is a current row's
+    delta = scd2_delta(current, updates, key, tracked, run_date, sk, largest_key(current, sk))
     return history.unionByName(delta)
 
 

@@ -32,15 +32,16 @@ def _with_slices(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
         "coalesce(_slices, 1) as _slices", "coalesce(_parts, 1) as _parts")
 
 
-def _deal(share: str) -> Column:
-    """Deal rows out over ``share`` groups by position, so that copies of a row are spread too."""
-    return F.expr(f"if({share} = 1, 0, "
-                  f"cast(pmod(xxhash64(monotonically_increasing_id()), {share}) as int))")
+def _deal(share: str, by: list[str] | None) -> Column:
+    """Deal rows out over ``share`` groups, by the columns ``by`` or else by their position."""
+    what = F.xxhash64(*[F.col(f"`{c}`") for c in by]) if by else F.xxhash64(F.monotonically_increasing_id())
+    return F.when(F.col(share) == 1, 0).otherwise(F.pmod(what, F.col(share)).cast("int"))
 
 
 def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how: str = "left",
                 many: DataFrame | None = None, null_safe: bool = False,
                 rows_per_slice: int = ROWS_PER_SLICE, count_from: DataFrame | None = None,
+                count_many_from: DataFrame | None = None, deal_by: list[str] | None = None,
                 keep_cell: bool = False) -> DataFrame:
     """Join ``big`` with each lookup on ``keys`` (``how`` is ``left`` or ``inner``).
 
@@ -51,7 +52,13 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
     Every matching pair meets in exactly one cell, so the result is that of the plain joins, and
     ``big`` is shuffled once, on (keys, cell), for all of them.
 
-    ``count_from`` may name a cheaper frame to count keys in that has all rows of ``big`` or more.
+    ``count_from`` and ``count_many_from`` may name cheaper frames to count keys in that have all
+    rows of ``big`` or ``many``, or more.
+
+    A row must go to the same slice when its task is run again.  ``deal_by`` names columns of
+    ``big`` that tell its rows apart.  Without it rows are dealt by position, copies too, which
+    only holds for a scan and what is computed row by row from it: after a shuffle the order may
+    change.  Rows of ``many`` are dealt by all their columns.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"a spread join is left or inner, not {how}")
@@ -61,13 +68,16 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
     counted = (big if count_from is None else count_from).select(*keys)
     hot = hot_keys(counted, keys, rows_per_slice, "_slices").withColumn("_parts", F.lit(1))
     if many is not None:
-        parts = hot_keys(many.select(*keys), keys, rows_per_slice, "_parts")
+        listed = many if count_many_from is None else count_many_from
+        if not null_safe:
+            listed = listed.dropna(subset=keys)
+        parts = hot_keys(listed.select(*keys), keys, rows_per_slice, "_parts")
         hot = (
             hot.unionByName(parts.withColumn("_slices", F.lit(1)))
             .groupBy(*keys).agg(F.max("_slices").alias("_slices"), F.max("_parts").alias("_parts"))
         )
 
-    out = _with_slices(big, keys, hot).withColumn("_slice", _deal("_slices"))
+    out = _with_slices(big, keys, hot).withColumn("_slice", _deal("_slices", deal_by))
     if many is None:
         out = out.withColumn(CELL, F.col("_slice"))
     else:
@@ -88,7 +98,7 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
                    .drop("_slices", "_parts"))
     if many is not None:
         at = F.expr("explode(sequence(_part, (_slices - 1) * _parts + _part, _parts))")
-        dealt = _with_slices(many, keys, hot).withColumn("_part", _deal("_parts"))
+        dealt = _with_slices(many, keys, hot).withColumn("_part", _deal("_parts", many.columns))
         out = join(out, dealt.withColumns({"_at": at, "_hit": F.lit(True)})
                    .drop("_part", "_slices", "_parts"))
         # a key with parts does have matches, so a cell of it without one adds no row

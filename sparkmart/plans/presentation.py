@@ -23,8 +23,8 @@ DETAIL_KEYS = ["transaction_type", "symbol"]
 def customer_grain(processed: DataFrame) -> DataFrame:
     """One row per customer with its tier and benefit flags.
 
-    Attributes come from the newest document.  Flags hold if any row of the customer has the
-    value, whether or not the tier is active.
+    Attributes come from the newest document.  Flags hold if any row of the newest sync time has
+    the value, whether or not the tier is active.
 
     The rows of one document share all attributes, so they are first combined per document,
     which Spark does by hashing, before the shuffle.  Only then is the newest document picked,
@@ -39,12 +39,13 @@ def customer_grain(processed: DataFrame) -> DataFrame:
           *array_presence_flags(F.col("benefits"), BENEFIT_FLAGS))
     grouped = documents.groupBy("customer_bk").agg(
         F.max(F.struct("ingest_date", *attributes)).alias("_newest"),
-        *[F.bool_or(F.col(f"`{flag}`")).alias(flag) for flag in flags])
+        *[F.max(F.struct("ingest_date", F.col(f"`{flag}`").alias("on"))).alias(flag)
+          for flag in flags])
     return grouped.select(
         "customer_bk",
         *[F.col(f"_newest.{c}").alias(c) for c in attributes[:-1]],
         to_bool(F.col("_newest.active_customer")).alias("active_customer"),
-        *[F.col(f"`{flag}`") for flag in flags],
+        *[F.col(f"`{flag}`.on").alias(flag) for flag in flags],
     )
 
 
@@ -87,7 +88,7 @@ def account_delta(processed: DataFrame, current: DataFrame, run_date: str | date
 
 def build_dim_transaction_details(transactions: DataFrame, target: DataFrame,
                                   source: str = SOURCE_SYSTEM) -> DataFrame:
-    """Every transaction type with every symbol, added to what the dimension holds."""
+    """The pairs of type and symbol that occur, added to what the dimension holds."""
     pairs = with_source(junk_dimension(transactions, *DETAIL_KEYS), source)
     return scd1_upsert(target, pairs, DETAIL_KEYS, "transaction_details_pk")
 
@@ -95,7 +96,7 @@ def build_dim_transaction_details(transactions: DataFrame, target: DataFrame,
 def resolve_owners(bridge: DataFrame, customers: DataFrame) -> DataFrame:
     """(account, customer, customer key) of each pair; the key is NULL for unknown customers."""
     known = customers.select("customer_bk", F.col("customer_sk").alias("customer_fk"))
-    return spread_join(bridge, [known], ["customer_bk"])
+    return spread_join(bridge, [known], ["customer_bk"], deal_by=["customer_bk", "account_id"])
 
 
 def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers: DataFrame,
@@ -103,14 +104,17 @@ def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers
                            start: int = 0) -> DataFrame:
     """One row per transaction and owner, with a ``reject_reason`` where a needed key is missing.
 
-    ``customers`` and ``accounts`` are lookups of current rows.  The transactions are shuffled
+    ``customers`` and ``accounts`` are lookups of current rows.  ``transactions`` must be a scan
+    or computed from one row by row; they are numbered there, which tells copies apart.  The transactions are shuffled
     once, by account, for the account and the owner lookup together; owners are resolved to
     customer keys before, on the much smaller bridge.  Accounts with very many transactions or
     very many owners are split over several tasks.
     """
     account_keys = accounts.select("account_id", F.col("account_sk").alias("account_fk"))
     owners = resolve_owners(bridge, customers)
-    joined = spread_join(transactions, [account_keys], ["account_id"], many=owners)
+    numbered = transactions.withColumn("_row", F.monotonically_increasing_id())
+    joined = spread_join(numbered, [account_keys], ["account_id"], many=owners,
+                         count_from=transactions, count_many_from=bridge, deal_by=["_row"])
     pairs = details.select(F.col("transaction_details_pk").alias("transaction_details_fk"),
                            *DETAIL_KEYS)
     reason = (
@@ -118,7 +122,7 @@ def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers
         .when(F.col("customer_fk").isNull(), "owner is not in the customer dimension")
         .when(F.col("account_fk").isNull(), "account is not in the account dimension")
     )
-    rows = lookup_fk(joined, pairs, DETAIL_KEYS).select(
+    rows = lookup_fk(joined, pairs, DETAIL_KEYS, deal_by=["_row", "customer_bk"]).select(
         F.col("transaction_id").alias("transaction_bk"),
         "customer_fk", "account_fk", "transaction_details_fk",
         date_key(F.col("transaction_date")).alias("transaction_date_fk"),

@@ -39,12 +39,21 @@ def process_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def process_accounts(raw: DataFrame) -> DataFrame:
-    """One row per account, from its newest document."""
-    docs = parse_envelope(raw, ACCOUNT_DOC).select(
+def _account_documents(raw: DataFrame) -> DataFrame:
+    return parse_envelope(raw, ACCOUNT_DOC).select(
         F.col("_id").alias("id"), "data.account_id", "data.limit", "data.products",
         F.col(SYNCED).alias("ingest_date"),
     )
+
+
+def rejected_accounts(raw: DataFrame) -> DataFrame:
+    """Account documents that name no account: NULL, not readable, or without the field."""
+    return _account_documents(raw).filter(F.col("account_id").isNull())
+
+
+def process_accounts(raw: DataFrame) -> DataFrame:
+    """One row per account, from its newest document; documents without an account drop out."""
+    docs = _account_documents(raw).filter(F.col("account_id").isNotNull())
     return latest_by_key(docs, ["account_id"], newest="ingest_date", tie=["id"])
 
 

@@ -40,10 +40,11 @@ def last_mark(store: TableStore, table: str, schema: str, col: str, run_id: str)
     """High-water mark of the runs before ``run_id``.
 
     Every run is newer than the ones before it, so the newest run with rows holds the mark and
-    one column of one run is read, whatever the table has grown to.
+    one column of one run is read, whatever the table has grown to.  Rejected rows count: every
+    row is tried once, in the run it arrives in, whatever becomes of the rows beside it.
     """
     for run in reversed(store.runs(table, before=run_id)):
-        rows = store.run_rows(table, run, schema, part=ACCEPTED)
+        rows = store.run_rows(table, run, schema)
         mark = high_water_mark(rows, col).select(F.col("mark").cast("string")).first()[0]
         if mark != S.FIRST_MARK:
             return mark
@@ -52,7 +53,7 @@ def last_mark(store: TableStore, table: str, schema: str, col: str, run_id: str)
 
 def _last_row_key(store: TableStore, run_id: str) -> int:
     for run in reversed(store.runs("fact_transaction", before=run_id)):
-        rows = store.run_rows("fact_transaction", run, S.FACT_TRANSACTION, part=ACCEPTED)
+        rows = store.run_rows("fact_transaction", run, S.FACT_TRANSACTION)
         key = rows.agg(F.max("fact_transactions_pk")).first()[0]
         if key is not None:
             return key
@@ -117,7 +118,7 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         delta = customer_delta(
             store.snapshot("customer", S.PROCESSED_CUSTOMER),
             store.current(table, S.DIM_CUSTOMER, before=run_id), run_date,
-            largest_key(store.versions(table, S.DIM_CUSTOMER, before=run_id), "customer_sk"),
+            largest_key(store.current(table, S.DIM_CUSTOMER, before=run_id), "customer_sk"),
             source)
         store.write_run(delta, table, run_id, S.DIM_CUSTOMER, partition_by="is_current")
 
@@ -125,7 +126,7 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         delta = account_delta(
             store.snapshot("account", S.PROCESSED_ACCOUNT),
             store.current(table, S.DIM_ACCOUNT, before=run_id), run_date,
-            largest_key(store.versions(table, S.DIM_ACCOUNT, before=run_id), "account_sk"),
+            largest_key(store.current(table, S.DIM_ACCOUNT, before=run_id), "account_sk"),
             source)
         store.write_run(delta, table, run_id, S.DIM_ACCOUNT, partition_by="is_current")
 

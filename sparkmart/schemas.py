@@ -68,7 +68,7 @@ PROCESSED_ACCOUNT = """
 """
 
 PROCESSED_TRANSACTION = """
-    transaction_id bigint, account_id int, transaction_date date, transaction_type string,
+    transaction_id decimal(38,0), account_id int, transaction_date date, transaction_type string,
     symbol string, amount int, unit_price decimal(10,2), total_price decimal(10,2),
     bucket_start_date date, bucket_end_date date, transaction_count int,
     ingest_date timestamp, create_date timestamp
@@ -103,7 +103,7 @@ DIM_DATE = """
 """
 
 FACT_TRANSACTION = """
-    fact_transactions_pk bigint, transaction_bk bigint, customer_fk bigint, account_fk bigint,
+    fact_transactions_pk bigint, transaction_bk decimal(38,0), customer_fk bigint, account_fk bigint,
     transaction_details_fk bigint, transaction_date_fk int, account_bk int, customer_bk string,
     amount int, unit_price decimal(10,2), create_date timestamp
 """

@@ -89,13 +89,12 @@ def test_generators(spark):
     assert date_series(spark, "2024-02-28", "2024-03-01").count() == 3
 
 
-def test_q26_junk_dimension_has_every_pair_once(spark):
+def test_q26_junk_dimension_has_every_occurring_pair_once(spark):
     rows = [(f"t{i % 7}" if i % 7 else None, f"s{i % 90}" if i % 11 else None)
             for i in range(3000)]
     df = spark.createDataFrame(rows, "a string, b string")
     got = [tuple(r) for r in junk_dimension(df, "a", "b").collect()]
-    expected = {(a, b) for a in {r[0] for r in rows} for b in {r[1] for r in rows}}
-    assert len(got) == len(set(got)) and set(got) == expected
+    assert len(got) == len(set(got)) and set(got) == set(rows)
 
 
 @pytest.mark.parametrize("small", [True, False, None])

@@ -14,6 +14,7 @@ from sparkmart.plans.processed import (
     process_accounts,
     process_customers,
     process_transactions,
+    rejected_accounts,
     rejected_transactions,
 )
 from sparkmart.sources.raw import parse_envelope, read_raw, without_deleted
@@ -108,8 +109,12 @@ def test_accounts(spark):
         ("y", {"account_id": 2, "limit": 2, "products": [None, "Brokerage"]}, LATE),
         ("x", {"account_id": 3, "limit": "many", "products": ["Derivatives"]}, None),
         ("w", {"account_id": 4, "limit": 1, "products": "none"}, EARLY),
+        ("v", {"account_id": "none", "limit": 1, "products": []}, LATE),
+        ("u", {"limit": 1, "products": []}, LATE),
     ]
-    rows = process_accounts(envelope(spark, docs))
+    raw = envelope(spark, docs)
+    assert {r.id for r in rejected_accounts(raw).collect()} == {"u", "v"}
+    rows = process_accounts(raw)
     got = {r.account_id: (r.id, r.limit, r.products) for r in rows.collect()}
     assert got == {1: ("b", 5, ["Brokerage"]), 2: ("y", 2, [None, "Brokerage"]),
                    3: ("x", None, ["Derivatives"]), 4: ("w", 1, None)}
