@@ -33,11 +33,19 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
+#: Rows a task writes when a staged table's size is known beforehand.
+ROWS_PER_TASK = 10_000
+
+
+def staged(df: DataFrame, at_most: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the table, which outlives executors.
 
-    The shuffle files behind it are of no use any more, so Spark is told to delete them then.
+    ``at_most`` bounds the rows of narrow tables; they are then written by so many tasks that each
+    gets ``ROWS_PER_TASK`` of them, not by one per shuffle partition.  The shuffle files behind the
+    table are of no use any more, so Spark is told to delete them then.
     """
+    if at_most is not None:
+        df = df.coalesce(1 + at_most // ROWS_PER_TASK)
     spark, path = df.sparkSession, work_folder(df.sparkSession)
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")

@@ -20,6 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     digest = None
     while True:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        n = now[0]
         if now == digest:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
@@ -27,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.distinct())
+        large = staged(large.distinct(), 2 * n)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = staged(small.unionByName(least.withColumnRenamed("m", "b")).distinct())
+        edges = staged(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), 2 * n)

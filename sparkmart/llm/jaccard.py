@@ -6,9 +6,9 @@ of all shingles' frequencies.  Lists fall into blocks of similar set sizes; what
 positions of a shared shingle rule out is skipped.
 
 *Answers from similar sets.*  Only the links' components are asked for, so not all pairs of a list
-are compared: first each block's smallest set, its pivot, with the others.  A set that links with
-the pivot inherits its answers: partners of either are connected already.  While many are left,
-further rounds take other pivots from each list's largest component.  What is left then are all
+are compared: first each block's pivot, the set that meets most others in all its lists, with the
+others.  A set that links with the pivot inherits its answers: partners of either are connected
+already.  While many are left and links are found, further rounds take other pivots from each list's largest component.  What is left then are all
 pairs from different components, and of these a pair is skipped when the known distances of both to
 their common pivot rule it out (the size of the symmetric difference is a metric).  Survivors are
 compared by parity bitmaps, whose Hamming distance never exceeds the symmetric difference, and
@@ -32,7 +32,7 @@ SIZE, PERCENT = 5, 80
 #: Cells of the frequency sketch: 2 MB a task, 1 MB as sent to the tasks, whatever the input.
 SKETCH, SEGMENTS = 1 << 20, 16
 #: Pivots a set is compared with in a further round, and the number of such rounds.
-PICKS, MAX_TURNS = 6, 6
+PICKS, MAX_TURNS = 6, 3
 U = np.uint64
 
 
@@ -223,7 +223,7 @@ def verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, size: int, perc
     Only the texts of sets that occur in a pair move; their ids are broadcast when few.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    need = staged(ids.join(sets.select("set_id", "rid"), "set_id"))
+    need = staged(ids.join(sets.select("set_id", "rid"), "set_id"), 2 * pairs.count())
     need = F.broadcast(need) if is_small(need) else need
     packed = staged(rows.select("rid", "text").join(need, "rid").select("set_id", "text")
                     .mapInArrow(_pack, "set_id bigint, packed binary"))
@@ -287,21 +287,24 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     )
     block = F.expr("cast(floor(ln(n) / ln(1.25)) as int)")
     hits = staged(postings.join(lists, "token").distinct().withColumn("block", block))
-    pivots = hits.groupBy("token", "block").agg(F.min(F.struct("n", "set_id", "pos")).alias("p")).select(
+    lengths = hits.groupBy("token").agg(F.count(F.lit(1)).alias("length"))
+    met = hits.select("token", "set_id").join(lengths, "token").groupBy("set_id").agg(F.sum("length").alias("met"))
+    best = F.max(F.struct("met", "set_id", "n", "pos")).alias("p")
+    pivots = hits.join(met, "set_id").groupBy("token", "block").agg(best).select(
         "token", "block", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("n", "set_id", "pos")])
     hits = staged(hits.join(pivots, ["token", "block"]))
+    n_hits = hits.count()
     stars = (
         hits.filter("set_id <> p_set_id").filter(_possible("", "p_", percent))
         .select(F.col("p_set_id").alias("a"), F.col("set_id").alias("b")).distinct()
     )
-    tested = staged(bounded(stars, sets, percent))
-    exact = staged(verified(tested.filter("alive"), rows, sets, size, percent))
+    tested = staged(bounded(stars, sets, percent), n_hits)
+    exact = staged(verified(tested.filter("alive"), rows, sets, size, percent), tested.count())
     found = staged(components(exact.filter("links").select("a", "b")))
     known = tested.join(exact.select("a", "b", "shared"), ["a", "b"], "left").select(
         F.col("a").alias("p_set_id"), F.col("b").alias("set_id"), "low",
         F.expr("n_a + n_b - 2 * shared").alias("apart"))
     hits = staged(hits.join(known, ["p_set_id", "set_id"], "left"))
-    n_hits = hits.count()
 
     seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for turn in range(MAX_TURNS + 1):
@@ -312,17 +315,19 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
         mixed = per.groupBy("token").agg(
             F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("k"))
         mixed = staged(mixed.filter("k > 1").select(
-            "token", F.col("top.root").alias("top"), F.expr("(all - top.c) * all").alias("cost"), "all"))
+            "token", F.col("top.root").alias("top"), F.expr("(all - top.c) * all").alias("cost"), "all"), n_hits)
         long = mixed.filter(F.col("all") > 4 * PICKS)
-        if (long.agg(F.sum("cost")).first()[0] or 0) <= n_hits // 4 or turn == MAX_TURNS:
+        if (long.agg(F.sum("cost")).first()[0] or 0) <= n_hits or turn == MAX_TURNS:
             break
         pairs = _more_stars(placed, long, turn, percent).join(seen, ["a", "b"], "left_anti")
-        pairs = staged(bounded(pairs, sets, percent))
-        seen = staged(seen.unionByName(pairs.select("a", "b")))
-        links = staged(verified(pairs.filter("alive"), rows, sets, size, percent).filter("links").select("a", "b"))
-        if not links.isEmpty():
-            old = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            found = staged(components(old.unionByName(links)))
+        pairs = staged(bounded(pairs, sets, percent), n_hits)
+        seen = seen.unionByName(pairs.select("a", "b"))
+        near = pairs.filter("alive")
+        links = staged(verified(near, rows, sets, size, percent).filter("links").select("a", "b"), near.count())
+        if links.isEmpty():  # further pivots are of no use
+            break
+        old = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        found = staged(components(old.unionByName(links)))
 
     # what is left in lists of several components: sets outside the largest one against all
     mixed = mixed.select("token", "top")
@@ -337,7 +342,7 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     pairs = cross.select(F.expr("least(l.set_id, r.set_id)").alias("a"),
                          F.expr("greatest(l.set_id, r.set_id)").alias("b")).distinct()
     rest = staged(bounded(pairs.join(seen, ["a", "b"], "left_anti"), sets, percent).filter("alive"))
-    more = staged(verified(rest, rows, sets, size, percent).filter("links").select("a", "b"))
+    more = staged(verified(rest, rows, sets, size, percent).filter("links").select("a", "b"), rest.count())
 
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
