@@ -38,3 +38,24 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def check_one_current(dim: DataFrame, key: str) -> DataFrame:
     """Business keys with more than one current version."""
     return check_unique(dim.filter("is_current"), [key])
+
+
+def enforce(df: DataFrame, table: str, not_null: list[str] = (),
+            limits: dict[str, int] | None = None, unless: str | None = None) -> DataFrame:
+    """``df`` unchanged; the job that writes it fails on the first row that breaks a constraint.
+
+    Checked row by row inside the projection that is written, without a pass of its own.  Rows for
+    which the boolean column ``unless`` holds, such as rejected ones, are exempt.
+    """
+    exempt = F.coalesce(F.col(unless), F.lit(False)) if unless else F.lit(False)
+    broken = {c: [(F.col(f"`{c}`").isNull(), "is null")] for c in not_null}
+    for c, n in (limits or {}).items():
+        broken.setdefault(c, []).append((F.length(F.col(f"`{c}`")) > n, f"is longer than {n}"))
+    checked = {}
+    for c, rules in broken.items():
+        value = F.col(f"`{c}`")
+        for rule, what in rules:
+            failed = F.raise_error(F.lit(f"{table}: {c} {what}")).cast(df.schema[c].dataType)
+            value = F.when(rule & ~exempt, failed).otherwise(value)
+        checked[c] = value
+    return df.select(*[checked.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])

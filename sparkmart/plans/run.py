@@ -14,6 +14,7 @@ from sparkmart.operators.dedup import drop_loaded
 from sparkmart.operators.incremental import high_water_mark, newer_than
 from sparkmart.operators.keys import largest_key
 from sparkmart.operators.lookup import account_bridge, lookup_view
+from sparkmart.operators.quality import enforce
 from sparkmart.plans.calendar import build_dim_date
 from sparkmart.plans.presentation import (
     DETAIL_KEYS,
@@ -26,13 +27,14 @@ from sparkmart.plans.processed import (
     decode_transactions,
     process_accounts,
     process_customers,
+    rejected_accounts,
 )
 from sparkmart.session import prepare
 from sparkmart.sources.raw import read_raw, without_deleted
-from sparkmart.sources.store import TableStore, run_id_of, with_defaults
+from sparkmart.sources.store import TableStore, conform, run_id_of, with_defaults
 
 ACCEPTED = "is_rejected=false"
-TABLES = ["customer", "account", "transaction", "dim_date", "dim_customer", "dim_account",
+TABLES = ["customer", "account", "account_rejects", "transaction", "dim_date", "dim_customer", "dim_account",
           "dim_transaction_details", "fact_transaction"]
 
 
@@ -76,6 +78,10 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
     run, dates the versions and stamps the rows.  A table that already has this run is left as
     it is, so a run that broke off is repeated with the same ``run_ts`` and goes on where it
     stopped.  ``skip_loaded`` drops transactions of buckets that were synced again.
+
+    Every accepted row that is written keeps the declared constraints: a NULL in a declared column
+    or a string beyond its declared length ends the run.  Account documents that name no account
+    go to ``account_rejects``.
     """
     prepare(spark)
     if run_ts.tzinfo:
@@ -92,13 +98,21 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
     def once(table: str, job: Callable[[str], None]) -> Callable[[], None]:
         return lambda: None if run_id in store.runs(table) else job(table)
 
+    def write(rows: DataFrame, table: str, schema: str, partition_by: str | None = None) -> None:
+        rows = enforce(conform(rows, schema), table, S.NOT_NULL.get(table, []), S.MAX_LENGTH.get(table),
+                       unless="is_rejected" if partition_by == "is_rejected" else None)
+        store.write_run(rows, table, run_id, partition_by=partition_by)
+
     def customers(table):
         rows = with_defaults(process_customers(collection("customers")), {"create_date": stamp})
-        store.write_run(rows, table, run_id, S.PROCESSED_CUSTOMER)
+        write(rows, table, S.PROCESSED_CUSTOMER)
 
     def accounts(table):
         rows = with_defaults(process_accounts(collection("accounts")), {"create_date": stamp})
-        store.write_run(rows, table, run_id, S.PROCESSED_ACCOUNT)
+        write(rows, table, S.PROCESSED_ACCOUNT)
+
+    def account_rejects(table):
+        store.write_run(rejected_accounts(collection("accounts")), table, run_id)
 
     def transactions(table):
         mark = last_mark(store, table, S.PROCESSED_TRANSACTION, "ingest_date", run_id)
@@ -111,8 +125,7 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
             rows = fresh.unionByName(rows.filter(~usable))
         rows = with_defaults(rows, {"create_date": stamp}) \
             .withColumn("is_rejected", F.col("transaction_id").isNull())
-        store.write_run(rows, table, run_id, S.PROCESSED_TRANSACTION + ", is_rejected boolean",
-                        partition_by="is_rejected")
+        write(rows, table, S.PROCESSED_TRANSACTION + ", is_rejected boolean", "is_rejected")
 
     def dim_customer(table):
         delta = customer_delta(
@@ -120,7 +133,7 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
             store.current(table, S.DIM_CUSTOMER, before=run_id), run_date,
             largest_key(store.current(table, S.DIM_CUSTOMER, before=run_id), "customer_sk"),
             source)
-        store.write_run(delta, table, run_id, S.DIM_CUSTOMER, partition_by="is_current")
+        write(delta, table, S.DIM_CUSTOMER, "is_current")
 
     def dim_account(table):
         delta = account_delta(
@@ -128,7 +141,7 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
             store.current(table, S.DIM_ACCOUNT, before=run_id), run_date,
             largest_key(store.current(table, S.DIM_ACCOUNT, before=run_id), "account_sk"),
             source)
-        store.write_run(delta, table, run_id, S.DIM_ACCOUNT, partition_by="is_current")
+        write(delta, table, S.DIM_ACCOUNT, "is_current")
 
     def dim_details(table):
         # earlier transactions have left their types and symbols in the dimension
@@ -136,8 +149,7 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         new = store.appended("transaction", S.PROCESSED_TRANSACTION, part=ACCEPTED,
                              after=max(store.runs(table), default=None))
         seen = known.select(*DETAIL_KEYS).unionByName(new.select(*DETAIL_KEYS))
-        store.write_run(build_dim_transaction_details(seen, known, source), table, run_id,
-                        S.DIM_TRANSACTION_DETAILS)
+        write(build_dim_transaction_details(seen, known, source), table, S.DIM_TRANSACTION_DETAILS)
 
     def fact(table):
         mark = last_mark(store, table, S.FACT_TRANSACTION, "create_date", run_id)
@@ -155,12 +167,10 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
             store.snapshot("dim_transaction_details", S.DIM_TRANSACTION_DETAILS),
             str(run_ts), _last_row_key(store, run_id))
         rows = rows.withColumn("is_rejected", F.col("reject_reason").isNotNull())
-        store.write_run(rows, table, run_id,
-                        S.FACT_TRANSACTION + ", reject_reason string, is_rejected boolean",
-                        partition_by="is_rejected")
+        write(rows, table, S.FACT_TRANSACTION + ", reject_reason string, is_rejected boolean", "is_rejected")
 
     _side_by_side([once("customer", customers), once("account", accounts),
-                   once("transaction", transactions)])
+                   once("account_rejects", account_rejects), once("transaction", transactions)])
     _side_by_side([lambda: store.ensure("dim_date", run_id, lambda: build_dim_date(spark)),
                    once("dim_customer", dim_customer), once("dim_account", dim_account),
                    once("dim_transaction_details", dim_details)])

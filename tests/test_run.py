@@ -218,3 +218,27 @@ def test_collections_can_be_paths(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "tables"))
     run_pipeline(spark, store, paths, T1)
     assert facts(store).count() == 4
+
+
+def test_documents_without_an_account_go_to_the_rejects(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    people, accounts, buckets = FIRST
+    broken = accounts + [("nameless", {"limit": 1, "products": []}, SYNC[0])]
+    for run_ts in (T1, T2, T3):
+        run_pipeline(spark, store, collections(spark, people, broken, buckets), run_ts)
+    dim = store.versions("dim_account", S.DIM_ACCOUNT)
+    assert dim.filter("account_id is null").count() == 0 and dim.count() == 3
+    assert [r.id for r in store.snapshot("account_rejects").collect()] == ["nameless"]
+
+
+def test_declared_constraints_end_the_run(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    people, accounts, buckets = FIRST
+    long = [("b9", bucket(1, move(symbol="x" * 11)), SYNC[0])]
+    with pytest.raises(Exception, match="symbol is longer than 10"):
+        run_pipeline(spark, store, collections(spark, people, accounts, buckets + long), T1)
+    assert store.runs("transaction") and not store.runs("dim_transaction_details")
+    unnamed = [("ann", person([1], {"k": tier("Gold")}) | {"name": None}, SYNC[0])]
+    other = TableStore(spark, str(tmp_path / "other"))
+    with pytest.raises(Exception, match="customer: name is null"):
+        run_pipeline(spark, other, collections(spark, unnamed, accounts, buckets), T1)
