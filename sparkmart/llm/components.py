@@ -13,7 +13,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates two star steps until nothing changes: every node's larger neighbours, then its
     smaller ones, are hung on the smallest node around it.  Each round is a few equi-joins and
-    minima with map-side combine, and is written to the shared folder.
+    minima with map-side combine, both steps in one job, and is written to the shared folder.
     """
     edges = staged(links.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.distinct(), 2 * n)
+        large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = staged(small.unionByName(least.withColumnRenamed("m", "b")).distinct(), 2 * n)
