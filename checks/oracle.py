@@ -422,7 +422,9 @@ BODIES = {
     "dq_not_null": _violations({
         f"{c} is not null": f"where {c} is null"
         for c in ["transaction_id", "account_id", "transaction_date", "transaction_type",
-                  "ingest_date", "symbol"]}, "tx"),
+                  "ingest_date", "symbol"]}, "tx") + "".join(
+        " union all " + _violations({f"{c} is not null": f"where {c} is null" for c in cols}, dim)
+        for dim, cols in [("dim_customer_2", ["customer_bk", "name"]), ("dim_account_2", ["account_id"])]),
     "dq_unique": " union all ".join([
         _not_unique("l_orderkey, l_linenumber", "lineitem"),
         _not_unique("id, account_id, tier_key", """(
@@ -436,6 +438,8 @@ BODIES = {
         f"{c} fits varchar({n})": f"where length({c}) > {n}"
         for c, n in {"name": 50, "user_name": 100, "address": 255, "email": 100}.items()
     }, "customers_1") + " union all " + _violations({
+        f"{c} fits varchar(10)": f"where length({c}) > 10" for c in ["transaction_type", "symbol"]
+    }, "pairs") + " union all " + _violations({
         f"{c} fits varchar({n})": f"where length({c}) > {n}"
         for c, n in {"p_name": 9, "p_brand": 7}.items()}, "part"),
     "end_to_end_runs": """

@@ -480,7 +480,10 @@ def _star(store: TableStore) -> DataFrame:
 @query
 def dq_not_null(spark, sf):
     rows = transactions(spark, sf)
-    return quality.check_not_null(rows, [*S.NOT_NULL["transaction"], "symbol"])
+    checks = [quality.check_not_null(rows, [*S.NOT_NULL["transaction"], "symbol"]),
+              quality.check_not_null(second_customers(spark, sf), S.NOT_NULL["dim_customer"]),
+              quality.check_not_null(second_accounts(spark, sf), S.NOT_NULL["dim_account"])]
+    return reduce(DataFrame.unionByName, checks)
 
 
 @query
@@ -504,7 +507,9 @@ def dq_length(spark, sf):
     people = P.customer_grain(customers(spark, sf))
     limits = {k: n for k, n in S.MAX_LENGTH["dim_customer"].items() if k in people.columns}
     parts = raw.table(spark, sf, "part")
-    return quality.check_length(people, limits) \
+    details = transactions(spark, sf).select(*P.DETAIL_KEYS).distinct()
+    kinds = {k: n for k, n in S.MAX_LENGTH["dim_transaction_details"].items() if k in details.columns}
+    return quality.check_length(people, limits).unionByName(quality.check_length(details, kinds)) \
         .unionByName(quality.check_length(parts, {"p_name": 9, "p_brand": 7}))
 
 
