@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import in_small_batches, row_slices, staged, text_buffer
-from sparkmart.llm.hashing import BYTE_KEY, mix
+from sparkmart.llm.hashing import mix
 
 LENGTH, KEY = 50, 16
 LEFT = LENGTH - KEY
@@ -80,7 +80,7 @@ def contexts(buf: np.ndarray, offs: np.ndarray, at: np.ndarray, row: np.ndarray)
 def context_hash(c: np.ndarray) -> np.ndarray:
     out = np.zeros(len(c), np.uint64)
     for k in range(WIDTH):
-        out += (BYTE_KEY[c[:, k]] ^ CONTEXT_KEY[k]) * CONTEXT_KEY[k]
+        out += (CASE_KEY[c[:, k]] ^ CONTEXT_KEY[k]) * CONTEXT_KEY[k]
     return mix(out)
 
 
@@ -176,7 +176,7 @@ def window_answers(c: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
     left_hash = np.zeros(n, np.uint64)
     for o in range(LEFT + 1):
         if o:
-            left_hash = left_hash * U(0xD6E8FEB86659FD93) + BYTE_KEY[c[:, LEFT - o]]
+            left_hash = left_hash * U(0xD6E8FEB86659FD93) + CASE_KEY[c[:, LEFT - o]]
         group = np.cumsum(lcp < LENGTH - o).astype(np.uint64)
         key = mix(left_hash + group * U(0x9E3779B97F4A7C15))
         inner = np.argsort(key)

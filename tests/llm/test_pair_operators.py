@@ -55,6 +55,20 @@ def test_suffixes(spark, monkeypatch, chunk):
     assert suffixes.dedup_suffixes(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 1500])
+def test_suffixes_tell_letter_case(spark, monkeypatch, chunk):
+    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+    r, rows = random.Random(8), []
+    for k in range(40):
+        text = list(prose(k % 4, 50))
+        for _ in range(k // 4 % 4):
+            i = r.randrange(len(text))
+            text[i] = text[i].swapcase()
+        rows.append((k, "".join(text), "en", "a"))
+    got = [tuple(r) for r in suffixes.dedup_suffixes(docs(spark, rows)).collect()]
+    assert sorted(got) == sorted(brute_suffixes([(i, t) for i, t, *_ in rows]))
+
+
 def test_deep_shallow_order():
     r = np.random.default_rng(1)
     for n in (1, 2, 500):
