@@ -255,15 +255,11 @@ def _more_stars(placed: DataFrame, mixed: DataFrame, turn: int, percent: int) ->
         F.least("set_id", "p_set_id").alias("a"), F.greatest("set_id", "p_set_id").alias("b")).distinct()
 
 
-def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per row of ``docs``.
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rid, doc_id, set_id, n) of every row, and (set_id, doc_id, root) of every set.
 
-    Two rows link when 100 * shared >= percent * united distinct shingles; ``component_id`` is the
-    smallest doc_id reachable over links, itself included (NULL ids don't count).  Words compare
-    with ASCII letters in lower case; a text of fewer words than ``size`` is one shingle.  Rows
-    without words have no shingle and link with nothing, equal rows always link.  Other columns
-    are ignored.  Shingles are told apart by 64-bit hashes.  ``docs`` must be a table that reads
-    the same twice, rows included.
+    ``rid`` is the row's number in ``docs``, a root the smallest set_id of a component, and a set's
+    doc_id the smallest of its rows.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -349,6 +345,20 @@ def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     of_set = sets.select("set_id", "doc_id").join(
         found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "root", F.coalesce("root", "set_id"))
+    return members, of_set
+
+
+def jaccard_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per row of ``docs``.
+
+    Two rows link when 100 * shared >= percent * united distinct shingles; ``component_id`` is the
+    smallest doc_id reachable over links, itself included (NULL ids don't count).  Words compare
+    with ASCII letters in lower case; a text of fewer words than ``size`` is one shingle.  Rows
+    without words have no shingle and link with nothing, equal rows always link.  Other columns
+    are ignored.  Shingles are told apart by 64-bit hashes.  ``docs`` must be a table that reads
+    the same twice, rows included.
+    """
+    members, of_set = _linked(docs, size, percent)
     least = of_set.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_set = of_set.join(least, "root").select("set_id", "component_id")
     return members.join(of_set, "set_id", "left").select(
@@ -381,16 +391,22 @@ from sets s join (select a, min(b) as component_id from reach group by a) c on c
 
 
 def one_per_component(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component, all columns kept.
+    """One row of ``docs`` per component, that with the smallest doc_id, all columns kept.
 
-    Of several rows with that doc_id the one that sorts first by its columns' hash stays; rows with
-    a NULL doc_id stay when no other row of their component has one.
+    A NULL doc_id is larger than all others.  Of several rows with the smallest doc_id the one that
+    sorts first by its columns' hash stays, maps left out of it.  Rows without words link with
+    nothing, so all of them stay.  Rows are told apart by their number, so ids may repeat.
     """
-    groups = jaccard_join(docs, size, percent).select("doc_id", "component_id").distinct()
-    first = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id"))
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if _repeats(kept) else kept
-
-
-def _repeats(df: DataFrame) -> bool:
-    return not df.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    members, of_set = _linked(docs, size, percent)
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
+    own = numbered.select("_rid", F.xxhash64(*columns).alias("_hash"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash", "rid")
+    first = (
+        members.filter("set_id is not null").select("rid", "doc_id", "set_id")
+        .join(of_set.select("set_id", "root"), "set_id")
+        .join(own, F.col("rid") == F.col("_rid")).groupBy("root").agg(F.min(order).alias("x"))
+        .select(F.col("x.rid").alias("_keep"))
+    )
+    kept = first.unionByName(members.filter("set_id is null").select(F.col("rid").alias("_keep")))
+    return numbered.join(kept, F.col("_rid") == F.col("_keep"), "left_semi").drop("_rid")

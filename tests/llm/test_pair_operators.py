@@ -124,6 +124,57 @@ def test_jaccard_empty_and_groups(spark, tmp_path):
     assert {r.doc_id for r in kept.collect()} == want and kept.columns == df.columns
 
 
+def brute_one_per_component(rows):
+    """Indexes of the rows that may stay, a list of equally good ones per component."""
+    sets = []
+    for r in rows:
+        w = [lower(x) for x in WORD.findall(r[1] or "")]
+        sets.append({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    out = []
+    for g in sorted(set(group)):
+        own = [k for k in range(len(rows)) if group[k] == g]
+        best = min((rows[k][0] is None, rows[k][0] or 0) for k in own)
+        out.append([k for k in own if (rows[k][0] is None, rows[k][0] or 0) == best])
+    return out
+
+
+def same_rows(got, rows):
+    """Is ``got`` one row of each component of ``rows``, and nothing else?"""
+    left = list(got)
+    for own in brute_one_per_component(rows):
+        found = next((rows[k] for k in own if rows[k] in left), None)
+        if found is None:
+            return False
+        left.remove(found)
+    return not left
+
+
+def repeated_id_rows():
+    near = prose(31, 60)
+    return [
+        (3, near, "en", "a"), (5, prose(32, 60), "en", "a"), (5, near + " more", "en", "b"),
+        (None, near + " end", "en", "a"), (None, prose(33, 40), "en", "a"), (None, prose(34, 40), "de", "b"),
+        (None, "", "en", "a"), (None, None, "en", "a"), (6, "", "en", "a"), (6, " ", "en", "a"),
+        (None, prose(35, 40), "en", "a"), (None, prose(35, 40) + " x", "en", "a"),
+        (8, prose(36, 40), "en", "a"), (8, prose(36, 40).upper(), "en", "b"),
+    ]
+
+
+def test_one_per_component_by_row(spark, tmp_path):
+    rows = repeated_id_rows()
+    df = stored(spark, docs(spark, rows), tmp_path)
+    out = jaccard.one_per_component(df)
+    assert out.columns == df.columns
+    got = sorted(map(str, out.collect()))
+    assert same_rows([tuple(r)[:4] for r in out.collect()], rows)
+    assert got == sorted(map(str, jaccard.one_per_component(df).collect()))
+
+
 def brute_tiles(d, w, seed=5):
     """Greedy string tiling by plain comparison."""
     seed = min(seed, len(w))
