@@ -83,6 +83,28 @@ def test_sentence_spans(spark, tmp_path):
     assert sentences.dedup_sentences(docs(spark, [])).count() == 0
 
 
+def test_passages_without_stops_go(spark, tmp_path):
+    def plain(seed, n):
+        return " ".join(x.strip(".!\n") for x in prose(seed, n).split(" "))
+
+    shared = plain(41, 60)
+    rows = [(k, plain(50 + k, 12) + " " + shared + " " + plain(70 + k, 12), "en", "a") for k in range(12)]
+    rows += [(20 + k, plain(90, 55), "en", "a") for k in range(3)]
+    wide = "".join(f"{chr(0x4E00 + 37 * k)}{chr(0x5000 + 91 * k)}漢字漢字。" for k in range(30))
+    rows += [(30, "甲乙。" + wide, "zh", "a"), (31, "丙丁。" + wide + "戊己。", "zh", "a"), (32, wide[:5], "zh", "a")]
+    rows += [(40, "ha " * 100, "en", "a")]
+    df = stored(spark, docs(spark, rows), tmp_path)
+    by = {r.doc_id: r for r in sentences.dedup_sentences(df).collect()}
+    assert by[0].text == rows[0][1] and by[20].text == rows[12][1] and by[30].text == rows[15][1]
+    for k in range(1, 12):
+        left = by[k].text.split()
+        assert left[:12] == plain(50 + k, 12).split() and left[-12:] == plain(70 + k, 12).split()
+        assert len(left) <= 24 + 40
+    assert by[21].text == by[22].text and len(by[21].text.split()) <= 35
+    assert by[31].text == "丙丁。戊己。" and by[31].n_sentences == 32 and by[32].text == wide[:5]
+    assert len(by[40].text.split()) == 20
+
+
 def brute_base(text):
     kinds = ("assign", "access", "hex")
     out = [("assign", m.start(), m.end()) for m in re.finditer(
