@@ -5,9 +5,10 @@ takes to reach twenty words.  Spans are hashed and joined over all documents, an
 every span that is not its hash's first one are removed.
 
 Sentences alone miss what has no full stops, so words are also cut at content-defined places: a
-*unit* starts at every sentence and at every word whose hash is the smallest in some window of eight
-words.  Units make spans of the same least length.  Of a passage of 51 equal words or more, windows
-inside it agree on the cuts from the 8th word to the 8th from its end, so some span of units lies inside.
+*unit* starts at every sentence and at every word that has, with the word after it, the smallest hash
+of some window of eight words.  Spans of units start at rows and at the smallest hashes of windows of
+sixteen.  In a passage of 51 equal words or more the first sixteen choose a start, and the span from
+there ends eight words before the passage does or earlier, at the same place in all copies.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from sparkmart.llm.common import in_small_batches, row_slices, text_buffer
 from sparkmart.llm.hashing import Words, mix, range_hash, words
 from sparkmart.llm.suffixes import _slide
 
-MIN_SENTENCES, MIN_WORDS, WINDOW = 2, 20, 8
+MIN_SENTENCES, MIN_WORDS, ENDS, BEGINS = 2, 20, 8, 16
 UNIT = np.uint64(0x94D049BB133111EB)
 _close = np.zeros(256, bool)
 _close[[ord(c) for c in ".!?"]] = True
@@ -52,17 +53,26 @@ def _weights(w: Words, buf: np.ndarray) -> np.ndarray:
     return np.r_[0, np.cumsum(np.maximum(1, (wide[w.end] - wide[w.start]) // 2))]
 
 
-def unit_starts(w: Words, starts: np.ndarray) -> np.ndarray:
-    """First words of the units: sentence starts, and words with the least hash of some window."""
-    n = len(w.start) - WINDOW + 1
+def _chosen(h: np.ndarray, row: np.ndarray, window: int) -> np.ndarray:
+    """Is the hash the smallest of some window of so many words?"""
+    n = len(h) - window + 1
     if n <= 0:
-        return starts
-    h = mix(w.hash ^ UNIT) | np.uint64(1)
-    least = _slide(h, WINDOW, np.minimum)
-    least[w.row[:n] != w.row[WINDOW - 1:]] = 0  # windows over two rows choose nothing
-    pad = np.zeros(WINDOW - 1, np.uint64)
-    chosen = _slide(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
-    return np.union1d(starts, np.flatnonzero(chosen == h))
+        return np.zeros(len(h), bool)
+    least = _slide(h, window, np.minimum)
+    least[row[:n] != row[window - 1:]] = 0  # windows over two rows choose nothing
+    pad = np.zeros(window - 1, np.uint64)
+    return _slide(np.concatenate([pad, least, pad]), window, np.maximum) == h
+
+
+def unit_starts(w: Words, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the units, and whether a span starts there."""
+    after = np.zeros(len(w.hash), np.uint64)
+    after[:-1] = np.where(w.row[1:] == w.row[:-1], w.hash[1:], 0)
+    h = mix(w.hash * UNIT + after) | np.uint64(1)
+    begins = _chosen(h, w.row, BEGINS)
+    units = np.union1d(starts, np.flatnonzero(_chosen(h, w.row, ENDS) | begins))
+    begins[w.first[:-1][np.diff(w.first) > 0]] = True
+    return units, begins[units]
 
 
 def sentence_starts(w: Words, buf: np.ndarray) -> np.ndarray:
@@ -77,9 +87,10 @@ def sentence_starts(w: Words, buf: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def spans(w: Words, weight: np.ndarray, starts: np.ndarray, min_sentences: int, min_words: int):
+def spans(w: Words, weight: np.ndarray, starts: np.ndarray, min_sentences: int, min_words: int,
+          begins: np.ndarray | None = None):
     """(hash, row, first sentence within the row, number of sentences) of every span; ``starts``
-    are those of sentences or of units."""
+    are those of sentences or of units, and ``begins`` tells which of them start a span."""
     if not len(starts):
         return (np.empty(0, np.uint64),) + (np.empty(0, np.int64),) * 4
     row = w.row[starts]
@@ -88,7 +99,7 @@ def spans(w: Words, weight: np.ndarray, starts: np.ndarray, min_sentences: int,
     index = np.arange(len(starts))
     last = np.maximum(index + min_sentences - 1, np.searchsorted(weight[ends], weight[starts] + min_words))
     limit = np.searchsorted(row, row, "right")  # one past the row's last sentence
-    at = np.flatnonzero(last < limit)
+    at = np.flatnonzero(last < limit if begins is None else (last < limit) & begins)
     return (range_hash(w.hash, starts[at], ends[last[at]]), row[at], index[at] - first[row[at]],
             last[at] - index[at] + 1, first)
 
@@ -111,8 +122,8 @@ def _first_of(h: np.ndarray, row: np.ndarray) -> np.ndarray:
 def _both(w: Words, buf: np.ndarray, min_sentences: int, min_words: int):
     """(starts, spans) of the sentences and of the units; hashes of the two kinds never meet."""
     weight, starts = _weights(w, buf), sentence_starts(w, buf)
-    units = unit_starts(w, starts)
-    of_units = spans(w, weight, units, 2, min_words)
+    units, begins = unit_starts(w, starts)
+    of_units = spans(w, weight, units, 2, min_words, begins)
     return (starts, spans(w, weight, starts, min_sentences, min_words)), (
         units, (mix(of_units[0] ^ UNIT), *of_units[1:]))
 
