@@ -3,7 +3,8 @@
 The mix is a line of slots of equally many words.  The golden-ratio points of the slots fall into
 the sources' cumulative targets, so every stretch of the schedule has each source in proportion.
 The n-th slot of a source takes the n-th block of that source's shuffled text, its documents laid
-end to end up to ``max_repeats`` times.
+end to end up to ``max_repeats`` times.  Sources with a target of few blocks, which the points hit by
+chance, take the first words of that line up to their target.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from sparkmart.llm.common import staged
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 MAX_BLOCK, SLOTS_PER_SOURCE = 4096, 1024
+#: Below so many blocks of target, a source is not left to the points.
+FEW_BLOCKS = 16
 CELLS, CHUNK = 4096, 16384
 #: 2**31 times the golden ratio's fractional part; the points repeat after 2**31 slots.
 PERIOD, STEP = 2 ** 31, 1327217885
@@ -141,6 +144,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS
     known = targets.select(F.col("source").alias("_source"), "src", "source_size", "target", "block")
     rows = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     lines = shuffled_offsets(rows.filter("size > 0"), seed)
+    few = f"target < {FEW_BLOCKS} * block"
+    lines, small = lines.filter(f"not ({few})"), lines.filter(few)
     pieces = (
         lines.withColumn("epoch", F.explode(F.expr(f"sequence(0L, {max_repeats - 1}L)")))
         .withColumn("start", F.expr("epoch * source_size + offset"))
@@ -152,6 +157,12 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS
         pieces.select("src", "nth", "rid", "words").join(slot_schedule(targets), ["src", "nth"])
         .groupBy("rid").agg(F.sum("words").alias("taken"))
     )
+    whole = "greatest(0L, least(size, cast(ceil(target) as bigint) - epoch * source_size - offset))"
+    first = (
+        small.withColumn("epoch", F.explode(F.expr(f"sequence(0L, {max_repeats - 1}L)")))
+        .withColumn("words", F.expr(whole)).groupBy("rid").agg(F.sum("words").alias("taken"))
+    )
+    taken = taken.unionByName(first)
     return rows.join(taken, "rid", "left").select(
         "doc_id", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))

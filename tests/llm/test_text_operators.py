@@ -176,6 +176,20 @@ def test_mix_targets(spark):
     assert [r.taken for r in mixing.mix_sources(docs(spark, edge_rows()[:3])).collect()] == [0, 0, 0]
 
 
+def test_mix_small_source(spark):
+    sizes = {f"s{k:02}": 200 for k in range(19)} | {"zz": 5}
+    rows = [(100 * k + i, "w " * (1 if s == "zz" else 400), "en", s)
+            for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    out = mixing.mix_sources(docs(spark, rows)).collect()
+    assert len(out) == len(rows) and all(0 <= r.taken <= 3 * r.size for r in out)
+    taken = sum(r.taken for r in out if r.source == "zz")
+    target = next(r.target for r in out if r.source == "zz")
+    assert 0 < target <= taken < target + 1
+    for s in sizes:
+        target = next(r.target for r in out if r.source == s)
+        assert abs(sum(r.taken for r in out if r.source == s) - target) < max(1, 0.02 * target)
+
+
 def luhn(d):
     x = [int(c) for c in d][::-1]
     return sum(x[::2]) % 10 == -sum((2 * c if c < 5 else 2 * c - 9) for c in x[1::2]) % 10
