@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmart.session import staged
+
 HEX_DIGITS = 3
 BUCKETS = 16 ** HEX_DIGITS
 
@@ -52,3 +54,28 @@ def assign_row_keys(df: DataFrame, sk: str, start: int = 0) -> DataFrame:
 def largest_key(df: DataFrame, sk: str) -> Column:
     """The largest key of a table, 0 when it is empty, as a scalar subquery column."""
     return F.coalesce(df.agg(F.max(sk)).scalar(), F.lit(0).cast("bigint"))
+
+
+#: ``monotonically_increasing_id`` has the partition above these bits and the row in it below.
+ROW_BITS = 33
+
+
+def number_rows(df: DataFrame, name: str, order_by: list[Column | str], start: int = 0) -> DataFrame:
+    """``df`` with gap-free numbers from ``start`` on, in the order of ``order_by``; staged.
+
+    A distributed prefix sum: rows are dealt into ranges of the order and sorted there, the sorted
+    ranges are written once, their sizes (one row per partition) are added up, and a row's number
+    is its range's offset plus its place in the range.  So no task holds more than a range, however
+    many rows there are.  Rows alike in all of ``order_by`` stay in one range: give columns that
+    tell rows apart.
+    """
+    order = [F.col(o) if isinstance(o, str) else o for o in order_by]
+    placed = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn(name, F.monotonically_increasing_id()))
+    part = F.shiftright(F.col(f"`{name}`"), ROW_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    shift = placed.groupBy(part.alias("_part")).count().select(
+        "_part", (F.lit(start) + F.coalesce(F.sum("count").over(before), F.lit(0))
+                  - F.shiftleft("_part", ROW_BITS)).alias("_shift"))
+    return (placed.join(F.broadcast(shift), part == F.col("_part"))
+            .withColumn(name, F.col(f"`{name}`") + F.col("_shift")).drop("_part", "_shift"))

@@ -10,7 +10,7 @@ from sparkmart.operators import dedup
 from sparkmart.operators.dedup import drop_loaded, latest_by_key
 from sparkmart.operators.generators import date_series, explode_array, explode_map
 from sparkmart.operators.incremental import high_water_mark, newer_than
-from sparkmart.operators.keys import assign_row_keys, assign_surrogate_keys, largest_key
+from sparkmart.operators.keys import assign_row_keys, assign_surrogate_keys, largest_key, number_rows
 from sparkmart.operators.lookup import account_bridge, is_small, junk_dimension, lookup_fk
 from sparkmart.operators.quality import (
     check_length,
@@ -131,3 +131,13 @@ def test_quality_checks(spark):
     assert counts(check_unique(df, ["s", "n"])) == {"s, n is unique": 0}
     assert counts(check_one_current(df, "s")) == {"s is unique": 1}
     assert counts(check_unique(df.filter("false"), ["s"])) == {"s is unique": 0}
+
+
+def test_number_rows_is_gap_free_in_order(spark):
+    rows = [(i * 7919 % 1000, i % 3) for i in range(1000)] + [(None, 9)]
+    frame = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    out = [(r.n, r.k) for r in number_rows(frame, "n", [F.asc_nulls_first("k"), "v"], start=10).collect()]
+    keys = [k for _, k in sorted(out)]
+    assert [n for n, _ in sorted(out)] == list(range(10, 1011))
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
+    assert number_rows(spark.createDataFrame([], "k int"), "n", ["k"]).count() == 0
