@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkmart.llm.alignment import align_documents
+from sparkmart.llm.chat import chat_sql, format_conversations
 from sparkmart.llm.common import read
 from sparkmart.llm.credentials import scan_secrets
 from sparkmart.llm.jaccard import jaccard_join, jaccard_sql
@@ -13,6 +15,7 @@ from sparkmart.llm.language import identify
 from sparkmart.llm.mixing import mix_sources, mixing_sql
 from sparkmart.llm.pseudonyms import pseudonymise
 from sparkmart.llm.quality import classify
+from sparkmart.llm.repair import repair_report
 from sparkmart.llm.sentences import dedup_sentences
 from sparkmart.llm.suffixes import dedup_suffixes
 from sparkmart.llm.tiling import contaminated_pairs
@@ -84,3 +87,21 @@ ORACLE["op1_collision_counting"] = near_vectors_sql()
 @query
 def op7_deep_shallow_suffixes(spark, sf_dir):
     return dedup_suffixes(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_prefix_doubling_repair(spark, sf_dir):
+    return repair_report(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_interval_coalescing(spark, sf_dir):
+    return align_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_reply_trees(spark, sf_dir):
+    return format_conversations(read(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_reply_trees"] = chat_sql()
