@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 CHUNK = 100_000
 
 
-def latest_by_key(df: DataFrame, keys: list[str], newest: str, tie: list[str]) -> DataFrame:
+def latest_by_key(df: DataFrame, keys: list[str], newest: str, tie: list[str],
+                  count_as: str | None = None) -> DataFrame:
     """The newest row of each key by the timestamp ``newest``, then the smallest ``tie``.
 
+    ``count_as`` names a column for the number of rows the key had.
+
     Rows without a timestamp are the oldest.  A minimum of structs does it, which Spark combines
     on the map side; a window would bring all rows of a key to one task.  The remaining columns
     break full ties, so the answer never depends on row order; they must be orderable.
@@ -22,10 +25,10 @@ def latest_by_key(df: DataFrame, keys: list[str], newest: str, tie: list[str]) -
     oldest = F.lit(2 ** 63 - 1)
     rest = [c for c in names if c not in keys and c not in tie]
     best = F.min(F.struct(F.coalesce(age, oldest).alias("_age"), *tie, *rest))
-    picked = df.groupBy(*keys).agg(best.alias("_best"))
+    picked = df.groupBy(*keys).agg(best.alias("_best"), F.count(F.lit(1)).alias("_n"))
     return picked.select(*[
         F.col(c) if c in keys else F.col(f"_best.`{c}`").alias(c) for c in names
-    ])
+    ], *([F.col("_n").alias(count_as)] if count_as else []))
 
 
 def drop_loaded(new: DataFrame, loaded: DataFrame, business: list[str],

@@ -1,10 +1,15 @@
-"""Quality rules.  Each check is one distributed pass and returns rows (rule, violations)."""
+"""Quality rules: checks, each one distributed pass to rows (rule, violations), and the quarantine of
+rows that break a rule, which takes no pass of its own."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from sparkmart.schemas import REJECT_REASON
+
 
 def _as_rows(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
     """One aggregation for all rules, then one row per rule."""
@@ -40,22 +45,47 @@ def check_one_current(dim: DataFrame, key: str) -> DataFrame:
     return check_unique(dim.filter("is_current"), [key])
 
 
-def enforce(df: DataFrame, table: str, not_null: list[str] = (),
-            limits: dict[str, int] | None = None, unless: str | None = None) -> DataFrame:
-    """``df`` unchanged; the job that writes it fails on the first row that breaks a constraint.
+def broken_rule(df: DataFrame, not_null: list[str] = (), limits: dict[str, int] | None = None) -> Column:
+    """Name of the first rule a row breaks, NULL if it keeps all; columns ``df`` lacks have no rules."""
+    rules = [F.when(F.col(f"`{c}`").isNull(), f"{c} is null") for c in not_null if c in df.columns]
+    rules += [F.when(F.length(F.col(f"`{c}`")) > n, f"{c} is longer than {n}")
+              for c, n in (limits or {}).items() if c in df.columns]
+    return F.coalesce(*rules, F.lit(None).cast("string"))
+
+
+def quarantine(df: DataFrame, not_null: list[str] = (), limits: dict[str, int] | None = None) -> DataFrame:
+    """``df`` with ``reject_reason``: the reason a row has already, or else the rule it breaks.
 
-    Checked row by row inside the projection that is written, without a pass of its own.  Rows for
-    which the boolean column ``unless`` holds, such as rejected ones, are exempt.
+    Evaluated row by row in the projection that is written; the writer puts rows with a reason
+    into a partition of their own, so a bad row costs no pass and ends no load.
     """
-    exempt = F.coalesce(F.col(unless), F.lit(False)) if unless else F.lit(False)
-    broken = {c: [(F.col(f"`{c}`").isNull(), "is null")] for c in not_null}
-    for c, n in (limits or {}).items():
-        broken.setdefault(c, []).append((F.length(F.col(f"`{c}`")) > n, f"is longer than {n}"))
-    checked = {}
-    for c, rules in broken.items():
-        value = F.col(f"`{c}`")
-        for rule, what in rules:
-            failed = F.raise_error(F.lit(f"{table}: {c} {what}")).cast(df.schema[c].dataType)
-            value = F.when(rule & ~exempt, failed).otherwise(value)
-        checked[c] = value
-    return df.select(*[checked.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
+    rule = broken_rule(df, not_null, limits)
+    reason = F.coalesce(F.col(REJECT_REASON), rule) if REJECT_REASON in df.columns else rule
+    return df.withColumn(REJECT_REASON, reason)
+
+
+#: Counted as one outcome beside the reasons.
+ACCEPTED = "accepted"
+
+
+def observed(df: DataFrame, reasons: list[str]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` to be written, and a function that afterwards gives the rows of each outcome.
+
+    The counts are taken by the job that writes ``df``.  ``reasons`` are those to tell apart; rows
+    with another one are counted as ``other``.
+    """
+    reason = F.col(REJECT_REASON)
+    seen = Observation()
+    names = {f"r{i}": r for i, r in enumerate(reasons)}
+    counted = df.observe(seen, F.count(F.lit(1)).alias("all"), F.count_if(reason.isNull()).alias("ok"),
+                         *(F.count_if(reason == r).alias(n) for n, r in names.items()))
+
+    def outcomes() -> dict[str, int]:
+        got = seen.get
+        out = {ACCEPTED: got["ok"], **{r: got[n] for n, r in names.items()}}
+        return {k: n for k, n in {**out, "other": got["all"] - sum(out.values())}.items() if n}
+    return counted, outcomes
+
+
+def rule_names(not_null: list[str] = (), limits: dict[str, int] | None = None) -> list[str]:
+    return [f"{c} is null" for c in not_null] + [f"{c} is longer than {n}" for c, n in (limits or {}).items()]

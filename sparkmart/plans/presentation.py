@@ -11,9 +11,18 @@ from sparkmart.functions.flags import array_flags, array_presence_flags, presenc
 from sparkmart.functions.scalars import date_key, to_bool
 from sparkmart.operators.keys import assign_row_keys
 from sparkmart.operators.lookup import junk_dimension, lookup_fk
-from sparkmart.operators.scd import scd1_upsert, scd2_delta, scd2_merge, with_source
+from sparkmart.operators.quality import quarantine
+from sparkmart.operators.scd import scd1_upsert, scd2_merge, with_source
 from sparkmart.operators.spread import spread_join
-from sparkmart.schemas import BENEFIT_FLAGS, PRODUCT_FLAGS, SOURCE_SYSTEM, TIER_FLAGS
+from sparkmart.schemas import (
+    BENEFIT_FLAGS,
+    MAX_LENGTH,
+    NOT_NULL,
+    PRODUCT_FLAGS,
+    REJECT_REASON,
+    SOURCE_SYSTEM,
+    TIER_FLAGS,
+)
 
 CUSTOMER_TRACKED = ["address"]
 ACCOUNT_TRACKED = list(PRODUCT_FLAGS)
@@ -70,20 +79,16 @@ def build_dim_account(processed: DataFrame, target: DataFrame, run_date: str | d
     return scd2_merge(target, incoming, "account_id", ACCOUNT_TRACKED, run_date, "account_sk")
 
 
-def customer_delta(processed: DataFrame, current: DataFrame, run_date: str | date,
-                   start: Column | int, source: str = SOURCE_SYSTEM) -> DataFrame:
-    """Current and newly closed customer versions; older history is not needed for that."""
-    incoming = with_source(customer_grain(processed), source)
-    return scd2_delta(current, incoming, "customer_bk", CUSTOMER_TRACKED, run_date,
-                      "customer_sk", start)
+def customer_updates(processed: DataFrame, source: str = SOURCE_SYSTEM) -> DataFrame:
+    """Incoming customers; those that break a rule of the dimension have it as reason."""
+    return quarantine(with_source(customer_grain(processed), source), NOT_NULL["dim_customer"],
+                      MAX_LENGTH["dim_customer"])
 
 
-def account_delta(processed: DataFrame, current: DataFrame, run_date: str | date,
-                  start: Column | int, source: str = SOURCE_SYSTEM) -> DataFrame:
-    """Current and newly closed account versions."""
-    incoming = with_source(account_grain(processed), source)
-    return scd2_delta(current, incoming, "account_id", ACCOUNT_TRACKED, run_date,
-                      "account_sk", start)
+def account_updates(processed: DataFrame, source: str = SOURCE_SYSTEM) -> DataFrame:
+    """Incoming accounts; those that break a rule of the dimension have it as reason."""
+    return quarantine(with_source(account_grain(processed), source), NOT_NULL["dim_account"],
+                      MAX_LENGTH["dim_account"])
 
 
 def build_dim_transaction_details(transactions: DataFrame, target: DataFrame,
@@ -99,17 +104,21 @@ def resolve_owners(bridge: DataFrame, customers: DataFrame) -> DataFrame:
     return spread_join(bridge, [known], ["customer_bk"], deal_by=["customer_bk", "account_id"])
 
 
-def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers: DataFrame,
-                           accounts: DataFrame, details: DataFrame, run_ts: datetime | str,
-                           start: int = 0) -> DataFrame:
-    """One row per transaction and owner, with a ``reject_reason`` where a needed key is missing.
+NO_OWNER = "account has no owner"
+UNKNOWN_OWNER = "owner is not in the customer dimension"
+UNKNOWN_ACCOUNT = "account is not in the account dimension"
+#: Reasons that a later load of customers or accounts can settle.
+OPEN_REASONS = [NO_OWNER, UNKNOWN_OWNER, UNKNOWN_ACCOUNT]
 
-    ``customers`` and ``accounts`` are lookups of current rows.  ``transactions`` must be a scan
-    or computed from one row by row; they are numbered there, which tells copies apart.  The transactions are shuffled
-    once, by account, for the account and the owner lookup together; owners are resolved to
-    customer keys before, on the much smaller bridge.  Accounts with very many transactions or
-    very many owners are split over several tasks.
-    """
+
+def _missing_key() -> Column:
+    return (F.when(F.col("customer_bk").isNull(), NO_OWNER).when(F.col("customer_fk").isNull(), UNKNOWN_OWNER)
+            .when(F.col("account_fk").isNull(), UNKNOWN_ACCOUNT))
+
+
+def fact_rows(transactions: DataFrame, bridge: DataFrame, customers: DataFrame,
+              accounts: DataFrame, details: DataFrame, run_ts: datetime | str) -> DataFrame:
+    """The rows of ``build_fact_transaction`` without their own keys."""
     account_keys = accounts.select("account_id", F.col("account_sk").alias("account_fk"))
     owners = resolve_owners(bridge, customers)
     numbered = transactions.withColumn("_row", F.monotonically_increasing_id())
@@ -117,23 +126,68 @@ def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers
                          count_from=transactions, count_many_from=bridge, deal_by=["_row"])
     pairs = details.select(F.col("transaction_details_pk").alias("transaction_details_fk"),
                            *DETAIL_KEYS)
-    reason = (
-        F.when(F.col("customer_bk").isNull(), "account has no owner")
-        .when(F.col("customer_fk").isNull(), "owner is not in the customer dimension")
-        .when(F.col("account_fk").isNull(), "account is not in the account dimension")
-    )
-    rows = lookup_fk(joined, pairs, DETAIL_KEYS, deal_by=["_row", "customer_bk"]).select(
+    return lookup_fk(joined, pairs, DETAIL_KEYS, deal_by=["_row", "customer_bk"]).select(
         F.col("transaction_id").alias("transaction_bk"),
         "customer_fk", "account_fk", "transaction_details_fk",
         date_key(F.col("transaction_date")).alias("transaction_date_fk"),
         F.col("account_id").alias("account_bk"),
         "customer_bk", "amount", "unit_price",
         F.lit(run_ts).cast("timestamp").alias("create_date"),
-        reason.alias("reject_reason"),
+        _missing_key().alias("reject_reason"),
     )
+
+
+def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers: DataFrame,
+                           accounts: DataFrame, details: DataFrame, run_ts: datetime | str,
+                           start: int = 0) -> DataFrame:
+    """One row per transaction and owner, with a ``reject_reason`` where a needed key is missing.
+
+    ``customers`` and ``accounts`` are lookups of current rows.  ``transactions`` must be a scan
+    or computed from one row by row; they are numbered there, which tells copies apart.  The transactions are shuffled
+    once, by account, for the account and the owner lookup together; owners are resolved to
+    customer keys before, on the much smaller bridge.  Accounts with very many transactions or
+    very many owners are split over several tasks.
+    """
+    rows = fact_rows(transactions, bridge, customers, accounts, details, run_ts)
     return assign_row_keys(rows, "fact_transactions_pk", start)
 
 
+def split_open(open_facts: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """The ledger of open facts with ``_retry``: may its row be settled by what this run brought?
+
+    ``accounts`` (account_id) and ``customers`` (customer_bk) are what is new to the dimensions or to
+    the owners' bridge.  All other open rows would find what they found before, so they wait untried.
+    """
+    new_accounts = accounts.select(F.col("account_id").alias("_account")).distinct().withColumn("_by_account", F.lit(True))
+    new_customers = customers.select(F.col("customer_bk").alias("_customer")).distinct().withColumn("_by_customer", F.lit(True))
+    return (
+        open_facts.join(new_accounts, F.col("account_bk") == F.col("_account"), "left")
+        .join(new_customers, F.col("customer_bk") == F.col("_customer"), "left")
+        .withColumn("_retry", F.coalesce("_by_account", "_by_customer", F.lit(False)))
+        .select(*open_facts.columns, "_retry")
+    )
+
+
+def settle_open(open_facts: DataFrame, bridge: DataFrame, customers: DataFrame, accounts: DataFrame,
+                run_ts: datetime | str) -> DataFrame:
+    """Open facts tried again: all their columns, with new keys and perhaps a new reason.
+
+    A row that knows its owner keeps it; one without becomes a row per owner, if there are any now.
+    ``opened`` stays the time a fact was first tried.
+    """
+    account_keys = accounts.select(F.col("account_id").alias("account_bk"), F.col("account_sk").alias("account_fk"))
+    known = customers.select("customer_bk", F.col("customer_sk").alias("customer_fk"))
+    owners = resolve_owners(bridge, customers).withColumnRenamed("account_id", "account_bk")
+    rows = open_facts.drop("customer_fk", "account_fk", REJECT_REASON, "create_date")
+    row, account = ["fact_transactions_pk"], ["account_bk"]
+    owned = spread_join(spread_join(rows.filter("customer_bk is not null"), [known], ["customer_bk"], deal_by=row),
+                        [account_keys], account, deal_by=row)
+    unowned = spread_join(rows.filter("customer_bk is null").drop("customer_bk"), [account_keys], account, many=owners,
+                          count_many_from=owners.select(*account), deal_by=row)
+    return owned.unionByName(unowned).withColumns({
+        "create_date": F.lit(run_ts).cast("timestamp"), REJECT_REASON: _missing_key()})
+
+
 def accepted(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 

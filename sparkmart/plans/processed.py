@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.scalars import composite_key, iso_to_date, iso_to_epoch
 from sparkmart.operators.dedup import latest_by_key
 from sparkmart.operators.generators import explode_array, explode_map
 from sparkmart.operators.incremental import newer_than
-from sparkmart.schemas import ACCOUNT_DOC, CUSTOMER_DOC, FIRST_MARK, TRANSACTION_DOC
-from sparkmart.sources.raw import parse_envelope
+from sparkmart.operators.quality import quarantine
+from sparkmart.schemas import ACCOUNT_DOC, CUSTOMER_DOC, FIRST_MARK, NOT_NULL, REJECT_REASON, TRANSACTION_DOC
+from sparkmart.sources.raw import parse_envelope, refusal
 
 SYNCED = "_fivetran_synced"
 
 
-def process_customers(raw: DataFrame) -> DataFrame:
-    """One row per customer, account and tier.
+#: Columns of the loads that tell accepted rows from those kept apart.
+REJECT_COLUMNS = [REJECT_REASON, "document_id", "document"]
 
-    Customers without accounts drop out; customers without tiers stay.
-    """
-    docs = parse_envelope(raw, CUSTOMER_DOC).select(
+
+def _kept_apart(reason: Column) -> list[Column]:
+    """The reject columns of a decoded document; its text stays only if it gave no rows at all."""
+    return [reason.alias(REJECT_REASON), F.col("_id").alias("document_id"),
+            F.when(reason.isNotNull(), F.col("document")).alias("document")]
+
+
+def _none(array: str) -> Column:
+    return F.coalesce(F.size(array), F.lit(0)) <= 0
+
+
+def _customer_rows(raw: DataFrame, all_documents: bool) -> DataFrame:
+    """One row per customer, account and tier; ``all_documents`` adds one per document without any."""
+    kept = _kept_apart(refusal(_none("data.accounts"), "accounts")) if all_documents else []
+    docs = parse_envelope(raw, CUSTOMER_DOC, text_as="document" if all_documents else None).select(
         F.col("_id").alias("id"),
         F.col("data.username").alias("user_name"),
         "data.name",
@@ -29,20 +42,45 @@ def process_customers(raw: DataFrame) -> DataFrame:
         "data.email",
         F.col("data.active").alias("active_customer"),
         F.col(SYNCED).alias("ingest_date"),
-        "data",
+        "data", *kept,
     )
-    per_account = explode_array(docs, "data.accounts", "account_id")
-    return explode_map(per_account, "data.tier_and_details", "tier_key", "details").select(
+    per_account = explode_array(docs, "data.accounts", "account_id", keep_empty=all_documents)
+    if all_documents:  # a document without accounts is one row, however many tiers it names
+        refused = F.col(REJECT_REASON).isNotNull()
+        per_account = per_account.withColumn("tiers", F.when(~refused, F.col("data.tier_and_details")))
+    tiers = "tiers" if all_documents else "data.tier_and_details"
+    return explode_map(per_account, tiers, "tier_key", "details").select(
         "id", "user_name", "name", "address", "birth_date", "email", "active_customer",
         "account_id", "tier_key", "details.tier", "details.benefits",
         F.col("details.active").alias("tier_active"), "ingest_date",
+        *(REJECT_COLUMNS if all_documents else []),
     )
 
 
-def _account_documents(raw: DataFrame) -> DataFrame:
-    return parse_envelope(raw, ACCOUNT_DOC).select(
+def process_customers(raw: DataFrame) -> DataFrame:
+    """One row per customer, account and tier.
+
+    Customers without accounts drop out; customers without tiers stay.
+    """
+    return _customer_rows(raw, all_documents=False)
+
+
+def load_customers(raw: DataFrame) -> DataFrame:
+    """All rows of ``process_customers`` and what is kept apart, from one decoding.
+
+    Documents without rows (NULL, unreadable, or without accounts) are one row each, with their text
+    and a reason; rows that break a constraint have the rule as reason.
+    """
+    return quarantine(_customer_rows(raw, all_documents=True), NOT_NULL["customer"])
+
+
+def _account_documents(raw: DataFrame, all_documents: bool = False) -> DataFrame:
+    kept = []
+    if all_documents:
+        kept = _kept_apart(refusal(F.col("data.account_id").isNull(), "account"))
+    return parse_envelope(raw, ACCOUNT_DOC, text_as="document" if all_documents else None).select(
         F.col("_id").alias("id"), "data.account_id", "data.limit", "data.products",
-        F.col(SYNCED).alias("ingest_date"),
+        F.col(SYNCED).alias("ingest_date"), *kept,
     )
 
 
@@ -57,18 +95,32 @@ def process_accounts(raw: DataFrame) -> DataFrame:
     return latest_by_key(docs, ["account_id"], newest="ingest_date", tie=["id"])
 
 
-def decode_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
-    """One row per transaction of the buckets synced after the mark, usable or not."""
-    buckets = parse_envelope(newer_than(raw, SYNCED, mark), TRANSACTION_DOC).select(
+def load_accounts(raw: DataFrame) -> DataFrame:
+    """Each account's newest document that keeps the constraints, and the documents kept apart.
+
+    One decoding and one aggregate: refused documents are keys of their own there.  ``n_documents``
+    counts the documents behind a row, so the counts add up to the documents read.
+    """
+    docs = quarantine(_account_documents(raw, all_documents=True), NOT_NULL["account"])
+    refused = F.when(F.col(REJECT_REASON).isNotNull(), F.struct("document_id", "ingest_date", REJECT_REASON, "document"))
+    return latest_by_key(docs.withColumn("_refused", refused), ["account_id", "_refused"], newest="ingest_date",
+                         tie=["id"], count_as="n_documents").drop("_refused")
+
+
+def _transaction_rows(raw: DataFrame, mark: str, all_documents: bool) -> DataFrame:
+    kept = _kept_apart(refusal(_none("data.transactions"), "transactions")) if all_documents else []
+    decoded = parse_envelope(newer_than(raw, SYNCED, mark), TRANSACTION_DOC,
+                             text_as="document" if all_documents else None)
+    buckets = decoded.select(
         "data.account_id",
         iso_to_date(F.col("data.bucket_start_date")).alias("bucket_start_date"),
         iso_to_date(F.col("data.bucket_end_date")).alias("bucket_end_date"),
         "data.transaction_count",
         F.col(SYNCED).alias("ingest_date"),
-        "data",
+        "data", *kept,
     )
     made = F.col("tx.date")
-    return explode_array(buckets, "data.transactions", "tx").select(
+    return explode_array(buckets, "data.transactions", "tx", keep_empty=all_documents).select(
         composite_key(F.col("account_id"), iso_to_epoch(made)).alias("transaction_id"),
         "account_id",
         iso_to_date(made).alias("transaction_date"),
@@ -81,9 +133,24 @@ def decode_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
         "bucket_end_date",
         "transaction_count",
         "ingest_date",
+        *(REJECT_COLUMNS if all_documents else []),
     )
 
 
+def decode_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
+    """One row per transaction of the buckets synced after the mark, usable or not."""
+    return _transaction_rows(raw, mark, all_documents=False)
+
+
+def load_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
+    """All transactions of the buckets synced after the mark, and the buckets without any.
+
+    Buckets that are NULL, unreadable or empty are one row each, with their text and a reason;
+    transactions no key can be made for, and those that break a constraint, have the rule as reason.
+    """
+    return quarantine(_transaction_rows(raw, mark, all_documents=True), NOT_NULL["transaction"])
+
+
 def process_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
     """Transactions with a key.  The key is not unique: copies and same-second pairs share it."""
     return decode_transactions(raw, mark).filter(F.col("transaction_id").isNotNull())

@@ -6,36 +6,57 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import schemas as S
 from sparkmart.operators.dedup import drop_loaded
 from sparkmart.operators.incremental import high_water_mark, newer_than
-from sparkmart.operators.keys import largest_key
-from sparkmart.operators.lookup import account_bridge, lookup_view
-from sparkmart.operators.quality import enforce
+from sparkmart.operators.keys import assign_row_keys, key_digits, largest_key
+from sparkmart.operators.lookup import account_bridge, junk_dimension, lookup_view
+from sparkmart.operators.quality import observed, quarantine, rule_names
+from sparkmart.operators.scd import BUCKET, bucket_of, scd1_upsert, scd2_delta, with_source
 from sparkmart.plans.calendar import build_dim_date
 from sparkmart.plans.presentation import (
+    ACCOUNT_TRACKED,
+    CUSTOMER_TRACKED,
     DETAIL_KEYS,
-    account_delta,
-    build_dim_transaction_details,
+    OPEN_REASONS,
+    account_updates,
     build_fact_transaction,
-    customer_delta,
+    customer_updates,
+    settle_open,
+    split_open,
 )
 from sparkmart.plans.processed import (
-    decode_transactions,
-    process_accounts,
-    process_customers,
-    rejected_accounts,
+    REJECT_COLUMNS,
+    load_accounts,
+    load_customers,
+    load_transactions,
+)
+from sparkmart.session import prepare, staged
+from sparkmart.sources.raw import EMPTY, UNREADABLE, read_raw, without_deleted
+from sparkmart.sources.store import (
+    Bucket,
+    TableStore,
+    bucket_count,
+    bucket_digests,
+    conform,
+    run_id_of,
+    with_defaults,
 )
-from sparkmart.session import prepare
-from sparkmart.sources.raw import read_raw, without_deleted
-from sparkmart.sources.store import TableStore, conform, run_id_of, with_defaults
 
 ACCEPTED = "is_rejected=false"
-TABLES = ["customer", "account", "account_rejects", "transaction", "dim_date", "dim_customer", "dim_account",
-          "dim_transaction_details", "fact_transaction"]
+TABLES = ["customer", "account", "transaction", "dim_date", "dim_customer", "dim_account",
+          "dim_transaction_details", "fact_transaction", "fact_open"]
+OUTCOMES = "table_name string, outcome string, n_rows bigint"
+#: Reasons besides the rules, by table.
+REFUSALS = {
+    "customer": [EMPTY, UNREADABLE, "document has no accounts"],
+    "account": [EMPTY, UNREADABLE, "document has no account"],
+    "transaction": [EMPTY, UNREADABLE, "document has no transactions"],
+    "fact_transaction": OPEN_REASONS,
+}
 
 
 def last_mark(store: TableStore, table: str, schema: str, col: str, run_id: str) -> str:
@@ -79,9 +100,11 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
     it is, so a run that broke off is repeated with the same ``run_ts`` and goes on where it
     stopped.  ``skip_loaded`` drops transactions of buckets that were synced again.
 
-    Every accepted row that is written keeps the declared constraints: a NULL in a declared column
-    or a string beyond its declared length ends the run.  Account documents that name no account
-    go to ``account_rejects``.
+    No document and no row ends the load or gets lost.  Documents that are empty, unreadable or without
+    rows, and rows that break a declared constraint, are written with a reason, beside the accepted
+    rows of the same job (``store.rejected``; rows refused by a dimension have no ``is_current``).
+    Facts whose owner or account is unknown wait in ``fact_open``; each run tries those that its
+    new keys may settle.  ``outcomes`` counts accepted and refused rows of each table and run.
     """
     prepare(spark)
     if run_ts.tzinfo:
@@ -98,58 +121,104 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
     def once(table: str, job: Callable[[str], None]) -> Callable[[], None]:
         return lambda: None if run_id in store.runs(table) else job(table)
 
-    def write(rows: DataFrame, table: str, schema: str, partition_by: str | None = None) -> None:
-        rows = enforce(conform(rows, schema), table, S.NOT_NULL.get(table, []), S.MAX_LENGTH.get(table),
-                       unless="is_rejected" if partition_by == "is_rejected" else None)
-        store.write_run(rows, table, run_id, partition_by=partition_by)
+    def write(rows: DataFrame, table: str, partition_by: str | list[str] = "is_rejected") -> None:
+        """Write rows with ``reject_reason``, and the counts their writing has taken."""
+        if partition_by == "is_rejected":
+            rows = rows.withColumn("is_rejected", F.col(S.REJECT_REASON).isNotNull())
+        rules = rule_names(S.NOT_NULL.get(table, []), S.MAX_LENGTH.get(table))
+        counted, outcomes = observed(rows, [*REFUSALS.get(table, []), *rules])
+        store.write_run(counted, table, run_id, partition_by=partition_by)
+        found = [(table, outcome, n) for outcome, n in outcomes().items()]
+        store.write_run(spark.createDataFrame(found, OUTCOMES).coalesce(1), f"outcomes/{table}", run_id)
+
+    def processed(rows: DataFrame, table: str, schema: str, more: str = "") -> None:
+        rows = with_defaults(rows, {"create_date": stamp})
+        write(quarantine(conform(rows, f"{schema}, {S.REJECT}{more}"), S.NOT_NULL[table]), table)
 
     def customers(table):
-        rows = with_defaults(process_customers(collection("customers")), {"create_date": stamp})
-        write(rows, table, S.PROCESSED_CUSTOMER)
+        processed(load_customers(collection("customers")), table, S.PROCESSED_CUSTOMER)
 
     def accounts(table):
-        rows = with_defaults(process_accounts(collection("accounts")), {"create_date": stamp})
-        write(rows, table, S.PROCESSED_ACCOUNT)
-
-    def account_rejects(table):
-        store.write_run(rejected_accounts(collection("accounts")), table, run_id)
+        processed(load_accounts(collection("accounts")), table, S.PROCESSED_ACCOUNT, ", n_documents bigint")
 
     def transactions(table):
         mark = last_mark(store, table, S.PROCESSED_TRANSACTION, "ingest_date", run_id)
-        rows = decode_transactions(collection("transactions"), mark)
+        rows = load_transactions(collection("transactions"), mark)
         if skip_loaded:
             loaded = store.appended(table, S.PROCESSED_TRANSACTION, before=run_id, part=ACCEPTED)
-            usable = F.col("transaction_id").isNotNull()
-            business = [c for c in rows.columns if c != "ingest_date"]
+            usable = F.col(S.REJECT_REASON).isNull()
+            business = [c for c in rows.columns if c not in ("ingest_date", *REJECT_COLUMNS)]
             fresh = drop_loaded(rows.filter(usable), loaded, business, "transaction_id")
             rows = fresh.unionByName(rows.filter(~usable))
-        rows = with_defaults(rows, {"create_date": stamp}) \
-            .withColumn("is_rejected", F.col("transaction_id").isNull())
-        write(rows, table, S.PROCESSED_TRANSACTION + ", is_rejected boolean", "is_rejected")
+        processed(rows, table, S.PROCESSED_TRANSACTION)
+
+    def dimension(table: str, schema: str, key: str, sk: str, tracked: list[str], updates: DataFrame,
+                  rows: int) -> None:
+        """Merge the buckets whose updates differ from the last ones; refer to earlier runs for the rest."""
+        known = store.buckets(table, before=run_id)
+        n_buckets = bucket_count(rows, known)
+        again = all(b.n_buckets == n_buckets for b in known.values())
+        dealt = staged(updates.withColumn(BUCKET, bucket_of(key, n_buckets)).repartition(F.col(BUCKET)), BUCKET)
+        found = bucket_digests(dealt, BUCKET)
+        moved = {b for b, (_, digest) in found.items() if not again or b not in known or known[b].digest != digest}
+        target = store.current(table, schema, before=run_id, buckets=moved if again else None)
+        start = largest_key(store.current(table, schema, before=run_id), sk)
+        delta = scd2_delta(target, dealt.filter(F.col(BUCKET).isin(*moved)).drop(BUCKET), key, tracked, run_date, sk,
+                           start, key_digits(rows), n_buckets)
+        manifest = dict(known) if again else {}
+        manifest.update({b: Bucket(b, run_id, n_buckets, *found[b]) for b in moved})
+        if not again:  # keys that no update names are dealt out anew as well
+            manifest = {b: manifest.get(b, Bucket(b, run_id, n_buckets, 0, "")) for b in range(n_buckets)}
+        store.write_manifest(table, run_id, manifest)
+        write(conform(delta, f"{schema}, {S.REJECT_REASON} string, {BUCKET} int"), table, ["is_current", BUCKET])
 
     def dim_customer(table):
-        delta = customer_delta(
-            store.snapshot("customer", S.PROCESSED_CUSTOMER),
-            store.current(table, S.DIM_CUSTOMER, before=run_id), run_date,
-            largest_key(store.current(table, S.DIM_CUSTOMER, before=run_id), "customer_sk"),
-            source)
-        write(delta, table, S.DIM_CUSTOMER, "is_current")
+        people = store.snapshot("customer", S.PROCESSED_CUSTOMER)
+        dimension(table, S.DIM_CUSTOMER, "customer_bk", "customer_sk", CUSTOMER_TRACKED,
+                  customer_updates(people, source), people.count())
 
     def dim_account(table):
-        delta = account_delta(
-            store.snapshot("account", S.PROCESSED_ACCOUNT),
-            store.current(table, S.DIM_ACCOUNT, before=run_id), run_date,
-            largest_key(store.current(table, S.DIM_ACCOUNT, before=run_id), "account_sk"),
-            source)
-        write(delta, table, S.DIM_ACCOUNT, "is_current")
+        ledger = store.snapshot("account", S.PROCESSED_ACCOUNT)
+        dimension(table, S.DIM_ACCOUNT, "account_id", "account_sk", ACCOUNT_TRACKED,
+                  account_updates(ledger, source), ledger.count())
 
     def dim_details(table):
         # earlier transactions have left their types and symbols in the dimension
         known = store.snapshot(table, S.DIM_TRANSACTION_DETAILS, before=run_id)
         new = store.appended("transaction", S.PROCESSED_TRANSACTION, part=ACCEPTED,
                              after=max(store.runs(table), default=None))
-        seen = known.select(*DETAIL_KEYS).unionByName(new.select(*DETAIL_KEYS))
-        write(build_dim_transaction_details(seen, known, source), table, S.DIM_TRANSACTION_DETAILS)
+        pairs = staged(quarantine(with_source(junk_dimension(new, *DETAIL_KEYS), source),
+                                  limits=S.MAX_LENGTH[table]))
+        good = F.col(S.REJECT_REASON).isNull()
+        kept = scd1_upsert(known, pairs.filter(good).drop(S.REJECT_REASON), DETAIL_KEYS, "transaction_details_pk")
+        write(kept.withColumn(S.REJECT_REASON, F.lit(None).cast("string"))
+              .unionByName(pairs.filter(~good), allowMissingColumns=True), table)
+
+    def lookups() -> tuple[DataFrame, DataFrame, DataFrame]:
+        return (account_bridge(store.snapshot("customer", S.PROCESSED_CUSTOMER)),
+                lookup_view(store.current("dim_customer", S.DIM_CUSTOMER), ["customer_bk"], "customer_sk"),
+                lookup_view(store.current("dim_account", S.DIM_ACCOUNT), ["account_id"], "account_sk"))
+
+    def open_facts() -> DataFrame | None:
+        """The open facts of earlier runs, with ``_retry``; None if there are none."""
+        if not store.runs("fact_open", before=run_id):
+            return None
+        waiting = store.snapshot("fact_open", S.OPEN_FACT, before=run_id)
+        if waiting.isEmpty():
+            return None
+        since = store.runs("fact_open", before=run_id)[-1] + "~"  # the run that tried them last
+        bridge, people, ledger = lookups()
+
+        def top(dim: str, schema: str, sk: str) -> Column:
+            return largest_key(store.current(dim, schema, before=since), sk)
+
+        new_people = people.filter(F.col("customer_sk") > top("dim_customer", S.DIM_CUSTOMER, "customer_sk"))
+        new_ledger = ledger.filter(F.col("account_sk") > top("dim_account", S.DIM_ACCOUNT, "account_sk"))
+        pairs_before = account_bridge(store.snapshot("customer", S.PROCESSED_CUSTOMER, before=since))
+        new_pairs = bridge.join(pairs_before, ["customer_bk", "account_id"], "left_anti")
+        touched = (new_ledger.select("account_id").unionByName(new_pairs.select("account_id"))
+                   .unionByName(bridge.join(new_people, "customer_bk", "left_semi").select("account_id")))
+        return split_open(waiting, touched, new_people.select("customer_bk"))
 
     def fact(table):
         mark = last_mark(store, table, S.FACT_TRANSACTION, "create_date", run_id)
@@ -157,21 +226,28 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         new = newer_than(
             store.appended("transaction", S.PROCESSED_TRANSACTION, after=after, part=ACCEPTED),
             "create_date", mark)
-        rows = build_fact_transaction(
-            new,
-            account_bridge(store.snapshot("customer", S.PROCESSED_CUSTOMER)),
-            lookup_view(store.current("dim_customer", S.DIM_CUSTOMER),
-                        ["customer_bk"], "customer_sk"),
-            lookup_view(store.current("dim_account", S.DIM_ACCOUNT),
-                        ["account_id"], "account_sk"),
-            store.snapshot("dim_transaction_details", S.DIM_TRANSACTION_DETAILS),
-            str(run_ts), _last_row_key(store, run_id))
-        rows = rows.withColumn("is_rejected", F.col("reject_reason").isNotNull())
-        write(rows, table, S.FACT_TRANSACTION + ", reject_reason string, is_rejected boolean", "is_rejected")
-
-    _side_by_side([once("customer", customers), once("account", accounts),
-                   once("account_rejects", account_rejects), once("transaction", transactions)])
+        bridge, people, ledger = lookups()
+        details = store.snapshot("dim_transaction_details", S.DIM_TRANSACTION_DETAILS)
+        rows = build_fact_transaction(new, bridge, people, ledger, details, str(run_ts)) \
+            .withColumn("opened", F.col("create_date"))
+        waiting = open_facts()
+        if waiting is not None:
+            tried = settle_open(waiting.filter("_retry").drop("_retry"), bridge, people, ledger, str(run_ts))
+            rows = rows.unionByName(tried)
+        rows = quarantine(conform(rows, S.OPEN_FACT), S.NOT_NULL[table])
+        write(assign_row_keys(rows, "fact_transactions_pk", _last_row_key(store, run_id)), table)
+
+    def fact_open(table):
+        tried = store.rejected("fact_transaction", S.OPEN_FACT, run_id)
+        rows = tried.filter(F.col(S.REJECT_REASON).isin(*OPEN_REASONS))
+        waiting = open_facts()
+        if waiting is not None:
+            rows = rows.unionByName(waiting.filter("not _retry").drop("_retry"))
+        store.write_run(conform(rows, S.OPEN_FACT), table, run_id)
+
+    _side_by_side([once("customer", customers), once("account", accounts), once("transaction", transactions)])
     _side_by_side([lambda: store.ensure("dim_date", run_id, lambda: build_dim_date(spark)),
                    once("dim_customer", dim_customer), once("dim_account", dim_account),
                    once("dim_transaction_details", dim_details)])
     once("fact_transaction", fact)()
+    once("fact_open", fact_open)()

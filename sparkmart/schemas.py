@@ -54,6 +54,9 @@ PRODUCT_FLAGS = {
 FIRST_MARK = "1900-01-01 00:00:00"
 CALENDAR_START, CALENDAR_END = "1962-01-01", "2030-12-31"
 
+#: Why a document or row is kept apart; NULL for accepted ones.
+REJECT_REASON = "reject_reason"
+
 # --- processed layer --------------------------------------------------------------------------
 
 PROCESSED_CUSTOMER = """
@@ -74,6 +77,10 @@ PROCESSED_TRANSACTION = """
     ingest_date timestamp, create_date timestamp
 """
 
+#: Columns beside the declared ones: why a row is kept apart, which document it is from, and the text
+#: of a document that gave no rows at all.
+REJECT = f"{REJECT_REASON} string, document_id string, document string"
+
 # --- presentation layer -----------------------------------------------------------------------
 
 
@@ -108,6 +115,9 @@ FACT_TRANSACTION = """
     amount int, unit_price decimal(10,2), create_date timestamp
 """
 
+#: A fact row that waits for its account or owner, and when it was first tried.
+OPEN_FACT = f"{FACT_TRANSACTION}, {REJECT_REASON} string, opened timestamp"
+
 # --- declared constraints ---------------------------------------------------------------------
 
 NOT_NULL = {

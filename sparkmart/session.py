@@ -33,12 +33,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/sparkmart-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Use it where several jobs or branches read the same costly frame.  Unlike a cached frame
-    the files outlive lost executors.
+    the files outlive lost executors.  With ``partition_by`` a filter on that column reads only the
+    folders it needs.
     """
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])

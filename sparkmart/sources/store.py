@@ -9,6 +9,11 @@ again replaces just that folder.  Three ways to read follow from it:
 * ``versions``: current rows of the newest run, closed rows of all runs (history is written
   once, when a version closes, and never rewritten).
 
+A table may keep rejected rows beside the accepted ones, in ``is_rejected=true``; ``snapshot`` reads
+the accepted rows, ``rejected`` the others.  A table of versions may be bucketed by its key: a
+manifest per run, in the table ``<table>_buckets``, says which run holds each bucket's current rows,
+so a run writes the buckets that changed and refers to earlier runs for the rest.
+
 Run ids must sort in time order as text; ``run_id_of`` makes such ids.
 """
 
@@ -16,11 +21,48 @@ from __future__ import annotations
 
 from datetime import datetime
 from functools import cache
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+MANIFEST = "bucket int, held_by string, n_buckets int, n_rows bigint, digest string"
+ROWS_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 500_000, 16, 4096
+
+
+class Bucket(NamedTuple):
+    """Where the current rows of a bucket are, and what its last updates were."""
+
+    bucket: int
+    held_by: str
+    n_buckets: int
+    n_rows: int
+    digest: str
+
+
+def bucket_count(rows: int, before: dict[int, Bucket]) -> int:
+    """Buckets for a table of about ``rows`` keys: those it has, unless they have grown too large."""
+    wanted = LEAST_BUCKETS
+    while wanted < MOST_BUCKETS and rows > wanted * ROWS_PER_BUCKET:
+        wanted *= 2
+    now = next(iter(before.values())).n_buckets if before else 0
+    return now if wanted <= 4 * now else wanted
+
+
+def bucket_digests(df: DataFrame, bucket: str) -> dict[int, tuple[int, str]]:
+    """(rows, digest) of each bucket; the digest doesn't depend on the rows' order.
+
+    One row per bucket comes to the driver, at most ``MOST_BUCKETS``.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns if c != bucket]
+    h = F.xxhash64(*cols, *[c.isNull() for c in cols])  # a hash alone passes over NULLs
+    rows = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("total"),
+                                  F.bit_xor(h).alias("parity")).collect()
+    return {r[0]: (r["n"], f"{r['n']}:{r['total']}:{r['parity']}") for r in rows}
+
+
 def run_id_of(run_ts: datetime) -> str:
     return run_ts.strftime("%Y%m%dT%H%M%S%f")
 
@@ -92,14 +134,14 @@ class TableStore:
     # -- sinks -----------------------------------------------------------------------------
 
     def write_run(self, df: DataFrame, table: str, run_id: str,
-                  schema: str | None = None, partition_by: str | None = None) -> None:
+                  schema: str | None = None, partition_by: str | list[str] | None = None) -> None:
         """Write one run.  With ``schema`` the frame is conformed to it first; without, the
         frame's own schema counts (a snapshot then replaces the schema, an append widens it).
         """
         out = df if schema is None else conform(df, schema)
         writer = out.write.mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(partition_by)
+            writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
         writer.parquet(f"{self.root}/{table}/run={run_id}")
 
     def ensure(self, table: str, run_id: str, build) -> None:
@@ -111,7 +153,15 @@ class TableStore:
 
     def snapshot(self, table: str, schema: str | None = None,
                  before: str | None = None) -> DataFrame:
-        return self._read(table, self._parts(table, self.runs(table, before)[-1:], None), schema)
+        """Rows of the newest run, less the rejected ones."""
+        newest = self.runs(table, before)[-1:]
+        if newest and self._glob(f"{self.root}/{table}/run={newest[0]}/is_rejected=*"):
+            return self._read(table, self._parts(table, newest, "is_rejected=false"), schema)
+        return self._read(table, self._parts(table, newest, None), schema)
+
+    def rejected(self, table: str, schema: str, run: str | None = None) -> DataFrame:
+        """Rejected rows of one run, or of all runs."""
+        return self._read(table, self._parts(table, [run] if run else self.runs(table), "is_rejected=true"), schema)
 
     def appended(self, table: str, schema: str | None = None, before: str | None = None,
                  after: str | None = None, part: str | None = None) -> DataFrame:
@@ -129,9 +179,43 @@ class TableStore:
 
     def versions(self, table: str, schema: str, before: str | None = None) -> DataFrame:
         runs = self.runs(table, before)
-        current = self._parts(table, runs[-1:], "is_current=true")
+        current = self._current_folders(table, runs[-1:])
         return self._read(table, current + self._parts(table, runs, "is_current=false"), schema)
 
-    def current(self, table: str, schema: str, before: str | None = None) -> DataFrame:
+    def current(self, table: str, schema: str, before: str | None = None,
+                buckets: set[int] | None = None) -> DataFrame:
+        """Current rows; of a bucketed table perhaps only those of some ``buckets``."""
         newest = self.runs(table, before)[-1:]
-        return self._read(table, self._parts(table, newest, "is_current=true"), schema)
+        return self._read(table, self._current_folders(table, newest, buckets), schema)
+
+    # -- buckets ---------------------------------------------------------------------------
+
+    def buckets(self, table: str, before: str | None = None) -> dict[int, Bucket]:
+        """The manifest of the newest complete run; empty if there is none.
+
+        At most ``MOST_BUCKETS`` short rows.
+        """
+        newest = self.runs(table, before)[-1:]
+        if not newest or newest[0] not in self.runs(f"{table}_buckets"):
+            return {}
+        return {r.bucket: Bucket(*r) for r in self.run_rows(f"{table}_buckets", newest[0], MANIFEST).collect()}
+
+    def write_manifest(self, table: str, run_id: str, found: dict[int, Bucket]) -> None:
+        """Say where the buckets' current rows are, before the run itself is written.
+
+        A manifest counts only with its run, so one whose run broke off is never read.
+        """
+        rows = self.spark.createDataFrame([tuple(b) for b in found.values()], declared(MANIFEST))
+        self.write_run(rows.coalesce(1), f"{table}_buckets", run_id)
+
+    def _current_folders(self, table: str, newest: list[str], buckets: set[int] | None = None) -> list[str]:
+        found = self.buckets(table, before=None if not newest else newest[0] + "~")
+        if not found:
+            return self._parts(table, newest, "is_current=true")
+        wanted = {(b.held_by, b.bucket) for b in found.values() if buckets is None or b.bucket in buckets}
+        folders = []
+        for run in sorted({run for run, _ in wanted}):
+            for folder in self._glob(f"{self.root}/{table}/run={run}/is_current=true/bucket=*"):
+                if (run, int(folder.rsplit("bucket=", 1)[1])) in wanted:
+                    folders.append(folder)
+        return folders

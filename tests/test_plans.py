@@ -116,3 +116,12 @@ def test_aggregates_combine_before_the_shuffle(plans, tables):
     assert "partial_min" in newest and "Window" not in newest
     pairs = plan(junk_dimension(tables["transaction"], "transaction_type", "symbol"))
     assert "Join" not in pairs and pairs.count("FileScan") == 1
+
+
+def test_a_merge_runs_its_inputs_once_and_shuffles_each_once(plans):
+    """Target and update meet in one aggregate; numbering the new keys needs no further shuffle."""
+    for name in ("dim_account", "details"):
+        assert "Join" not in plans[name], name
+        assert len(re.findall(r"Exchange hashpartitioning\(_dealt", plans[name])) == 1, name
+        assert "REPARTITION_BY_COL" in plans[name], name
+    assert plans["dim_account"].count("FileScan") == 3 + 1  # account, current rows, history; largest key
