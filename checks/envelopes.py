@@ -211,3 +211,21 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("_id"), F.col("props").alias("data"),
         F.col("ts").cast("timestamp").alias("_fivetran_synced"),
         (F.col("event_type") == "error").alias("_fivetran_deleted"))
+
+
+def damaged(raw: DataFrame, number: Column) -> DataFrame:
+    """``raw`` with some documents damaged by their ``number`` % 40, see ``FIXTURES.md`` section 5:
+    1 cut off, 2 NULL, 3 with text in place of an array, 4 without times of day, 5 without its ids."""
+    kind, data = number % 40, F.col("data")
+    array, time = r'"(accounts|products|transactions)":\[.*\]', r'(\d\d\d\d-\d\d-\d\d)T\d\d:\d\d:\d\dZ'
+    return raw.withColumn("data", F.when(kind == 1, F.expr("left(data, length(data) - 1)"))
+                          .when(kind == 2, F.lit(None).cast("string"))
+                          .when(kind == 3, F.regexp_replace(data, array, '"$1":"?"'))
+                          .when(kind == 4, F.regexp_replace(data, time, "$1"))
+                          .when(kind == 5, F.regexp_replace(data, '"account_id":[0-9]+', '"account_id":null'))
+                          .otherwise(data))
+
+
+def document_number(raw: DataFrame) -> Column:
+    """The number in a document's id."""
+    return F.regexp_extract("_id", "([0-9]+)", 1).cast("bigint")

@@ -215,6 +215,44 @@ CTES = {
         where ingest_date > {CUTOFF}""",
 }
 
+# Damaged documents by their number % 40: 1 cut off, 2 NULL, 3 text for an array, 4 no times of day,
+# 5 no account id (customers have none of their own).
+UNUSABLE = "case when {n} % 40 = 2 then 'document is empty' when {n} % 40 in ({kinds}) then 'document is not readable' end"
+CTES["customer_documents"] = f"""
+    select c_custkey, case when c_custkey % 40 = 2 then 'document is empty'
+            when c_custkey % 40 = 1 or (c_custkey % 40 = 3 and held) then 'document is not readable'
+            when not held then 'document has no accounts' end as refused,
+        c_custkey % 40 = 4 as undated
+    from (select c_custkey, exists (select 1 from owners o where o.c_custkey = customer.c_custkey) as held
+          from customer)"""
+CTES["customer_load"] = """
+    select cast(d.c_custkey as varchar) as document_id, refused, undated, account, tier_key
+    from customer_documents d
+    left join owners o on o.c_custkey = d.c_custkey and refused is null
+    left join tiers t on t.c_custkey = d.c_custkey and refused is null"""
+# accounts: pending orders have an older document as well
+CTES["account_documents"] = """
+    select 'A' || o_orderkey as document_id, o_orderkey as account_id,
+        case o_orderkey % 40 when 2 then 'document is empty' when 1 then 'document is not readable'
+            when 5 then 'document has no account' end as refused
+    from orders
+    union all
+    select 'B' || o_orderkey, o_orderkey,
+        case o_orderkey % 40 when 2 then 'document is empty' when 1 then 'document is not readable'
+            when 5 then 'document has no account' end
+    from orders where o_orderstatus = 'P'"""
+CTES["transaction_load"] = f"""
+    select 'T' || account_id || '-0' as document_id, tx.*,
+        {UNUSABLE.format(n="account_id", kinds="1, 3")} as refused,
+        case when account_id % 40 in (4, 5) then 'transaction_id is null' end as broken
+    from tx"""
+CTES["usable_customers"] = """
+    select distinct document_id as owner from customer_load where refused is null and not undated"""
+CTES["usable_owners"] = """
+    select owner, account from owners where owner in (select owner from usable_customers)"""
+CTES["usable_accounts"] = """
+    select distinct account_id from account_documents where refused is null"""
+
 TX_COLUMNS = """transaction_id, account_id, cast(transaction_date as varchar) as transaction_date,
     transaction_type, symbol, amount, cast(unit_price as varchar) as unit_price,
     cast(total_price as varchar) as total_price,
@@ -442,6 +480,77 @@ BODIES = {
     }, "pairs") + " union all " + _violations({
         f"{c} fits varchar({n})": f"where length({c}) > {n}"
         for c, n in {"p_name": 9, "p_brand": 7}.items()}, "part"),
+    "customer_rejects": """
+        select document_id, coalesce(refused, 'birth_date is null') as reject_reason, count(*) as n_rows,
+            bool_or(refused is not null and refused <> 'document is empty') as has_text
+        from customer_load where refused is not null or undated group by 1, 2""",
+    "account_rejects": """
+        select document_id, refused as reject_reason, count(*) as n_rows,
+            refused <> 'document is empty' as has_text
+        from account_documents where refused is not null group by all""",
+    "transaction_rejects": """
+        select document_id, coalesce(refused, broken) as reject_reason,
+            case when any_value(refused) is null then count(*) else 1 end as n_rows,
+            coalesce(refused, '') = 'document is not readable' as has_text
+        from (select document_id, refused, broken from transaction_load)
+        where refused is not null or broken is not null group by document_id, refused, broken""",
+    "documents_accounted": """
+        select 'customers' as collection, count(*) filter (refused is null and not undated) as n_accepted,
+            count(*) filter (refused is not null or undated) as n_rejected, count(*) as n_read
+        from customer_documents
+        union all
+        select 'accounts', count(*) filter (refused is null), count(*) filter (refused is not null), count(*)
+        from account_documents
+        union all
+        select 'transactions', count(*) filter (refused is null and broken is null),
+            count(*) filter (refused is not null or broken is not null), count(*)
+        from (select distinct document_id, refused, broken from transaction_load)""",
+    "quarantine_rules": """
+        select 'customer' as table_name,
+            coalesce(refused, case when undated then 'birth_date is null' else 'accepted' end) as outcome,
+            count(*) as n_rows
+        from customer_load group by all
+        union all
+        select 'account', 'accepted', count(*) from usable_accounts
+        union all
+        select 'account', refused, count(*) from account_documents where refused is not null group by all
+        union all
+        select 'transaction', refused, count(distinct document_id) from transaction_load
+        where refused is not null group by all
+        union all
+        select 'transaction', coalesce(broken, 'accepted'), count(*) from transaction_load
+        where refused is null group by all
+        union all select 'dim_customer', 'accepted', count(*) from usable_customers
+        union all select 'dim_account', 'accepted', count(*) from usable_accounts
+        union all
+        select 'fact_transaction', case when o.owner is null then 'account has no owner'
+                when a.account_id is null then 'account is not in the account dimension'
+                else 'accepted' end, count(*)
+        from transaction_load t left join usable_owners o on o.account = t.account_id
+        left join usable_accounts a on a.account_id = t.account_id
+        where refused is null and broken is null group by all""",
+    "rejects_resolved": f"""
+        with early as (select owner, account from owners where c_custkey % 5 <> 0),
+        loads as (
+            select tx.*, case when ingest_date <= {CUTOFF} then 1 else 2 end as run,
+                (select count(*) from early where account = tx.account_id) > 0 as has_early
+            from tx),
+        -- the owners known when a transaction is first tried, or else those that come with run 2
+        owned as (
+            select l.*, o.owner, run as owner_run from loads l join early o on o.account = l.account_id where run = 1
+            union all
+            select l.*, o.owner, 2 from loads l left join owners o on o.account = l.account_id
+            where run = 2 or not has_early)
+        select cast(account_id as integer) as account_bk, owner as customer_bk,
+            case when owner is null then null
+                 when account_id % 7 = 0 then '2024-05-17 00:00:00'
+                 when owner_run = 1 then '2024-05-03 00:00:00' else '2024-05-10 00:00:00' end as loaded,
+            case run when 1 then '2024-05-03 00:00:00' else '2024-05-10 00:00:00' end as opened,
+            count(*) as n_rows, cast(sum(amount) as bigint) as amount
+        from owned group by all""",
+    "numbered_rows": """
+        select l_orderkey, l_linenumber, row_number() over (order by l_orderkey, l_linenumber) as n
+        from lineitem""",
     "end_to_end_runs": """
         select 'customer' as table_name, count(*) as n_rows, cast(sum(account) as bigint) as measure
         from owners_2 left join (select cast(c_custkey as varchar) as owner, tier_key from tiers)

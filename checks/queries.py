@@ -17,7 +17,7 @@ from sparkmart.operators import quality
 from sparkmart.operators.dedup import drop_loaded, latest_by_key
 from sparkmart.operators.generators import explode_array, explode_map
 from sparkmart.operators.incremental import high_water_mark, newer_than
-from sparkmart.operators.keys import assign_surrogate_keys
+from sparkmart.operators.keys import assign_surrogate_keys, number_rows
 from sparkmart.operators.lookup import account_bridge, junk_dimension, lookup_fk, lookup_view
 from sparkmart.operators.scd import (
     current_rows,
@@ -29,12 +29,12 @@ from sparkmart.operators.spread import spread_join
 from sparkmart.plans import presentation as P
 from sparkmart.plans import processed
 from sparkmart.plans.calendar import build_dim_date
-from sparkmart.plans.run import run_pipeline
+from sparkmart.plans.run import OUTCOMES, run_pipeline
 from sparkmart.session import prepare, shared_folder, staged
 from sparkmart.sources.raw import parse_envelope, read_raw, without_deleted
 from sparkmart.sources.store import TableStore, conform, empty_table, with_defaults
 
-RUN_1, RUN_2 = datetime(2024, 5, 3), datetime(2024, 5, 10)
+RUN_1, RUN_2, RUN_3 = datetime(2024, 5, 3), datetime(2024, 5, 10), datetime(2024, 5, 17)
 CUTOFF = "1998-06-30 00:00:00"
 MARK = "1998-01-01 00:00:00"
 
@@ -513,6 +513,97 @@ def dq_length(spark, sf):
         .unionByName(quality.check_length(parts, {"p_name": 9, "p_brand": 7}))
 
 
+def _damaged(spark, sf, name) -> DataFrame:
+    whole = {"customers": raw.raw_customers, "accounts": raw.raw_accounts,
+             "transactions": raw.raw_transactions}[name](spark, sf)
+    return raw.damaged(whole, raw.document_number(whole))
+
+
+LOADS = {"customers": processed.load_customers, "accounts": processed.load_accounts,
+         "transactions": processed.load_transactions}
+
+
+def _refused(spark, sf, name) -> DataFrame:
+    """Rows kept apart by document and reason, and whether the document's text is kept."""
+    rows = LOADS[name](_damaged(spark, sf, name)).filter(F.col(S.REJECT_REASON).isNotNull())
+    return rows.groupBy("document_id", S.REJECT_REASON).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(F.length("document")).isNotNull().alias("has_text"))
+
+
+@query
+def customer_rejects(spark, sf):
+    return _refused(spark, sf, "customers")
+
+
+@query
+def account_rejects(spark, sf):
+    return _refused(spark, sf, "accounts")
+
+
+@query
+def transaction_rejects(spark, sf):
+    return _refused(spark, sf, "transactions")
+
+
+@query
+def documents_accounted(spark, sf):
+    """Of the documents read, how many gave accepted rows and how many gave none."""
+    def counted(name):
+        docs = _damaged(spark, sf, name)
+        rows = LOADS[name](docs)
+        good = F.col(S.REJECT_REASON).isNull()
+        if name == "accounts":  # merged documents are counted, not listed
+            told = rows.groupBy().agg(F.sum(F.when(good, F.col("n_documents"))).alias("n_accepted"),
+                                      F.sum(F.when(~good, F.col("n_documents"))).alias("n_rejected"))
+        else:
+            each = rows.groupBy("document_id").agg(F.max(good).alias("good"))
+            told = each.agg(F.count_if("good").alias("n_accepted"), F.count_if(~F.col("good")).alias("n_rejected"))
+        return told.select(F.lit(name).alias("collection"), "n_accepted", "n_rejected",
+                           docs.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_read"))
+    return reduce(DataFrame.unionByName, [counted(name) for name in LOADS])
+
+
+@query
+def quarantine_rules(spark, sf):
+    """A whole load of damaged documents: rows of every table by outcome, counted while writing."""
+    store = TableStore(spark, shared_folder(spark))
+    run_pipeline(spark, store, {name: _damaged(spark, sf, name) for name in LOADS}, RUN_1)
+    return reduce(DataFrame.unionByName, [
+        store.snapshot(f"outcomes/{table}", OUTCOMES)
+        for table in ("customer", "account", "transaction", "dim_customer", "dim_account", "fact_transaction")])
+
+
+def _late(spark, sf, run) -> dict[str, DataFrame]:
+    """Of the first batch, customers in fives come with run 2, accounts in sevens with run 3."""
+    found = _collections(spark, sf, 1, CUTOFF if run == 1 else None)
+    if run == 1:
+        found["customers"] = found["customers"].filter(raw.document_number(found["customers"]) % 5 != 0)
+    if run < 3:
+        found["accounts"] = found["accounts"].filter(raw.document_number(found["accounts"]) % 7 != 0)
+    return found
+
+
+@query
+def rejects_resolved(spark, sf):
+    """Three runs with late owners and accounts: when each account's facts were loaded, and by whom."""
+    store = TableStore(spark, shared_folder(spark))
+    for run, run_ts in enumerate([RUN_1, RUN_2, RUN_3], 1):
+        run_pipeline(spark, store, _late(spark, sf, run), run_ts)
+    rows = store.appended("fact_transaction", S.OPEN_FACT, part="is_rejected=false")
+    waiting = store.snapshot("fact_open", S.OPEN_FACT)
+    done = rows.groupBy("account_bk", "customer_bk", F.col("create_date").alias("loaded"), "opened")
+    left = waiting.groupBy("account_bk", "customer_bk", F.lit(None).cast("timestamp").alias("loaded"), "opened")
+    measures = [F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount")]
+    return done.agg(*measures).unionByName(left.agg(*measures))
+
+
+@query
+def numbered_rows(spark, sf):
+    """Gap-free numbers over the line items, by a distributed prefix sum."""
+    lines = raw.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return number_rows(lines, "n", ["l_orderkey", "l_linenumber"], start=1)
+
+
 def _collections(spark, sf, batch, until=None) -> dict[str, DataFrame]:
     return {
         "customers": raw.raw_customers(spark, sf, batch),

@@ -10,7 +10,7 @@ from sparkmart.operators import dedup
 from sparkmart.operators.dedup import drop_loaded, latest_by_key
 from sparkmart.operators.generators import date_series, explode_array, explode_map
 from sparkmart.operators.incremental import high_water_mark, newer_than
-from sparkmart.operators.keys import assign_row_keys, assign_surrogate_keys, largest_key, number_rows
+from sparkmart.operators.keys import assign_row_keys, assign_surrogate_keys, key_digits, largest_key, number_rows
 from sparkmart.operators.lookup import account_bridge, is_small, junk_dimension, lookup_fk
 from sparkmart.operators.quality import (
     check_length,
@@ -141,3 +141,10 @@ def test_number_rows_is_gap_free_in_order(spark):
     assert [n for n, _ in sorted(out)] == list(range(10, 1011))
     assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
     assert number_rows(spark.createDataFrame([], "k int"), "n", ["k"]).count() == 0
+
+
+def test_buckets_of_new_keys_grow_with_the_table(spark):
+    assert [key_digits(n) for n in (0, 10 ** 9, 10 ** 9 + 10 ** 8, 10 ** 11, 10 ** 13)] == [3, 3, 4, 5, 7]
+    df = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("bk"))
+    keys = [r.sk for r in assign_surrogate_keys(df, "sk", ["bk"], 7, digits=4).collect()]
+    assert len(set(keys)) == 3000 and min(keys) > 7 and max(keys) <= 7 + 3 * 16 ** 4
