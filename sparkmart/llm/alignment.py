@@ -12,10 +12,12 @@ pair is hot, and nothing that grows with the corpus is broadcast.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tiktoken import Encoding
 
 from sparkmart.llm.common import staged
 
@@ -38,6 +41,13 @@ B_BITS = 15
 CUT = re.compile(r"(?<=[^\W_]) (?=[^\W\d_])")
 
 
+#: How the first vocabulary splits text before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters about whose class (letter, number, blank) versions of Unicode might differ.
+UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\u00a1-\u024f\u0391-\u03a1\u03a3-\u03c9\u0400-\u0481\u048a-\u052f"
+                     r"\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
+
+
 def byte_values() -> dict[str, int]:
     """The character that stands for each byte in a byte-level vocabulary."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -60,6 +70,7 @@ class Encoders:
         for token, i in self.a.get_vocab().items():
             self.a_bytes[i] = (bytes(value[c] for c in token) if all(c in value for c in token)
                                else token.encode())
+        self.a_fast = self._by_ranks(json.loads(Path(folder, A_FILE).read_text()))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
@@ -70,9 +81,31 @@ class Encoders:
         #: Text of id i before a comma, a bar, a semicolon and at the end, at 4 * i + 0 ... 3.
         self.printed = [s + mark for s in both for mark in (",", "|", ";", "")]
 
+    def _by_ranks(self, declared: dict) -> Encoding | None:
+        """The first encoder over its own vocabulary, merging by rank, which is three times as fast.
+
+        Ids must rise as the merges do.  Both then merge alike: tokens only grow, so the steps within
+        what becomes one token are those of that token alone, whose last step is its merge.
+        """
+        vocab, merges = declared["model"]["vocab"], declared["model"]["merges"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        made = [vocab["".join(pair)] for pair in pairs]
+        special = {t["id"] for t in declared["added_tokens"]}
+        plain = set(vocab.values()) - special
+        if made != sorted(made) or len(made) + 256 != len(plain):
+            return None
+        ranks = {self.a_bytes[i]: i for i in plain}
+        return Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of the first vocabulary; texts with unusual characters take its own splitter."""
+        odd = [self.a_fast is None or UNUSUAL.search(t) is not None for t in texts]
+        slow = iter(self.a.encode_batch_fast([t for t, o in zip(texts, odd) if o], add_special_tokens=False))
+        return [next(slow).ids if o else self.a_fast.encode_ordinary(t) for t, o in zip(texts, odd)]
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
         """Ids of texts that start with the blank, and whether both give the text's bytes again."""
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        a = self.encode_a(texts)
         b = self.b.encode([t[1:] for t in texts], num_threads=1)
         right = []
         for t, x, y in zip(texts, a, b):

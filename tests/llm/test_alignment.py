@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -108,3 +109,19 @@ def test_groups_of_a_text(spark):
         for ids, value in ((g["a_ids"], enc.a_bytes), (g["b_ids"], enc.b_bytes)):
             assert b"".join(value[i] for i in ids) == text[g["start"]:at]
     assert at == len(text)
+
+
+def test_merging_by_rank_gives_the_ids_of_the_file(spark):
+    """Every token alone, texts of the tables, and random strings of usual characters."""
+    enc = alignment.Encoders(FOLDER)
+    assert enc.a_fast is not None
+    r = random.Random(4)
+    usual = [c for c in map(chr, [*range(9, 0x530), *range(0x3041, 0x30FB), *range(0x4E00, 0x4F00), *range(0xAC00, 0xAD00)])
+             if not alignment.UNUSUAL.search(c)]
+    few = list("aeinorst'  \n\n.,1dlmvs")
+    texts = ["".join(r.choices(r.choice([usual, few]), k=r.randint(1, 60))) for _ in range(20_000)]
+    texts += [t.decode() for t in enc.a_bytes if t.isascii() and not alignment.UNUSUAL.search(t.decode())]
+    texts += [t for (t,) in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if t]
+    assert not any(alignment.UNUSUAL.search(t) for t in texts[:20_000])
+    slow = [e.ids for e in enc.a.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode_a(texts) == slow
