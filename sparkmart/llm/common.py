@@ -56,6 +56,27 @@ def staged(df: DataFrame, at_most: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name`` with as many underscores before it as keep it apart from the frames' columns."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def quoted(names: list[str]) -> list[str]:
+    """Column names as they are, dots and blanks included."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
+def undotted(df: DataFrame) -> DataFrame:
+    """``df`` with stand-ins for column names that ``mapInArrow`` would take for paths."""
+    odd = {c: f"_c{i}" for i, c in enumerate(df.columns) if "." in c or "`" in c}
+    while any(name in df.columns for name in odd.values()):
+        odd = {c: "_" + name for c, name in odd.items()}
+    return df.toDF(*[odd.get(c, c) for c in df.columns]) if odd else df
+
+
 def only_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``ids``; the ids are broadcast once measured as small."""
     return df.join(F.broadcast(ids) if is_small(ids) else ids, key, "left_semi")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import in_small_batches, row_slices, staged, text_buffer
+from sparkmart.llm.common import free_name, in_small_batches, row_slices, staged, text_buffer, undotted
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "weak_id", "weak_secret", "endpoint")
@@ -170,35 +170,38 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``docs`` with every reported span replaced by ``[kind]``; all columns and rows are kept.
 
     Of overlapping spans the one that starts first, then the longer one, gives the label, and
-    the others' rest goes with it.  Texts without a span are unchanged, NULL stays NULL.
+    the others' rest goes with it.  Texts without a span are unchanged, NULL stays NULL.  Columns may
+    have any names, ids may be NULL or repeat, and texts of any length are scanned whole.
     """
-    names = docs.columns
-    scanned = in_small_batches(docs.select(*names)).mapInArrow(_with_parts, _schema_with_parts(docs)).withColumn(
-        "_rid", F.monotonically_increasing_id())
+    names, docs = docs.columns, undotted(docs)
+    rid, found, spans_name = (free_name(n, docs) for n in ("_rid", "_parts", "_spans"))
+    scanned = in_small_batches(docs).mapInArrow(_with_parts(found), _schema_with_parts(docs, found)).withColumn(
+        rid, F.monotonically_increasing_id())
     rows = staged(scanned)
-    parts = rows.select(F.col("_rid").alias("rid"), F.inline("_parts"))
+    parts = rows.select(F.col(rid).alias("rid"), F.inline(found))
     spans = (
         parts.filter(F.col("kind").isin(*KINDS[:3])).unionByName(link_parts(parts, scope))
-        .groupBy("rid").agg(F.array_sort(F.collect_list(
-            F.struct("start", (-F.col("end")).alias("back"), "kind"))).alias("_spans"))
+        .groupBy(F.col("rid").alias(rid)).agg(F.array_sort(F.collect_list(
+            F.struct("start", (-F.col("end")).alias("back"), "kind"))).alias(spans_name))
     )
-    cut = F.expr("""aggregate(_spans, named_struct('out', '', 'at', 0L),
+    cut = F.expr(f"""aggregate({spans_name}, named_struct('out', '', 'at', 0L),
         (s, p) -> if(-p.back <= s.at, s, if(p.start < s.at, named_struct('out', s.out, 'at', -p.back),
             named_struct('out', concat(s.out, substr(text, cast(s.at + 1 as int), cast(p.start - s.at as int)),
                                        '[', p.kind, ']'), 'at', -p.back))),
         s -> concat(s.out, substr(text, cast(s.at + 1 as int))))""")
-    joined = rows.join(spans.withColumnRenamed("rid", "_rid"), "_rid", "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)
-                             ).select(*names)
+    text = F.when(F.col(spans_name).isNull(), F.col("text")).otherwise(cut).alias("text")
+    return rows.join(spans, rid, "left").select(*[text if c == "text" else c for c in docs.columns]).toDF(*names)
 
 
-def _schema_with_parts(docs: DataFrame):
+def _schema_with_parts(docs: DataFrame, name: str):
     from pyspark.sql.types import StructType, _parse_datatype_string
-    return StructType([*docs.schema.fields]).add("_parts", _parse_datatype_string(PARTS))
+    return StructType([*docs.schema.fields]).add(name, _parse_datatype_string(PARTS))
 
 
-def _with_parts(batches):
-    for batch in batches:
-        found = next(_scan(iter([batch.select(["doc_id", "text"])])))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, found.column("parts")], names=[*batch.schema.names, "_parts"])
+def _with_parts(name: str):
+    def run(batches):
+        for batch in batches:
+            found = next(_scan(iter([batch.select(["doc_id", "text"])])))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, found.column("parts")], names=[*batch.schema.names, name])
+    return run

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import in_small_batches, row_slices, staged, text_buffer
+from sparkmart.llm.common import free_name, in_small_batches, quoted, row_slices, staged, text_buffer
 from sparkmart.llm.components import components
 from sparkmart.llm.hashing import mix, shingles, words
 from sparkmart.operators.lookup import is_small
@@ -395,18 +395,20 @@ def one_per_component(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
 
     A NULL doc_id is larger than all others.  Of several rows with the smallest doc_id the one that
     sorts first by its columns' hash stays, maps left out of it.  Rows without words link with
-    nothing, so all of them stay.  Rows are told apart by their number, so ids may repeat.
+    nothing, so all of them stay.  Rows are told apart by their number, so ids may repeat, and columns
+    may have any names.
     """
     members, of_set = _linked(docs, size, percent)
-    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    own = numbered.select("_rid", F.xxhash64(*columns).alias("_hash"))
+    columns = [F.col(q) for f, q in zip(docs.schema.fields, quoted(docs.columns)) if "map<" not in f.dataType.simpleString()]
+    rid, keep = free_name("_rid", docs), free_name("_keep", docs)
+    numbered = docs.withColumn(rid, F.monotonically_increasing_id())
+    own = numbered.select(F.col(rid).alias("_row"), F.xxhash64(*columns).alias("_hash"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash", "rid")
     first = (
         members.filter("set_id is not null").select("rid", "doc_id", "set_id")
         .join(of_set.select("set_id", "root"), "set_id")
-        .join(own, F.col("rid") == F.col("_rid")).groupBy("root").agg(F.min(order).alias("x"))
-        .select(F.col("x.rid").alias("_keep"))
+        .join(own, F.col("rid") == F.col("_row")).groupBy("root").agg(F.min(order).alias("x"))
+        .select(F.col("x.rid").alias(keep))
     )
-    kept = first.unionByName(members.filter("set_id is null").select(F.col("rid").alias("_keep")))
-    return numbered.join(kept, F.col("_rid") == F.col("_keep"), "left_semi").drop("_rid")
+    kept = first.unionByName(members.filter("set_id is null").select(F.col("rid").alias(keep)))
+    return numbered.join(kept, F.col(rid) == F.col(keep), "left_semi").select(*quoted(docs.columns))

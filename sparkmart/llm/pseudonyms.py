@@ -11,11 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.common import free_name, quoted
+
 ROUNDS = 10
-#: (kind, pattern), tried in this order at each place.
+#: (kind, pattern), tried in this order at each place.  All are linear in the text: a local part can
+#: only start where its run of characters does, and every repeated group is bounded, so that
+#: matching neither tries a run from all its places nor recurses along it.
 EDGE, STOP = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+LOCAL, LABEL = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]{1,63}+"
 PATTERNS = (
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    ("email", rf"(?<!{LOCAL}){LOCAL}++@{LABEL}(?:\.{LABEL}){{0,126}}\.[A-Za-z]{{2,63}}"),
     ("date", EDGE + r"[0-9]{4}-[0-9]{2}-[0-9]{2}" + STOP),
     ("ssn", EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + STOP),
     ("ip", r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])"),
@@ -109,25 +114,28 @@ def _replacement(key: str) -> str:
     return f"case {rules} else named_struct('kind', cast(null as string), 'text', m) end"
 
 
-def pseudonymise(docs: DataFrame, key: str = "sparkmart") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, and the number of replaced values of each kind.
 
-    Adds n_email, n_date, n_ssn, n_ip, n_phone, n_card (bigint) and keeps every other column and
-    row.  Numbers and dates that are not valid (Luhn's digit, calendar, octets) stay as they are.
-    A NULL text stays NULL with counts of 0; rows are treated alike however often they repeat.
+    Whoever has ``key`` (letters and digits) can undo the pseudonyms, so there is no default.  Adds
+    n_email, n_date, n_ssn, n_ip, n_phone, n_card (bigint) and keeps every other column and row; where
+    ``docs`` has a column of such a name, the count's name gets an underscore before it.  Numbers and
+    dates that are not valid (Luhn's digit, calendar, octets) stay as they are, and so do addresses
+    with labels beyond 63 or domains beyond 127 labels.  A NULL text stays NULL with counts of 0; rows are
+    treated alike however often they repeat.  Very long texts take time in proportion.
     """
     if not key.isalnum():
         raise ValueError("the key must be letters and digits")
-    pattern = F.lit(ANY)
-    hits = F.when(F.col("text").rlike(r"[0-9@]"), F.regexp_extract_all("text", pattern, F.lit(0)))
-    rows = docs.withColumn("_hits", hits).withColumn(
-        "_new", F.expr(f"if(size(_hits) > 0, transform(_hits, m -> {_replacement(key)}), null)"))
+    hits, new = free_name("_hits", docs), free_name("_new", docs)
+    found = F.when(F.col("text").rlike(r"[0-9@]"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    rows = docs.withColumn(hits, found).withColumn(
+        new, F.expr(f"if(size({hits}) > 0, transform({hits}, m -> {_replacement(key)}), null)"))
     pieces = F.split("text", ANY, -1)
     rebuilt = F.array_join(F.transform(pieces, lambda p, i: F.concat(
-        p, F.coalesce(F.get(F.col("_new"), i)["text"], F.lit("")))), "")
-    count = {f"n_{k}": F.expr(f"cast(coalesce(size(filter(_new, x -> x.kind = '{k}')), 0) as bigint)")
-             for k in KINDS}
-    return rows.withColumns({
-        **{n: F.when(F.col("_new").isNull(), F.lit(0).cast("bigint")).otherwise(c) for n, c in count.items()},
-        "text": F.when(F.col("_new").isNull(), F.col("text")).otherwise(rebuilt),
-    }).drop("_hits", "_new")
+        p, F.coalesce(F.get(F.col(new), i)["text"], F.lit("")))), "")
+    none = F.col(new).isNull()
+    counts = [F.when(none, F.lit(0).cast("bigint")).otherwise(
+        F.expr(f"cast(coalesce(size(filter({new}, x -> x.kind = '{k}')), 0) as bigint)"))
+        .alias(free_name(f"n_{k}", docs)) for k in KINDS]
+    text = F.when(none, F.col("text")).otherwise(rebuilt).alias("text")
+    return rows.select(*[text if c == "text" else F.col(q) for c, q in zip(docs.columns, quoted(docs.columns))], *counts)

@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sparkmart.llm.common import in_small_batches, row_slices, text_buffer
+from sparkmart.llm.common import free_name, in_small_batches, row_slices, text_buffer, undotted
 from sparkmart.llm.hashing import mix, words
 
 PASSAGE, SAMPLE, THRESHOLD = 50, 3000, 0.3
+#: Passages of the sample, about 40 MB of features.
+PASSAGES = 200_000
 HIDDEN, GATE, EPOCHS, RATE = 24, 12, 150, 0.01
 
 
@@ -157,11 +159,14 @@ def _encoded(batches):
             names=["_order", "y", "x"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, passages: int = PASSAGES) -> Model:
     """Fit on at most ``sample`` labelled documents, those with the smallest keyed hash of doc_id.
 
     ``labels`` has doc_id and quality (0 or 1); several labels of a document are averaged, NULL
     ones ignored.  Without any label, or with one class only, all texts score the labels' mean.
+    Of these documents those are taken, whole and in the hash's order, that fit into ``passages``
+    passages of 50 words together; a document too long for what is left is passed over.  That bounds
+    what comes to the driver.  A NULL doc_id has no label.
     """
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample"))
@@ -171,33 +176,44 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .withColumn("_order", order).orderBy("_order", "doc_id").limit(sample)
     )
     known = in_small_batches(docs.select("doc_id", "text")).join(F.broadcast(chosen), "doc_id")
-    rows = known.mapInArrow(_encoded, "_order bigint, y double, x binary").toArrow()
+    size = F.ceil(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) / PASSAGE) + 1
+    sizes = known.groupBy("_order", "doc_id").agg(F.sum(size).alias("n")).collect()  # at most ``sample`` rows
+    left, taken = passages, []
+    for r in sorted(sizes):
+        if r["n"] <= left:
+            left -= r["n"]
+            taken.append(r["doc_id"])
+    rows = known.filter(F.col("doc_id").isin(*taken)).mapInArrow(_encoded, "_order bigint, y double, x binary").toArrow()
     got = sorted(zip(rows["_order"].to_pylist(), rows["x"].to_pylist(), rows["y"].to_pylist(), strict=True))
     parts = [np.frombuffer(x, np.float32).reshape(-1, N_FEATURES) for _, x, _ in got]
     x = np.concatenate(parts) if parts else np.empty((0, N_FEATURES), np.float32)
     return fit(np.repeat(np.arange(len(parts)), [len(q) for q in parts]), x, np.array([y for *_, y in got]))
 
 
-def _scored(model: Model):
+def _scored(model: Model, name: str):
     def run(batches):
         for batch in batches:
-            buf, offs = text_buffer(batch.column("text"))
+            buf, offs = text_buffer(batch.column(batch.schema.names.index("text")))
             out = np.empty(batch.num_rows)
             for lo, hi in row_slices(offs, 2 << 20):
                 row, x = encode(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
                 out[lo:hi] = model.scores(row, x, hi - lo)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)],
-                                             names=[*batch.schema.names, "_score"])
+                                             names=[*batch.schema.names, name])
     return run
 
 
-def score_quality(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``_score``, the probability of label 1; every row and column is kept.
+def score_quality(docs: DataFrame, model: Model, name: str = "_score") -> DataFrame:
+    """``docs`` with the probability of label 1 as column ``name``; every row and column is kept.
 
-    Only the text counts.  NULL texts and texts without words score the labels' mean.
+    Only the text counts.  NULL texts and texts without words score the labels' mean.  ``name`` must
+    not be a column already; ``common.free_name`` finds one that isn't.
     """
-    schema = StructType([*docs.schema.fields]).add("_score", "double")
-    return in_small_batches(docs).mapInArrow(_scored(model), schema)
+    if free_name(name, docs) != name:
+        raise ValueError(f"there is a column {name} already")
+    plain = undotted(docs)
+    schema = StructType([*plain.schema.fields]).add(name, "double")
+    return in_small_batches(plain).mapInArrow(_scored(model, name), schema).toDF(*docs.columns, name)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import in_small_batches, row_slices, staged, text_buffer
+from sparkmart.llm.common import free_name, in_small_batches, quoted, row_slices, staged, text_buffer
 from sparkmart.llm.hashing import range_hash, words
 
 SEED, COVERAGE = 5, 0.5
@@ -230,8 +230,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, seed: int = SEED,
                   coverage: float = COVERAGE) -> DataFrame:
     """``docs`` without the rows that hold at least ``coverage`` of an item; all columns kept.
 
-    ``docs`` must be a table that reads the same twice, rows included.
+    ``docs`` must be a table that reads the same twice, rows included.  Columns may have any names;
+    ``doc_id`` may be NULL or repeat, as rows are told apart by their number.
     """
-    bad = contaminated_pairs(docs, benchmark, seed, coverage).select("_rid").distinct()
-    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
-    return rows.join(bad, "_rid", "left_anti").select(*docs.columns)
+    rid = free_name("_rid", docs)
+    bad = contaminated_pairs(docs, benchmark, seed, coverage).select(F.col("_rid").alias(rid)).distinct()
+    rows = docs.withColumn(rid, F.monotonically_increasing_id())
+    return rows.join(bad, rid, "left_anti").select(*quoted(docs.columns))

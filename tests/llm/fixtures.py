@@ -7,7 +7,9 @@ import random
 from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-EXTRA = ", rid bigint, h bigint, kind string, row int, _x string, component_id bigint, count bigint"
+EXTRA = (", rid bigint, h bigint, kind string, row int, _x string, component_id bigint, count bigint, "
+         + ", ".join(f"`{n}` bigint" for n in ("_rid", "_score", "_order", "_hits", "_new", "_parts", "_spans", "_keep",
+                                              "_hash", "_row", "_covers", "a.b", "src", "block", "y")))
 
 
 def prose(seed: int, n: int) -> str:
@@ -40,7 +42,7 @@ def docs(spark: SparkSession, rows=None, extra: bool = True) -> DataFrame:
     full = [(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in rows]
     if not extra:
         return spark.createDataFrame(full, SCHEMA)
-    more = [(*r, 7, 8, "k", 9, "y", 10, 11) for r in full]
+    more = [(*r, 7, 8, "k", 9, "y", 10, 11, *(1000 * k + i for k in range(15))) for i, r in enumerate(full)]
     return spark.createDataFrame(more, SCHEMA + EXTRA)
 
 
