@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import read, staged
+from sparkmart.llm.common import free_name, read, staged
 from sparkmart.llm.credentials import redact
 from sparkmart.llm.jaccard import one_per_component
 from sparkmart.llm.mixing import mix_sources
@@ -15,8 +15,8 @@ from sparkmart.llm.tiling import decontaminate
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels of ``docs``."""
-    model = train(docs, read(spark, sf_dir, "labels"))
-    return score_quality(docs, model).filter(F.col("_score") >= THRESHOLD).drop("_score")
+    model, score = train(docs, read(spark, sf_dir, "labels")), free_name("_score", docs)
+    return score_quality(docs, model, score).filter(F.col(score) >= THRESHOLD).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
