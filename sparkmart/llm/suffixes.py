@@ -5,13 +5,17 @@ The suffixes that are sorted are those at *anchors*: positions whose 16-byte has
 in some 50-byte window.  Equal windows have equal anchors at equal offsets, so every repeated
 window shows up around a repeated anchor, and unique text is never sorted.
 
-1. Texts are packed into chunks.  Each chunk sends its distinct anchor hashes to hash partitions,
-   which tell it those that other chunks have too.
+1. Texts are packed into chunks; a text beyond a chunk is cut into pieces that share 49 bytes, so
+   that each window is in one piece.  Each chunk sends its distinct anchor hashes to hash
+   partitions, which tell it those that other chunks have too.
 2. Each chunk sends the 84 bytes around its repeated anchors, each distinct context once with its
    smallest doc_id.  Partitions sort them as suffixes: multikey quicksort over 16 bytes, then a
    blind trie for every group with a longer common prefix.  Longest common prefixes and the bytes
    to the left give, for every window over an anchor, the smallest document that has it.
-3. Chunks mark what the replies cover and hash the rest.
+   Anchors that more than ``HOT`` chunks have, as those of a line in a third of all documents, would
+   bring one group contexts from everywhere.  Their windows are split by content instead: each chunk
+   sends the hash of each distinct window over them, and an aggregate finds its smallest document.
+3. Chunks mark what the replies cover and hash the rest; pieces of a text are put together again.
 """
 
 from __future__ import annotations
@@ -27,14 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import in_small_batches, row_slices, staged, text_buffer
-from sparkmart.llm.hashing import mix
+from sparkmart.llm.hashing import mix, powers
 
 LENGTH, KEY = 50, 16
 LEFT = LENGTH - KEY
 WIDTH = LEFT + LENGTH
 PAD = 255  # in no UTF-8 text
 CHUNK, PART = 1 << 20, 12 << 20
+#: Chunks that may have an anchor before its windows are split by content.
+HOT = 64
 NO_DOC = 2 ** 63 - 1
+WINDOW_BASE = 0x9E3779B97F4A7C15 ^ 0x5DEECE66D00
 U = np.uint64
 _random = np.random.default_rng(5)
 CASE_KEY = _random.integers(1, 2 ** 63, 256, dtype=np.uint64) | U(1)
@@ -196,20 +203,38 @@ def window_answers(c: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarr
 # -- the jobs ------------------------------------------------------------------------------------
 
 
-def _pack(batches):
-    """Rows of about 1 MB of text: (cid, rid, doc_id, length) lists and the compressed bytes."""
-    part, n = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        buf, offs = text_buffer(batch.column("text"))
-        rid, doc = batch.column("rid").to_pylist(), batch.column("doc_id").to_pylist()
-        for lo, hi in row_slices(offs, CHUNK):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + n]), pa.array([rid[lo:hi]], pa.list_(pa.int64())),
-                 pa.array([doc[lo:hi]], pa.list_(pa.int64())),
-                 pa.array([np.diff(offs[lo:hi + 1])], pa.list_(pa.int64())),
-                 pa.array([zstandard.compress(buf[offs[lo]:offs[hi]].tobytes(), 5)], pa.binary())],
-                names=["cid", "rid", "doc_id", "size", "packed"])
-            n += 1
+def _pack(chunk: int):
+    """Rows of about 1 MB of text: (cid, rid, doc_id, length, piece) lists and the compressed bytes.
+
+    ``piece`` is -1 for a whole text; pieces of a long one are numbered from 0, the last one k as -2 - k.
+    """
+    lists = [("rid", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int64()), ("piece", pa.int32())]
+
+    def one(cid, rid, doc, size, piece, data):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([cid]), *(pa.array([x], pa.list_(t)) for x, (_, t) in zip((rid, doc, size, piece), lists)),
+             pa.array([zstandard.compress(data.tobytes(), 5)], pa.binary())],
+            names=["cid", *(n for n, _ in lists), "packed"])
+
+    def run(batches):
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            buf, offs = text_buffer(batch.column("text"))
+            rid, doc = batch.column("rid").to_pylist(), batch.column("doc_id").to_pylist()
+            for lo, hi in row_slices(offs, chunk):
+                size = int(offs[hi] - offs[lo])
+                if hi > lo + 1 or size <= chunk:
+                    yield one((part << 32) + n, rid[lo:hi], doc[lo:hi], np.diff(offs[lo:hi + 1]), [-1] * (hi - lo),
+                              buf[offs[lo]:offs[hi]])
+                    n += 1
+                    continue
+                starts = [k for k in range(0, size, chunk) if not k or size - k >= LENGTH]
+                for k, at in enumerate(starts):
+                    cut = buf[offs[lo] + at:min(offs[lo] + at + chunk + LENGTH - 1, offs[hi])]
+                    piece = k if k < len(starts) - 1 else -2 - k
+                    yield one((part << 32) + n, rid[lo:hi], doc[lo:hi], [len(cut)], [piece], cut)
+                    n += 1
+    return run
 
 
 def _chunk(batch, k: int):
@@ -267,22 +292,75 @@ def _send_hashes(parts: int):
     return run
 
 
-def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per chunk those of its hashes that another chunk has too."""
-    h = _from_six(b"".join(pdf["hashes"]))
-    cid = np.repeat(np.concatenate([np.asarray(c) for c in pdf["cids"]]),
-                    np.concatenate([np.asarray(s) for s in pdf["sizes"]]))
-    order = np.argsort(h, kind="stable")
-    s = h[order]
-    twin = np.zeros(len(s), bool)
-    twin[1:] = s[1:] == s[:-1]
-    twin[:-1] |= twin[1:].copy()
-    h, cid = s[twin], cid[order][twin]
-    order = np.argsort(cid, kind="stable")
-    h, cid = h[order], cid[order]
-    edges = np.flatnonzero(np.r_[True, cid[1:] != cid[:-1], True]) if len(cid) else [0]
-    return pd.DataFrame({"cid": [int(cid[a]) for a in edges[:-1]],
-                         "twins": [_six_bytes(h[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]})
+def _repeated(hot: int):
+    """Per chunk those of its hashes that another chunk has too, and which of them many chunks have."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        h = _from_six(b"".join(pdf["hashes"]))
+        cid = np.repeat(np.concatenate([np.asarray(c) for c in pdf["cids"]]),
+                        np.concatenate([np.asarray(s) for s in pdf["sizes"]]))
+        order = np.argsort(h, kind="stable")
+        h, cid = h[order], cid[order]
+        edges = np.flatnonzero(np.r_[True, h[1:] != h[:-1], True]) if len(h) else np.zeros(1, np.int64)
+        chunks = np.repeat(np.diff(edges), np.diff(edges))
+        twin = chunks > 1
+        h, cid, many = h[twin], cid[twin], (chunks > hot)[twin]
+        order = np.argsort(cid, kind="stable")
+        h, cid, many = h[order], cid[order], many[order]
+        edges = np.flatnonzero(np.r_[True, cid[1:] != cid[:-1], True]) if len(cid) else [0]
+        cut = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return pd.DataFrame({"cid": [int(cid[x.start]) for x in cut],
+                             "twins": [_six_bytes(h[x][~many[x]]) for x in cut],
+                             "hot": [_six_bytes(h[x][many[x]]) for x in cut]})
+    return run
+
+
+def _among(h: np.ndarray, blobs) -> np.ndarray:
+    """Which hashes are among those of ``blobs``, by six bytes."""
+    known, low = np.sort(_from_six(b"".join(blobs or []))), h & U(2 ** 48 - 1)
+    if not len(known):
+        return np.zeros(len(h), bool)
+    return known[np.minimum(np.searchsorted(known, low), len(known) - 1)] == low
+
+
+def hot_windows(buf: np.ndarray, offs: np.ndarray, at: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, row, hash) of every window over the anchors ``at``, each window once."""
+    start = (at[:, None] - np.arange(LEFT + 1)).ravel()
+    owner = np.repeat(row, LEFT + 1)
+    inside = (start >= offs[owner]) & (start + LENGTH <= offs[owner + 1])
+    start, first = np.unique(start[inside], return_index=True)
+    owner = owner[inside][first]
+    up, down = powers(WINDOW_BASE, len(buf) + 1)
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(CASE_KEY[buf] * up[:len(buf)], out=total[1:])
+    return start, owner, mix((total[start + LENGTH] - total[start]) * down[start])
+
+
+def _least_doc(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with their smallest and largest document, and the place of each key among them."""
+    found, where = np.unique(key, return_inverse=True)
+    low, high = np.full(len(found), NO_DOC), np.full(len(found), -2 ** 63)
+    np.minimum.at(low, where, doc)
+    np.maximum.at(high, where, doc)
+    return found, low, high, where
+
+
+def _send_windows(batches):
+    """Task: each chunk's distinct windows over hot anchors, with its smallest and largest document."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            hot = batch.column("hot")[k].as_py()
+            if not any(hot or []):
+                continue
+            buf, offs, doc = _chunk(batch, k)
+            at, h, row = anchors(buf, offs)
+            mine = _among(h, hot)
+            _, owner, key = hot_windows(buf, offs, at[mine], row[mine])
+            key, low, high, _ = _least_doc(key, doc[owner])
+            for a in range(0, len(key), 10_000):
+                n = len(key[a:a + 10_000])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("cid").take(pa.array([k] * n)), pa.array(key[a:a + 10_000].view(np.int64)),
+                     pa.array(low[a:a + 10_000]), pa.array(high[a:a + 10_000])], names=["cid", "key", "low", "high"])
 
 
 def _local_groups(buf, offs, doc):
@@ -306,17 +384,12 @@ def _send_contexts(parts: int):
             for k in range(batch.num_rows):
                 buf, offs, doc = _chunk(batch, k)
                 at, h, row, c, lead, _ = _local_groups(buf, offs, doc)
-                twins = batch.column("twins")[k].as_py() or []
-                known = np.sort(_from_six(b"".join(twins)))
-                low = h[lead] & U(2 ** 48 - 1)
-                keep = np.zeros(len(lead), bool)
-                if len(known):
-                    keep = known[np.minimum(np.searchsorted(known, low), len(known) - 1)] == low
+                keep, hot = (_among(h[lead], batch.column(c)[k].as_py()) for c in ("twins", "hot"))
                 # anchors of several documents of this chunk that no other chunk has
                 order = np.lexsort((doc[row], h))
                 hs, ds = h[order], doc[row[order]]
                 mixed = hs[1:][(hs[1:] == hs[:-1]) & (ds[1:] != ds[:-1])]
-                lead = lead[keep | np.isin(h[lead], mixed)]
+                lead = lead[(keep | np.isin(h[lead], mixed)) & ~hot]
                 if not len(lead):
                     continue
                 lead = lead[np.argsort(h[lead], kind="stable")]
@@ -360,69 +433,130 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
         "spans": [np.stack([low[t], high[t]], 1).astype(np.int8).tobytes() for t in pairs]})
 
 
+def _covered(batch, k: int, buf, offs, doc) -> np.ndarray:
+    """Which bytes of a chunk lie in a window that a smaller document has."""
+    at, h, row, c, _, later = _local_groups(buf, offs, doc)
+    replies = batch.column("replies")[k].as_py() or []
+    known = np.frombuffer(b"".join(r["hashes"] for r in replies), np.uint64)
+    spans = np.frombuffer(b"".join(r["spans"] for r in replies), np.int8).reshape(-1, 2)
+    order = np.argsort(known)
+    known, spans = known[order], spans[order].astype(np.int64)
+    left = np.minimum(at - offs[row], LEFT)
+    right = np.minimum(offs[row + 1] - at, LENGTH)
+    low, high = np.where(later, LENGTH - right, 99), np.where(later, left, -1)
+    if len(known):
+        i = np.minimum(np.searchsorted(known, c), len(known) - 1)
+        hit = (known[i] == c) & ~later
+        low[hit] = np.maximum(spans[i[hit], 0], (LENGTH - right)[hit])
+        high[hit] = np.minimum(spans[i[hit], 1], left[hit])
+    ok = (low <= high) & (left + right >= LENGTH)
+    edge = np.zeros(len(buf) + 1, np.int32)
+    np.add.at(edge, (at - high)[ok], 1)
+    np.add.at(edge, (at - low)[ok] + LENGTH, -1)
+    hot = batch.column("hot")[k].as_py()
+    if any(hot or []):
+        mine = _among(h, hot)
+        start, owner, key = hot_windows(buf, offs, at[mine], row[mine])
+        keys, least, _, where = _least_doc(key, doc[owner])
+        told = batch.column("told")[k].as_py() or []
+        if told:
+            other, doc_there = (np.array([t[n] for t in told], np.int64) for n in ("key", "least"))
+            place = np.searchsorted(keys, other.view(np.uint64))
+            least[place] = np.minimum(least[place], doc_there)
+        start = start[least[where] < doc[owner]]
+        np.add.at(edge, start, 1)
+        np.add.at(edge, start + LENGTH, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def _mark(batches):
+    """Task: results of whole texts; of pieces, the marks and bytes that ``_join_pieces`` needs."""
     for batch in batches:
         out = []
         for k in range(batch.num_rows):
             buf, offs, doc = _chunk(batch, k)
-            at, _, row, c, _, later = _local_groups(buf, offs, doc)
-            replies = batch.column("replies")[k].as_py() or []
-            known = np.frombuffer(b"".join(r["hashes"] for r in replies), np.uint64)
-            spans = np.frombuffer(b"".join(r["spans"] for r in replies), np.int8).reshape(-1, 2)
-            order = np.argsort(known)
-            known, spans = known[order], spans[order].astype(np.int64)
-            left = np.minimum(at - offs[row], LEFT)
-            right = np.minimum(offs[row + 1] - at, LENGTH)
-            low, high = np.where(later, LENGTH - right, 99), np.where(later, left, -1)
-            if len(known):
-                i = np.minimum(np.searchsorted(known, c), len(known) - 1)
-                hit = (known[i] == c) & ~later
-                low[hit] = np.maximum(spans[i[hit], 0], (LENGTH - right)[hit])
-                high[hit] = np.minimum(spans[i[hit], 1], left[hit])
-            ok = (low <= high) & (left + right >= LENGTH)
-            edge = np.zeros(len(buf) + 1, np.int32)
-            np.add.at(edge, (at - high)[ok], 1)
-            np.add.at(edge, (at - low)[ok] + LENGTH, -1)
-            gone = np.cumsum(edge[:-1]) > 0
+            gone = _covered(batch, k, buf, offs, doc)
             begin = gone.copy()
             begin[1:] &= ~gone[:-1]
             inner = offs[:-1][offs[:-1] < len(buf)]
             begin[inner] = gone[inner]  # a row's first byte starts a run of its own
             total, runs = (np.r_[0, np.cumsum(x)] for x in (gone, begin))
-            rid = batch.column("rid")[k].as_py()
-            docs = batch.column("doc_id")[k].as_py()
+            rid, docs, piece = (batch.column(c)[k].as_py() for c in ("rid", "doc_id", "piece"))
+            if piece and piece[0] != -1:
+                out.append((docs[0], rid[0], None, None, None, None, piece[0], np.packbits(gone).tobytes(),
+                            batch.column("packed")[k].as_py()))
+                continue
             for i in range(len(doc)):
                 a, b = offs[i], offs[i + 1]
                 left_over = buf[a:b][~gone[a:b]] if total[b] > total[a] else buf[a:b]
                 out.append((docs[i], rid[i], int(b - a), int(total[b] - total[a]), int(runs[b] - runs[a]),
-                            hashlib.sha256(left_over.tobytes()).hexdigest()))
-        kinds = [pa.int64()] * 5 + [pa.string()]
+                            hashlib.sha256(left_over.tobytes()).hexdigest(), -1, None, None))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)],
-            names=["doc_id", "rid", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            [pa.array([r[j] for r in out], t) for j, t in enumerate(MARKED.types)], schema=MARKED)
+
 
+MARKED = pa.schema([*((n, pa.int64()) for n in ("doc_id", "rid", "n_bytes", "n_removed", "n_spans")), ("kept_sha256", pa.string()),
+                    ("piece", pa.int32()), ("gone", pa.binary()), ("packed", pa.binary())])
+RESULT = "doc_id bigint, rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
-def dedup_suffixes(docs: DataFrame) -> DataFrame:
+
+def _join_pieces(batches):
+    """Task: pieces of long texts, in order, to one result each; holds one piece at a time."""
+    digest, size, removed, spans, inside, carry = hashlib.sha256(), 0, 0, 0, False, np.empty(0, bool)
+    for batch in batches:
+        out = []
+        for doc, rid, piece, gone, packed in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "rid", "piece", "gone", "packed"))):
+            if piece in (0, -2):
+                digest, size, removed, spans, inside, carry = hashlib.sha256(), 0, 0, 0, False, np.empty(0, bool)
+            buf = np.frombuffer(zstandard.decompress(packed), np.uint8)
+            mask = np.unpackbits(np.frombuffer(gone, np.uint8), count=len(buf)).astype(bool)
+            mask[:len(carry)] |= carry
+            own = len(buf) if piece < 0 else len(buf) - (LENGTH - 1)  # the next piece begins there
+            carry, mask, buf = mask[own:], mask[:own], buf[:own]
+            digest.update(buf[~mask].tobytes())
+            size, removed = size + len(buf), removed + int(mask.sum())
+            spans += int((mask & ~np.r_[inside, mask[:-1]]).sum())
+            inside = bool(mask[-1])
+            if piece < 0:
+                out.append((doc, rid, size, removed, spans, digest.hexdigest()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(MARKED.types[:6])],
+                                         names=MARKED.names[:6])
+
+
+def dedup_suffixes(docs: DataFrame, chunk: int | None = None, hot: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row of ``docs``.
 
     ``docs`` needs an integer doc_id and text; other columns are ignored.  A NULL text counts as
-    empty; texts under 50 bytes lose nothing.  Rows with equal doc_id don't take from each other,
-    and a NULL doc_id is larger than all others.  Contexts are told apart by 64-bit hashes.
+    empty; texts under 50 bytes lose nothing; texts of any length are worked on in pieces of ``chunk``
+    bytes.  Rows with equal doc_id don't take from each other, and a NULL doc_id is larger than all
+    others.  Contexts and windows are told apart by 64-bit hashes.
     """
+    chunk, hot = chunk or CHUNK, HOT if hot is None else hot
     rows = in_small_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).withColumn(
         "rid", F.monotonically_increasing_id())
     chunks = staged(rows.mapInArrow(
-        _pack, "cid bigint, rid array<bigint>, doc_id array<bigint>, size array<bigint>, packed binary"))
+        _pack(chunk), "cid bigint, rid array<bigint>, doc_id array<bigint>, size array<bigint>, piece array<int>, packed binary"))
     total = chunks.agg(F.sum(F.expr("aggregate(size, 0L, (s, x) -> s + x)"))).first()[0] or 0
     parts = max(64, -(-total // PART))
     sent = chunks.select("cid", "size", "doc_id", "packed").mapInArrow(
         _send_hashes(parts), "part int, cids array<bigint>, sizes array<int>, hashes binary")
-    twins = sent.groupBy("part").applyInPandas(_repeated, "cid bigint, twins binary")
-    twins = staged(twins).groupBy("cid").agg(F.collect_list("twins").alias("twins"))
-    around = chunks.select("cid", "size", "doc_id", "packed").join(twins, "cid", "left").mapInArrow(
+    twins = staged(sent.groupBy("part").applyInPandas(_repeated(hot), "cid bigint, twins binary, hot binary"))
+    twins = twins.groupBy("cid").agg(F.collect_list("twins").alias("twins"), F.collect_list("hot").alias("hot"))
+    known = chunks.select("cid", "size", "doc_id", "packed").join(twins, "cid", "left")
+    around = known.mapInArrow(
         _send_contexts(parts), "part int, cid bigint, hashes binary, docs binary, bodies binary")
     replies = around.groupBy("part").applyInPandas(_answer, "cid bigint, hashes binary, spans binary")
     replies = staged(replies).groupBy("cid").agg(F.collect_list(F.struct("hashes", "spans")).alias("replies"))
-    out = chunks.join(replies, "cid", "left").mapInArrow(
-        _mark, "doc_id bigint, rid bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    return out.drop("rid")
+    many = twins.filter(F.exists("hot", lambda x: F.octet_length(x) > 0)).select("cid", "hot")
+    windows = staged(chunks.select("cid", "size", "doc_id", "packed").join(many, "cid").mapInArrow(
+        _send_windows, "cid bigint, key bigint, low bigint, high bigint"))
+    least = windows.groupBy("key").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    told = windows.join(least, "key").filter("least < high").groupBy("cid").agg(
+        F.collect_list(F.struct("key", "least")).alias("told"))
+    marked = chunks.join(replies, "cid", "left").join(many, "cid", "left").join(told, "cid", "left").mapInArrow(_mark, (
+        f"{RESULT}, piece int, gone binary, packed binary"))
+    marked = staged(marked)
+    long = marked.filter("piece <> -1").select("doc_id", "rid", "piece", "gone", "packed")
+    joined = long.repartition(F.col("rid")).sortWithinPartitions(
+        "rid", F.expr("if(piece < 0, -2 - piece, piece)")).mapInArrow(_join_pieces, RESULT)
+    return marked.filter("piece = -1").select(*joined.columns).unionByName(joined).drop("rid")

@@ -46,18 +46,16 @@ def near_rows(n=40):
     return rows
 
 
-@pytest.mark.parametrize("chunk", [1 << 20, 1500])
-def test_suffixes(spark, monkeypatch, chunk):
-    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+@pytest.mark.parametrize(("chunk", "hot"), [(1 << 20, 64), (1500, 64), (1500, 2), (400, 1)])
+def test_suffixes(spark, chunk, hot):
     rows = [(i, (t or "")[:3000] if t is not None else None, a, b) for i, t, a, b in edge_rows()] + near_rows()
-    got = [tuple(r) for r in suffixes.dedup_suffixes(docs(spark, rows)).collect()]
+    got = [tuple(r) for r in suffixes.dedup_suffixes(docs(spark, rows), chunk, hot).collect()]
     assert sorted(map(str, got)) == sorted(map(str, brute_suffixes([(i, t) for i, t, *_ in rows])))
     assert suffixes.dedup_suffixes(docs(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("chunk", [1 << 20, 1500])
-def test_suffixes_tell_letter_case(spark, monkeypatch, chunk):
-    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+@pytest.mark.parametrize(("chunk", "hot"), [(1 << 20, 64), (1500, 1)])
+def test_suffixes_tell_letter_case(spark, chunk, hot):
     r, rows = random.Random(8), []
     for k in range(40):
         text = list(prose(k % 4, 50))
@@ -65,7 +63,17 @@ def test_suffixes_tell_letter_case(spark, monkeypatch, chunk):
             i = r.randrange(len(text))
             text[i] = text[i].swapcase()
         rows.append((k, "".join(text), "en", "a"))
-    got = [tuple(r) for r in suffixes.dedup_suffixes(docs(spark, rows)).collect()]
+    got = [tuple(r) for r in suffixes.dedup_suffixes(docs(spark, rows), chunk, hot).collect()]
+    assert sorted(got) == sorted(brute_suffixes([(i, t) for i, t, *_ in rows]))
+
+
+def test_a_line_of_a_third_of_all_documents(spark):
+    """Every third of 600 short documents has one line; its windows are split by content."""
+    line = "This line is the same in very many of the documents, all of its hundred bytes and a few more."
+    rows = [(k, prose(300 + k, 12) + ("\n" + line + "\n" if k % 3 == 0 else " ") + prose(900 + k, 12), "en", "a")
+            for k in range(600)]
+    rows += [(700, prose(7, 900), "en", "a"), (701, "x" + prose(7, 900), "en", "a")]
+    got = [tuple(r) for r in suffixes.dedup_suffixes(docs(spark, rows), 2000, 4).collect()]
     assert sorted(got) == sorted(brute_suffixes([(i, t) for i, t, *_ in rows]))
 
 
