@@ -548,6 +548,22 @@ BODIES = {
             case run when 1 then '2024-05-03 00:00:00' else '2024-05-10 00:00:00' end as opened,
             count(*) as n_rows, cast(sum(amount) as bigint) as amount
         from owned group by all""",
+    "dim_date_extended": """
+        select cast(year(transaction_date) + 40 as integer) as year, cast(quarter(transaction_date) as integer) as quarter,
+            count(*) as n_rows, sum(amount) as amount,
+            date_diff('day', date '1962-01-01', make_date(max_year, 12, 31)) + 1 as n_days, max_year || '-12-31' as last_day
+        from first_facts, (select greatest(2030, max(year(transaction_date)) + 40) as max_year from tx)
+        group by all""",
+    "late_buckets": f"""
+        with mark as (select max(ingest_date) as top from tx where ingest_date <= {CUTOFF} and account_id % 10 <> 0)
+        select account_id, case when ingest_date <= {CUTOFF} and account_id % 10 <> 0 then '2024-05-03 00:00:00'
+                else '2024-05-10 00:00:00' end as loaded, count(*) as n_rows, sum(amount) as amount
+        from tx, mark where ingest_date >= top - interval 60 day or account_id % 10 <> 0
+        group by all""",
+    "resync_buckets": f"""
+        select account_id, case when ingest_date <= {CUTOFF} then '2024-05-03 00:00:00'
+            else '2024-05-10 00:00:00' end as loaded, count(*) as n_rows, sum(amount) as amount
+        from tx group by all""",
     "numbered_rows": """
         select l_orderkey, l_linenumber, row_number() over (order by l_orderkey, l_linenumber) as n
         from lineitem""",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -451,18 +451,15 @@ def star_report(spark, sf):
 def _star(store: TableStore) -> DataFrame:
     """Amounts by quarter, type, tier and product, from the fact and its four dimensions."""
     rows = store.appended("fact_transaction", S.FACT_TRANSACTION, part="is_rejected=false")
-    calendar = store.snapshot("dim_date", S.DIM_DATE).select("date_id", "year", "quarter")
+    calendar = store.appended("dim_date", S.DIM_DATE).select("date_id", "year", "quarter")
     people = store.versions("dim_customer", S.DIM_CUSTOMER) \
         .select(F.col("customer_sk").alias("customer_fk"), "gold_tier")
     ledger = store.versions("dim_account", S.DIM_ACCOUNT) \
         .select(F.col("account_sk").alias("account_fk"), "has_derivatives")
     kinds = store.snapshot("dim_transaction_details", S.DIM_TRANSACTION_DETAILS).select(
         F.col("transaction_details_pk").alias("transaction_details_fk"), "transaction_type")
-    # days beyond the calendar's end stay: year and quarter are written in the key
-    day = F.col("transaction_date_fk")
-    dated = rows.join(F.broadcast(calendar), day == calendar.date_id, "left").withColumns({
-        "year": F.coalesce("year", F.expr("cast(transaction_date_fk div 10000 as int)")),
-        "quarter": F.coalesce("quarter", F.expr("cast((transaction_date_fk div 100 % 100 + 2) div 3 as int)"))})
+    # the calendar grows with the facts, so every day is found in it
+    dated = rows.join(F.broadcast(calendar), F.col("transaction_date_fk") == calendar.date_id)
     row = ["fact_transactions_pk"]
     kept = spread_join(lookup_fk(dated, kinds, ["transaction_details_fk"], deal_by=row), [ledger],
                        ["account_fk"], how="inner", count_from=rows, deal_by=row)
@@ -597,6 +594,50 @@ def rejects_resolved(spark, sf):
     return done.agg(*measures).unionByName(left.agg(*measures))
 
 
+@query
+def dim_date_extended(spark, sf):
+    """Transactions forty years later: facts beyond 2030 by the calendar's year, found by a join."""
+    store = TableStore(spark, shared_folder(spark))
+    found = _collections(spark, sf, 1)
+    found["transactions"] = found["transactions"].withColumn("data", F.regexp_replace("data", '"date":"199', '"date":"203')) \
+        .withColumn("data", F.regexp_replace("data", '"date":"200', '"date":"204'))
+    run_pipeline(spark, store, found, RUN_1)
+    rows = store.appended("fact_transaction", S.FACT_TRANSACTION, part="is_rejected=false")
+    days = store.appended("dim_date", S.DIM_DATE)
+    counted = rows.join(F.broadcast(days), F.col("transaction_date_fk") == F.col("date_id")).groupBy("year", "quarter") \
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"))
+    size = days.agg(F.count(F.lit(1)).alias("n_days"), F.max("date_full").alias("last_day"))
+    return counted.withColumns({c: size.select(c).scalar() for c in size.columns})
+
+
+def _loads(spark, sf, runs, **options) -> DataFrame:
+    """Transactions of an account by the run that loaded them, after runs over given buckets."""
+    store = TableStore(spark, shared_folder(spark))
+    for run_ts, buckets in zip([RUN_1, RUN_2, RUN_3], runs):
+        run_pipeline(spark, store, _collections(spark, sf, 1) | {"transactions": buckets}, run_ts, **options)
+    rows = store.appended("transaction", S.PROCESSED_TRANSACTION, part="is_rejected=false")
+    return rows.groupBy("account_id", F.col("create_date").alias("loaded")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("amount").alias("amount"))
+
+
+@query
+def late_buckets(spark, sf):
+    """A tenth of the buckets arrives after the mark has passed them; the overlap is sixty days."""
+    first = raw.raw_transactions(spark, sf, CUTOFF)
+    runs = [first.filter(raw.document_number(first) % 10 != 0), raw.raw_transactions(spark, sf)]
+    return _loads(spark, sf, runs, overlap=timedelta(days=60))
+
+
+@query
+def resync_buckets(spark, sf):
+    """All buckets are synced again twice, and nothing is loaded twice."""
+    def synced(buckets, when):
+        return buckets.withColumn("_fivetran_synced", F.lit(when).cast("timestamp"))
+    whole = raw.raw_transactions(spark, sf)
+    runs = [raw.raw_transactions(spark, sf, CUTOFF), synced(whole, "2024-05-08 00:00:00"), synced(whole, "2024-05-15 00:00:00")]
+    return _loads(spark, sf, runs, skip_loaded=True)
+
+
 @query
 def numbered_rows(spark, sf):
     """Gap-free numbers over the line items, by a distributed prefix sum."""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.scalars import composite_key, iso_to_date, iso_to_epoch
 from sparkmart.operators.dedup import latest_by_key
 from sparkmart.operators.generators import explode_array, explode_map
-from sparkmart.operators.incremental import newer_than
+from sparkmart.operators.incremental import newer_or_unseen, newer_than
 from sparkmart.operators.quality import quarantine
 from sparkmart.schemas import ACCOUNT_DOC, CUSTOMER_DOC, FIRST_MARK, NOT_NULL, REJECT_REASON, TRANSACTION_DOC
 from sparkmart.sources.raw import parse_envelope, refusal
@@ -107,10 +109,9 @@ def load_accounts(raw: DataFrame) -> DataFrame:
                          tie=["id"], count_as="n_documents").drop("_refused")
 
 
-def _transaction_rows(raw: DataFrame, mark: str, all_documents: bool) -> DataFrame:
+def _transaction_rows(raw: DataFrame, all_documents: bool) -> DataFrame:
     kept = _kept_apart(refusal(_none("data.transactions"), "transactions")) if all_documents else []
-    decoded = parse_envelope(newer_than(raw, SYNCED, mark), TRANSACTION_DOC,
-                             text_as="document" if all_documents else None)
+    decoded = parse_envelope(raw, TRANSACTION_DOC, text_as="document" if all_documents else None)
     buckets = decoded.select(
         "data.account_id",
         iso_to_date(F.col("data.bucket_start_date")).alias("bucket_start_date"),
@@ -139,16 +140,22 @@ def _transaction_rows(raw: DataFrame, mark: str, all_documents: bool) -> DataFra
 
 def decode_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
     """One row per transaction of the buckets synced after the mark, usable or not."""
-    return _transaction_rows(raw, mark, all_documents=False)
+    return _transaction_rows(newer_than(raw, SYNCED, mark), all_documents=False)
 
 
-def load_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:
+def load_transactions(raw: DataFrame, mark: str = FIRST_MARK, overlap: timedelta | None = None,
+                      seen: DataFrame | None = None) -> DataFrame:
     """All transactions of the buckets synced after the mark, and the buckets without any.
 
+    With ``overlap`` also those synced in the time before the mark that are not among ``seen``
+    (document_id, ingest_date), see ``newer_or_unseen``.
+
     Buckets that are NULL, unreadable or empty are one row each, with their text and a reason;
     transactions no key can be made for, and those that break a constraint, have the rule as reason.
     """
-    return quarantine(_transaction_rows(raw, mark, all_documents=True), NOT_NULL["transaction"])
+    new = (newer_than(raw, SYNCED, mark) if seen is None
+           else newer_or_unseen(raw, SYNCED, "_id", mark, overlap, seen))
+    return quarantine(_transaction_rows(new, all_documents=True), NOT_NULL["transaction"])
 
 
 def process_transactions(raw: DataFrame, mark: str = FIRST_MARK) -> DataFrame:

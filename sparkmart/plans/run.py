@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import schemas as S
 from sparkmart.operators.dedup import drop_loaded
-from sparkmart.operators.incremental import high_water_mark, newer_than
+from sparkmart.operators.incremental import high_water_mark, newer_than, since
 from sparkmart.operators.keys import assign_row_keys, key_digits, largest_key
 from sparkmart.operators.lookup import account_bridge, junk_dimension, lookup_view
 from sparkmart.operators.quality import observed, quarantine, rule_names
 from sparkmart.operators.scd import BUCKET, bucket_of, scd1_upsert, scd2_delta, with_source
-from sparkmart.plans.calendar import build_dim_date
+from sparkmart.plans.calendar import build_dim_date, extend_dim_date
 from sparkmart.plans.presentation import (
     ACCOUNT_TRACKED,
     CUSTOMER_TRACKED,
@@ -29,7 +30,6 @@ from sparkmart.plans.presentation import (
     split_open,
 )
 from sparkmart.plans.processed import (
-    REJECT_COLUMNS,
     load_accounts,
     load_customers,
     load_transactions,
@@ -42,6 +42,7 @@ from sparkmart.sources.store import (
     bucket_count,
     bucket_digests,
     conform,
+    empty_table,
     run_id_of,
     with_defaults,
 )
@@ -49,6 +50,9 @@ from sparkmart.sources.store import (
 ACCEPTED = "is_rejected=false"
 TABLES = ["customer", "account", "transaction", "dim_date", "dim_customer", "dim_account",
           "dim_transaction_details", "fact_transaction", "fact_open"]
+#: Columns of the bucket, which change when it grows; the others tell its transactions apart.
+OF_BUCKET = ["bucket_start_date", "bucket_end_date", "transaction_count", "ingest_date"]
+DOCUMENT_INDEX = "document_id string, runs array<string>"
 OUTCOMES = "table_name string, outcome string, n_rows bigint"
 #: Reasons besides the rules, by table.
 REFUSALS = {
@@ -92,13 +96,17 @@ def _side_by_side(jobs: list[Callable[[], None]]) -> None:
 
 def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFrame | str],
                  run_ts: datetime, source: str = S.SOURCE_SYSTEM, drop_deleted: bool = False,
-                 skip_loaded: bool = False) -> None:
+                 skip_loaded: bool = False, overlap: timedelta | None = None) -> None:
     """Load the collections ``customers``, ``accounts`` and ``transactions`` into the star schema.
 
     Collections are DataFrames or paths.  ``run_ts`` is the one clock of the run: it names the
     run, dates the versions and stamps the rows.  A table that already has this run is left as
     it is, so a run that broke off is repeated with the same ``run_ts`` and goes on where it
-    stopped.  ``skip_loaded`` drops transactions of buckets that were synced again.
+    stopped.  ``skip_loaded`` drops the transactions of buckets synced again that earlier versions of
+    the same bucket have brought; it reads an index of bucket ids and the runs that hold those
+    buckets.  ``overlap`` also loads buckets synced up to that long before the mark which no run has seen,
+    such as those that share the largest time but arrived after it.  The calendar grows by whole
+    years where transactions need it.
 
     No document and no row ends the load or gets lost.  Documents that are empty, unreadable or without
     rows, and rows that break a declared constraint, are written with a reason, beside the accepted
@@ -141,17 +149,67 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
     def accounts(table):
         processed(load_accounts(collection("accounts")), table, S.PROCESSED_ACCOUNT, ", n_documents bigint")
 
+    def seen_since(table: str, start: str) -> DataFrame:
+        """(document_id, ingest_date) of what runs with a mark from ``start`` on have loaded."""
+        found = []
+        for run in reversed(store.runs(table, before=run_id)):
+            rows = store.run_rows(table, run, "document_id string, ingest_date timestamp")
+            top = rows.agg(F.max("ingest_date").cast("string")).first()[0]
+            if top is not None and top < start:
+                break
+            found.append(newer_than(rows, "ingest_date", since(start, timedelta(microseconds=1))))
+        return reduce(DataFrame.unionByName, found).distinct() if found else None
+
     def transactions(table):
         mark = last_mark(store, table, S.PROCESSED_TRANSACTION, "ingest_date", run_id)
-        rows = load_transactions(collection("transactions"), mark)
+        seen = seen_since(table, since(mark, overlap)) if overlap and mark != S.FIRST_MARK else None
+        rows = load_transactions(collection("transactions"), mark, overlap, seen)
         if skip_loaded:
-            loaded = store.appended(table, S.PROCESSED_TRANSACTION, before=run_id, part=ACCEPTED)
-            usable = F.col(S.REJECT_REASON).isNull()
-            business = [c for c in rows.columns if c not in ("ingest_date", *REJECT_COLUMNS)]
-            fresh = drop_loaded(rows.filter(usable), loaded, business, "transaction_id")
-            rows = fresh.unionByName(rows.filter(~usable))
+            rows = without_loaded(staged(rows), table)
         processed(rows, table, S.PROCESSED_TRANSACTION)
 
+    def without_loaded(rows: DataFrame, table: str) -> DataFrame:
+        """``rows`` less the transactions that earlier versions of their buckets have brought.
+
+        The index ``<table>_documents`` says which runs hold rows of a document.  It is written in
+        buckets of document ids: a run reads and rewrites those its documents fall into.
+        """
+        index = f"{table}_documents"
+        good = F.col(S.REJECT_REASON).isNull()
+        known = store.buckets(index, before=run_id)
+        runs = store.runs(table, before=run_id)
+        arriving = rows.filter(good).select("document_id").distinct()
+        if known:
+            n_buckets = next(iter(known.values())).n_buckets
+        else:
+            n_buckets = bucket_count(arriving.count(), {})
+        arriving = staged(arriving.withColumn(BUCKET, bucket_of("document_id", n_buckets)))
+        hit = {r[0] for r in arriving.select(BUCKET).distinct().collect()}  # at most n_buckets
+        if known or not runs:
+            held = store.current(index, DOCUMENT_INDEX, before=run_id, buckets=hit)
+        else:  # the first run that asks for it: from the ids in all runs
+            held = reduce(DataFrame.unionByName, [
+                store.run_rows(table, r, "document_id string", part=ACCEPTED).distinct().select(
+                    "document_id", F.array(F.lit(r)).alias("runs")) for r in runs])
+            held = held.groupBy("document_id").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+        again = staged(held.join(arriving.select("document_id"), "document_id", "left_semi")
+                       .select("document_id", F.explode("runs").alias("held_by")))
+        holders = [r[0] for r in again.select("held_by").distinct().collect()]  # run ids
+        schema = f"{S.PROCESSED_TRANSACTION}, document_id string"
+        loaded = empty_table(spark, schema)
+        for r in holders:
+            ids = again.filter(F.col("held_by") == r).select("document_id")
+            loaded = loaded.unionByName(store.run_rows(table, r, schema, part=ACCEPTED).join(ids, "document_id", "left_semi"))
+        business = [c for c in rows.columns if c not in (*OF_BUCKET, S.REJECT_REASON, "document")]
+        fresh = drop_loaded(rows.filter(good), loaded, business, "document_id") if holders else rows.filter(good)
+        here = arriving.select("document_id", F.array(F.lit(run_id)).alias("runs"))
+        entries = held.unionByName(here).groupBy("document_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
+        entries = entries.withColumns({"is_current": F.lit(True), BUCKET: bucket_of("document_id", n_buckets)})
+        written = hit if known else set(range(n_buckets))
+        store.write_manifest(index, run_id, dict(known) | {b: Bucket(b, run_id, n_buckets, 0, "") for b in written})
+        store.write_run(entries.repartition(F.col(BUCKET)), index, run_id, partition_by=["is_current", BUCKET])
+        return fresh.unionByName(rows.filter(~good))
+
     def dimension(table: str, schema: str, key: str, sk: str, tracked: list[str], updates: DataFrame,
                   rows: int) -> None:
         """Merge the buckets whose updates differ from the last ones; refer to earlier runs for the rest."""
@@ -182,6 +240,17 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         dimension(table, S.DIM_ACCOUNT, "account_id", "account_sk", ACCOUNT_TRACKED,
                   account_updates(ledger, source), ledger.count())
 
+    def dim_date(table):
+        """The calendar, and whatever the transactions since the last fact need beyond it."""
+        new = store.appended("transaction", S.PROCESSED_TRANSACTION, part=ACCEPTED,
+                             after=max(store.runs("fact_transaction", before=run_id), default=None)).select("transaction_date")
+        known = store.appended(table, S.DIM_DATE) if store.runs(table) else build_dim_date(spark)
+        more = extend_dim_date(spark, known, new)
+        if not store.runs(table):
+            store.write_run(known if more is None else known.unionByName(more), table, run_id)
+        elif more is not None:
+            store.write_run(more, table, run_id)
+
     def dim_details(table):
         # earlier transactions have left their types and symbols in the dimension
         known = store.snapshot(table, S.DIM_TRANSACTION_DETAILS, before=run_id)
@@ -246,8 +315,7 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         store.write_run(conform(rows, S.OPEN_FACT), table, run_id)
 
     _side_by_side([once("customer", customers), once("account", accounts), once("transaction", transactions)])
-    _side_by_side([lambda: store.ensure("dim_date", run_id, lambda: build_dim_date(spark)),
-                   once("dim_customer", dim_customer), once("dim_account", dim_account),
+    _side_by_side([once("dim_date", dim_date), once("dim_customer", dim_customer), once("dim_account", dim_account),
                    once("dim_transaction_details", dim_details)])
     once("fact_transaction", fact)()
     once("fact_open", fact_open)()

@@ -386,3 +386,83 @@ def test_a_table_that_has_grown_is_dealt_out_anew(spark, tmp_path, monkeypatch):
     run_pipeline(spark, store, collections(spark, FIRST[0][:1], FIRST[1], FIRST[2]), T2)
     assert {b.n_buckets for b in store.buckets("dim_customer").values()} == {64}
     assert sorted(r.customer_bk for r in store.current("dim_customer", S.DIM_CUSTOMER).collect()) == ["ann", "bob"]
+
+
+def moves(store):
+    rows = store.appended("transaction", S.PROCESSED_TRANSACTION + ", document_id string", part=OK).collect()
+    return sorted((r.document_id, r.symbol or "", r.create_date) for r in rows)
+
+
+def test_late_buckets_of_the_largest_time_are_loaded_once(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    people, accounts = FIRST[0], FIRST[1]
+    early, late = ("b1", bucket(1, move(symbol="a")), SYNC[0]), ("b2", bucket(1, move(symbol="b")), SYNC[0])
+    torn, old = ("torn", "[", SYNC[0]), ("old", bucket(1, move(symbol="old")), SYNC[0] - timedelta(days=2))
+    day = timedelta(days=1)
+    run_pipeline(spark, store, collections(spark, people, accounts, [early, torn]), T1, overlap=day)
+    run_pipeline(spark, store, collections(spark, people, accounts, [early, torn, late, old]), T2, overlap=day)
+    # b2 shares the largest time, which a strict comparison would miss; what is older than the overlap is
+    assert moves(store) == [("b1", "a", T1), ("b2", "b", T2)]
+    run_pipeline(spark, store, collections(spark, people, accounts, [early, torn, late, old]), T3, overlap=timedelta(days=9))
+    assert moves(store) == [("b1", "a", T1), ("b2", "b", T2), ("old", "old", T3)]
+    assert facts(store).count() == 3
+    refused = store.rejected("transaction", "document_id string").collect()
+    assert [r.document_id for r in refused] == ["torn"]
+
+
+def test_resynced_buckets_read_only_the_runs_that_hold_them(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    people, accounts = FIRST[0], FIRST[1]
+
+    def load(when, *buckets):
+        run_pipeline(spark, store, collections(spark, people, accounts, list(buckets)), when, skip_loaded=True)
+
+    load(T1, ("b1", bucket(1, move(symbol="a"), move(symbol="a")), SYNC[0]), ("b2", bucket(1, move(symbol="c")), SYNC[0]))
+    load(T2, ("b3", bucket(1, move(symbol="d")), SYNC[1]), ("b1", bucket(1, *[move(symbol="a")] * 3), SYNC[1]))
+    assert moves(store) == [("b1", "a", T1)] * 2 + [("b1", "a", T2), ("b2", "c", T1), ("b3", "d", T2)]
+    read = []
+    plain = TableStore.run_rows
+    monkeypatch.setattr(TableStore, "run_rows", lambda self, table, run, schema, part=None: (
+        read.append((table, run)) if part == OK else None, plain(self, table, run, schema, part))[1])
+    load(T3, ("b3", bucket(1, move(symbol="d"), move(symbol="e")), SYNC[2]))
+    assert read == [("transaction", store.runs("transaction")[1])]
+    assert moves(store)[-2:] == [("b3", "d", T2), ("b3", "e", T3)] and len(moves(store)) == 6
+    index = {r.document_id: r.runs for r in store.current("transaction_documents", run_module.DOCUMENT_INDEX).collect()}
+    one, two, three = store.runs("transaction")
+    assert index == {"b1": [one, two], "b2": [one], "b3": [two, three]}
+
+
+def test_the_index_of_buckets_is_made_from_earlier_runs(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    run_pipeline(spark, store, collections(spark, *FIRST), T1)
+    again = [(i, d, SYNC[1]) for i, d, _ in FIRST[2]]
+    run_pipeline(spark, store, collections(spark, FIRST[0], FIRST[1], again), T2, skip_loaded=True)
+    assert len(moves(store)) == 4 and facts(store).count() == 4
+    again = [(i, d, SYNC[2]) for i, d, _ in FIRST[2]]
+    run_pipeline(spark, store, collections(spark, FIRST[0], FIRST[1], again), T3, skip_loaded=True)
+    assert len(moves(store)) == 4
+
+
+def test_the_calendar_grows_with_the_transactions(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "tables"))
+    days = lambda: [r.date_full.isoformat() for r in store.appended("dim_date", S.DIM_DATE).orderBy("date_full").collect()]
+    run_pipeline(spark, store, collections(spark, *FIRST), T1)
+    assert (days()[0], days()[-1]) == ("1962-01-01", "2030-12-31")
+    late = [("b7", bucket(1, move("2035-06-01T00:00:00Z")), SYNC[1])]
+    run_pipeline(spark, store, collections(spark, FIRST[0], FIRST[1], late), T2)
+    assert (days()[0], days()[-1]) == ("1962-01-01", "2035-12-31") and len(set(days())) == len(days()) == 27028
+    run_pipeline(spark, store, collections(spark, FIRST[0], FIRST[1], late), T3)
+    assert len(store.runs("dim_date")) == 2
+
+
+def test_calendar_bounds(spark):
+    def years(known, *days):
+        frame = spark.createDataFrame([(d,) for d in days], "d date")
+        out = run_module.extend_dim_date(spark, known, frame)
+        return None if out is None else sorted({r.year for r in out.collect()})
+
+    known = run_module.build_dim_date(spark, "2000-01-01", "2001-12-31")
+    d = datetime(2001, 5, 5).date()
+    assert years(known, d, None) is None and years(known, None) is None and years(known) is None
+    assert years(known, d.replace(year=1998), d.replace(year=2003)) == [1998, 1999, 2002, 2003]
+    assert years(known.limit(0), d) == [2001]
