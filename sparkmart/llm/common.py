@@ -109,3 +109,18 @@ def row_slices(offs: np.ndarray, max_bytes: int) -> Iterator[tuple[int, int]]:
         j = min(max(j, i + 1), n)
         yield i, j
         i = j
+
+
+def cut_slices(buf: np.ndarray, offs: np.ndarray, max_bytes: int, overlap: int) -> Iterator[
+        tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, offsets, rows) of row ranges as ``row_slices`` makes them, but a longer row comes in
+    pieces that share ``overlap`` bytes, so that each run of ``overlap + 1`` bytes is in one piece."""
+    for lo, hi in row_slices(offs, max_bytes):
+        size = int(offs[hi] - offs[lo])
+        if hi > lo + 1 or size <= max_bytes:
+            yield buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], np.arange(lo, hi)
+            continue
+        for a in range(0, size, max_bytes):
+            if not a or size - a > overlap:
+                part = buf[offs[lo] + a:min(offs[lo] + a + max_bytes + overlap, offs[hi])]
+                yield part, np.array([0, len(part)]), np.array([lo])

@@ -15,14 +15,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import in_small_batches, row_slices, text_buffer
+from sparkmart.llm.common import cut_slices, in_small_batches, text_buffer
 from sparkmart.llm.hashing import mix
 
-GRAM = 4
+GRAM, SLICE = 4, 2 << 20
 #: An n-gram belongs to a language that has it at least this often in its n-grams, which leaves
 #: at most 20,000 per language, and at least this share as often as the language that has it most.
 MIN_RATE, MIN_SHARE = 5e-5, 0.1
 HELD_OUT = 2
+#: Languages that are learned, those of most documents.
+MOST_LANGUAGES = 256
 SLOTS_PER_GRAM, LOOKUPS = 16, 2
 U = np.uint64
 _lower = np.arange(256, dtype=np.uint64)
@@ -47,15 +49,15 @@ def grams(buf: np.ndarray, offs: np.ndarray, size: int = GRAM) -> tuple[np.ndarr
     return code[ok], row[:n][ok]
 
 
-def _count(size: int):
+def _count(size: int, slice_bytes: int):
     def run(batches):
         for batch in batches:
             buf, offs = text_buffer(batch.column("text"))
             lang = batch.column("lang").dictionary_encode()
             index = np.asarray(lang.indices.to_numpy(zero_copy_only=False), np.int64)
-            for lo, hi in row_slices(offs, 2 << 20):
-                code, row = grams(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], size)
-                of = index[lo:hi][row]
+            for part, at, rows in cut_slices(buf, offs, slice_bytes, size - 1):
+                code, row = grams(part, at, size)
+                of = index[rows][row]
                 for k in range(len(lang.dictionary)):
                     value, n = np.unique(code[of == k], return_counts=True)
                     yield pa.RecordBatch.from_arrays(
@@ -64,11 +66,11 @@ def _count(size: int):
     return run
 
 
-def gram_rates(docs: DataFrame, size: int = GRAM) -> DataFrame:
+def gram_rates(docs: DataFrame, size: int = GRAM, slice_bytes: int = SLICE) -> DataFrame:
     """(lang, gram, rate) of the n-grams that belong to a language, counted over all of ``docs``."""
     counts = (
         in_small_batches(docs.filter("lang is not null and text is not null").select("lang", "text"))
-        .mapInArrow(_count(size), "lang string, gram bigint, n bigint")
+        .mapInArrow(_count(size, slice_bytes), "lang string, gram bigint, n bigint")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -109,59 +111,69 @@ class LanguageFilter:
             out = out & self.slots[self._slot(codes, k, len(self.slots))]
         return out
 
-    def shares(self, codes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-        """Per row and language, the corrected share of the row's n-grams that the language has."""
-        total = np.bincount(row, minlength=n)
+    def hits(self, codes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per row the number of n-grams, and per row and language of those the filter says it has."""
         masks = self.masks(codes)
         out = np.zeros((n, len(self.languages)))
         for i in range(len(self.languages)):
             hit = (masks[:, i // 64] >> U(i % 64)) & U(1)
-            wrong = self.fill[i] ** LOOKUPS
-            share = np.bincount(row, hit.astype(float), n) / np.maximum(total, 1)
-            out[:, i] = np.clip((share - wrong) / max(1 - wrong, 1e-9), 0, 1)
-        return out
+            out[:, i] = np.bincount(row, hit.astype(float), n)
+        return np.bincount(row, minlength=n), out
+
+    def shares(self, total: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """Per row and language the share of the row's n-grams, less what false positives would give."""
+        wrong = self.fill ** LOOKUPS
+        share = hits / np.maximum(total, 1)[:, None]
+        return np.clip((share - wrong) / np.maximum(1 - wrong, 1e-9), 0, 1)
 
 
-def learn(docs: DataFrame, size: int = GRAM) -> LanguageFilter:
-    """The filter of all languages in ``lang``; at most 20,000 n-grams of each come to the driver."""
-    rows = gram_rates(docs, size).select("lang", "gram").toArrow()
-    names = sorted(set(rows["lang"].to_pylist()))
+def learn(docs: DataFrame, size: int = GRAM, languages: int = MOST_LANGUAGES,
+          slice_bytes: int = SLICE) -> LanguageFilter:
+    """The filter of the languages in ``lang``: the ``languages`` of most documents, ties by name.
+
+    At most 20,000 n-grams of each come to the driver, which bounds the filter, whatever ``lang``
+    holds.  A NULL doc_id is no matter here; NULL texts and languages teach nothing.
+    """
+    common = docs.filter("lang is not null and text is not null").groupBy("lang").count() \
+        .orderBy(F.desc("count"), "lang").limit(languages)
+    names = sorted(r["lang"] for r in common.collect())
+    rows = gram_rates(docs.filter(F.col("lang").isin(*names)), size, slice_bytes).select("lang", "gram").toArrow()
     place = {name: i for i, name in enumerate(names)}
     of = np.array([place[x] for x in rows["lang"].to_pylist()], np.int64)
     return LanguageFilter.build(names, of, rows["gram"].to_numpy().astype(np.int64).view(np.uint64), size)
 
 
-def _predict(found: LanguageFilter):
+def _predict(found: LanguageFilter, slice_bytes: int):
     def run(batches):
         for batch in batches:
             buf, offs = text_buffer(batch.column("text"))
-            best = np.zeros(batch.num_rows, np.int64)
-            score = np.zeros(batch.num_rows)
-            for lo, hi in row_slices(offs, 2 << 20):
-                code, row = grams(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], found.size)
-                shares = found.shares(code, row, hi - lo)
-                best[lo:hi] = shares.argmax(1)
-                score[lo:hi] = shares.max(1)
-            names = [found.languages[i] for i in best]
+            total, hits = np.zeros(batch.num_rows), np.zeros((batch.num_rows, len(found.languages)))
+            for part, at, rows in cut_slices(buf, offs, slice_bytes, found.size - 1):
+                n, hit = found.hits(*grams(part, at, found.size), len(rows))
+                total[rows] += n
+                hits[rows] += hit
+            shares = found.shares(total, hits)
+            names = [found.languages[i] for i in shares.argmax(1)]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("doc_id", "letters")], pa.array(names, pa.string()), pa.array(score)],
+                [*[batch.column(c) for c in ("doc_id", "letters")], pa.array(names, pa.string()), pa.array(shares.max(1))],
                 names=["doc_id", "letters", "lang_pred", "score"])
     return run
 
 
-def predict_language(docs: DataFrame, found: LanguageFilter) -> DataFrame:
+def predict_language(docs: DataFrame, found: LanguageFilter, slice_bytes: int = SLICE) -> DataFrame:
     """doc_id, lang_pred, score: one row per row of ``docs``, from whole texts alone.
 
     ``und`` with score 0 where the text is NULL or has no letter, or no language was learned.  The
     score is the corrected share of the text's n-grams that the language has; of equal shares, and
-    for texts too short for an n-gram, the first language by name wins.  Other columns are ignored.
+    for texts too short for an n-gram, the first language by name wins.  Ids may be NULL or repeat, long
+    texts are read in pieces, other columns are ignored.
     """
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     rows = in_small_batches(docs.select("doc_id", "text")).withColumn(
         "letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     if not found.languages:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    out = rows.mapInArrow(_predict(found), f"doc_id {doc_type}, letters boolean, lang_pred string, score double")
+    out = rows.mapInArrow(_predict(found, slice_bytes), f"doc_id {doc_type}, letters boolean, lang_pred string, score double")
     return out.select("doc_id", F.when(F.col("letters"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),
                       F.when(F.col("letters"), F.col("score")).otherwise(0.0).alias("score"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import free_name, in_small_batches, quoted, row_slices, staged, text_buffer
@@ -159,41 +159,80 @@ def _matches(batch, rows, item_ids, results):
         names=["doc_id", "_rid", "item_id", "n_tiles", "matched_words", "item_words", "coverage"])
 
 
-def _seed_rows(seed: int, key: str):
-    """(seed hash, key): every distinct seed of every row, of all lengths up to ``seed``."""
+def _item_seeds(seed: int):
+    """(h, _item, copies, words): the distinct seeds of each item and how often it has them."""
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            out, rows = [], []
-            for i, h in enumerate(_word_hashes([t or "" for t in texts])):
-                sizes = range(1, seed + 1) if key == "_rid" else [min(seed, len(h))]
-                own = [_runs(h, np.ones(len(h), bool), n)[0] for n in sizes if n and n <= len(h)]
-                own = np.unique(np.concatenate(own)) if own else np.empty(0, np.uint64)
-                out.append(own.view(np.int64))
-                rows += [i] * len(own)
+            out = []
+            for key, h in zip(batch.column("_item").to_pylist(), _word_hashes(batch.column("text").to_pylist())):
+                found, copies = np.unique(_seeds(h, seed)[0], return_counts=True)
+                out += [(x, key, n, len(h)) for x, n in zip(found.view(np.int64).tolist(), copies.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out)), batch.column(key).take(pa.array(rows, pa.int64()))],
-                names=["h", key])
+                [pa.array([r[k] for r in out], pa.int64()) for k in range(4)], names=["h", "_item", "copies", "words"])
     return run
 
 
-def _tile_pairs(seed: int, coverage: float):
+def _doc_seeds(sizes: list[int]):
+    """(h, _rid): the distinct runs of each row, of the lengths that items' seeds have."""
     def run(batches):
         for batch in batches:
-            rows, results = [], []
-            docs = _word_hashes([t or "" for t in batch.column("text").to_pylist()])
-            items = _word_hashes([t or "" for t in batch.column("item_text").to_pylist()])
-            for k, (doc, item) in enumerate(zip(docs, items, strict=True)):
-                h, at = _runs(doc, np.ones(len(doc), bool), max(1, min(seed, len(item))))
-                at = at[np.isin(h, _seeds(item, seed)[0])]
-                result = _compare(doc, item, at, seed) if len(at) else (0, 0, len(item), 0.0)
-                if result[3] >= coverage and result[1]:
-                    rows.append(k)
-                    results.append(result)
-            yield _matches(batch, rows, batch.column("item_id").take(pa.array(rows, pa.int64())), results)
+            buf, offs = text_buffer(batch.column("text"))
+            rid = batch.column("_rid").to_numpy()
+            for lo, hi in row_slices(offs, 2 << 20):
+                w = words(buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
+                left = np.repeat(w.first[1:], np.diff(w.first)) - np.arange(len(w.hash))
+                for n in sizes:
+                    at = np.flatnonzero(left >= n)
+                    pair = np.stack([w.row[at].astype(np.uint64), range_hash(w.hash, at, at + n)], 1)
+                    order = np.lexsort((pair[:, 1], pair[:, 0]))
+                    pair = pair[order]
+                    pair = pair[np.r_[True, (pair[1:] != pair[:-1]).any(1)]] if len(pair) else pair
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.ascontiguousarray(pair[:, 1]).view(np.int64)),
+                         pa.array(rid[lo + pair[:, 0].astype(np.int64)])], names=["h", "_rid"])
     return run
 
 
+def _tile_lists(seed: int, coverage: float):
+    """Matches of each document with the items in its list."""
+    def run(batches):
+        for batch in batches:
+            rows, results, ids = [], [], []
+            docs = _word_hashes(batch.column("text").to_pylist())
+            for k, (doc, listed) in enumerate(zip(docs, batch.column("items").to_pylist(), strict=True)):
+                for one, item in zip(listed, _word_hashes([x["text"] for x in listed]), strict=True):
+                    h, at = _runs(doc, np.ones(len(doc), bool), max(1, min(seed, len(item))))
+                    at = at[np.isin(h, _seeds(item, seed)[0])]
+                    result = _compare(doc, item, at, seed) if len(at) else (0, 0, len(item), 0.0)
+                    if result[3] >= coverage and result[1]:
+                        rows.append(k)
+                        ids.append(one["item_id"])
+                        results.append(result)
+            kind = batch.schema.field("items").type.value_type.field("item_id").type
+            yield _matches(batch, rows, pa.array(ids, kind), results)
+    return run
+
+
+def candidate_pairs(rows: DataFrame, items: DataFrame, seed: int, coverage: float) -> DataFrame:
+    """(_rid, _item) of documents and items that may share enough words, by a join of their seeds.
+
+    A document that holds ``coverage`` of an item's W words in tiles of ``seed`` words or more has at
+    least ``coverage * W / seed`` of its places where a seed begins.  So an item need not be joined on as
+    many of its places less one, and those with the most frequent seeds are left out: no pair is
+    lost, and a phrase that very many documents share joins only the items that consist of it.
+    """
+    of_items = staged(items.select("_item", "text").mapInArrow(_item_seeds(seed), "h bigint, _item bigint, copies bigint, words bigint"))
+    sizes = [r[0] for r in of_items.select(F.least("words", F.lit(seed))).distinct().collect()]  # at most ``seed``
+    known = of_items.select("h").distinct()
+    found = staged(rows.mapInArrow(_doc_seeds(sizes), "h bigint, _rid bigint").join(known, "h", "left_semi"))
+    frequent = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    spare = F.greatest(F.ceil(F.col("words") * coverage / seed) - 1, F.lit(0))
+    order = Window.partitionBy("_item").orderBy(F.desc("n"), "h").rowsBetween(Window.unboundedPreceding, 0)
+    kept = (of_items.join(frequent, "h").withColumn("places", F.sum("copies").over(order))
+            .filter(F.col("places") > spare).select("h", "_item"))
+    return found.join(kept, "h").select("_rid", "_item").distinct()
+
+
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed: int = SEED,
                        coverage: float = COVERAGE, small_bytes: int = SMALL_BYTES) -> DataFrame:
     """doc_id, _rid, item_id, n_tiles, matched_words, item_words, coverage of pairs at or above
@@ -202,7 +241,8 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed: int = SEED,
     Words compare with ASCII letters in lower case.  NULL and empty texts and items match nothing;
     repeated rows and items are compared each for itself; other columns are ignored.  The
     benchmark's size is measured: up to 20,000 items and ``small_bytes`` it goes to every task
-    and documents aren't shuffled, beyond that seeds and then texts are joined.
+    and documents aren't shuffled; beyond that seeds are joined, see ``candidate_pairs``, and each
+    document's text then meets the list of its items once.
     """
     doc_type, item_type = (df.schema[c].dataType.simpleString()
                            for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
@@ -217,13 +257,9 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, seed: int = SEED,
         hashes = _word_hashes(held.column("text").to_pylist())
         return rows.mapInArrow(_tile_against(hashes, ids, seed, coverage), out)
     items = staged(items.withColumn("_item", F.monotonically_increasing_id()))
-    seeds = items.mapInArrow(_seed_rows(seed, "_item"), "h bigint, _item bigint").distinct()
-    pairs = (rows.mapInArrow(_seed_rows(seed, "_rid"), "h bigint, _rid bigint")
-             .join(seeds, "h").select("_rid", "_item").distinct())
-    texts = (rows.join(pairs, "_rid")
-             .join(items.select("_item", "item_id", F.col("text").alias("item_text")), "_item"))
-    return texts.select("doc_id", "_rid", "text", "item_id", "item_text").mapInArrow(
-        _tile_pairs(seed, coverage), out)
+    pairs = candidate_pairs(rows, items, seed, coverage)
+    lists = pairs.join(items, "_item").groupBy("_rid").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
+    return rows.join(lists, "_rid").select("doc_id", "_rid", "text", "items").mapInArrow(_tile_lists(seed, coverage), out)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, seed: int = SEED,

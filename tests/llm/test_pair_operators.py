@@ -230,6 +230,37 @@ def test_contamination(spark, tmp_path, small):
     assert tiling.contaminated_pairs(df, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("small", [8 << 20, -1])
+def test_contamination_equals_plain_tiling(spark, tmp_path, small):
+    """Every document against every item; one phrase is in most documents and items."""
+    r, phrase = random.Random(11), prose(400, 7).split()
+    items = [(k, prose(500 + k, r.choice([3, 6, 12, 30])).split() + (phrase if k % 2 else [])) for k in range(12)]
+    rows = []
+    for k in range(60):
+        words = phrase + prose(700 + k, 15).split()
+        for _ in range(r.randint(0, 3)):
+            w = r.choice(items)[1]
+            a = r.randrange(len(w))
+            words += w[a:] + ["gap"] * r.randint(0, 1) + w[:a]
+        rows.append((None if k % 9 == 8 else k // 2, " ".join(words), "en", "a"))
+    rows += [(90, None, None, None), (91, "", "en", "a")]
+    want = []
+    for i, t, *_ in rows:
+        doc = [lower(x) for x in WORD.findall(t or "")]
+        for j, w in items:
+            item = [lower(x) for x in w]
+            found = brute_tiles(doc, item)
+            matched = sum(n for *_, n in found)
+            if 2 * matched >= len(item):
+                want.append((i, j, len(found), matched, len(item)))
+    assert len(want) > 40
+    bench = spark.createDataFrame([(j, " ".join(w), 1) for j, w in items], "item_id int, text string, _rid int")
+    df = stored(spark, docs(spark, rows), tmp_path)
+    got = [(x.doc_id, x.item_id, x.n_tiles, x.matched_words, x.item_words)
+           for x in tiling.contaminated_pairs(df, bench, small_bytes=small).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_vectors(spark):
     r = np.random.default_rng(2)
     base = r.standard_normal((30, 16))

@@ -155,6 +155,48 @@ def test_redact(spark):
     assert by[1] is None and by[53] == SECRETS[3][1]
 
 
+def test_links_equal_plain_loops(spark):
+    """Weak parts beside complementary ones, by comparing all parts of a row; then redaction."""
+    import random
+
+    r, scope = random.Random(4), 20
+    parts = []
+    for rid in range(40):
+        for _ in range(r.randint(0, 12)):
+            start = r.randint(0, 400)
+            parts.append((rid, r.choice(credentials.KINDS), start, start + r.randint(1, 60)))
+    want = set()
+    for rid, kind, start, end in parts:
+        if kind in credentials.KINDS[3:]:
+            secret = credentials.ROLE[kind] == "secret"
+            if any(o[0] == rid and (credentials.ROLE[o[1]] == "secret") != secret
+                   and o[2] <= end + scope and o[3] >= start - scope for o in parts):
+                want.add((rid, kind, start, end))
+    frame = spark.createDataFrame(parts, "rid bigint, kind string, start bigint, end bigint")
+    got = [tuple(x) for x in credentials.link_parts(frame, scope).collect()]
+    assert set(got) == want and len(got) == len(want) and 20 < len(want) < len(set(parts))
+
+
+def test_redaction_equals_plain_loops(spark):
+    rows = [x for x in edge_rows() + SECRETS if x[0] is not None]
+    df = docs(spark, rows)
+    told = {(x.doc_id, x.spans) for x in credentials.scan_secrets(df).collect()}
+    by = {}
+    for i, spans in told:
+        by.setdefault(i, []).append(spans)
+    want = []
+    for i, t, *_ in rows:
+        out, at = "", 0
+        cut = [x.split(":") for x in by[i][0].split(",") if x]
+        for kind, s, e in sorted(cut, key=lambda x: (int(x[1]), -int(x[2]), x[0])):
+            s, e = int(s), int(e)
+            if e > at:
+                out += "" if s < at else t[at:s] + f"[{kind}]"
+                at = e
+        want.append((i, None if t is None else out + t[at:]))
+    assert sorted(map(str, ((x.doc_id, x.text) for x in credentials.redact(df).collect()))) == sorted(map(str, want))
+
+
 def test_mix_targets(spark):
     rows = [(i + 1000, "w " * (i % 7 + 1), "en", s) for i, s in enumerate("aaaabbbbbbbbbbbbbbbccccccccccccccccccc" * 9)]
     out = mixing.mix_sources(docs(spark, rows + edge_rows())).collect()
