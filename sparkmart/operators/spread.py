@@ -7,27 +7,33 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 4_000_000
 CELL = "_cell"
+#: Keys a sketch tracks, and hot keys at most.
+TRACKED, MOST_HOT = 1 << 18, 100_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int, name: str) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows, and in ``name`` how many slices they need.
+def _key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+
 
-    Counted with a map-side combine.  At most ``rows / rows_per_slice`` keys can qualify: at the
-    default 2,500 for ten billion rows, 2.5 million short rows for ten trillion.  That bound is
-    what makes it safe to broadcast the result.
+def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int, name: str) -> DataFrame:
+    """Hashes ``_h`` of keys with more than ``rows_per_slice`` rows, and in ``name`` their slices.
+
+    Found by a sketch of frequent items: every task tracks at most ``TRACKED`` keys, and the sketches
+    are merged, so nothing is shuffled by key.  Up to so many distinct keys the counts are exact;
+    beyond, they are off by at most 3.5 / ``TRACKED`` of all rows, so up to 3 * 10**11 rows no key of
+    four million is missed (one that is missed stays whole, for the runtime's own skew handling).  At
+    most ``MOST_HOT`` short rows: that bound is what makes it safe to collect and broadcast them.
+    Another key with the same hash is dealt out as well, which changes no result.
     """
-    rows = F.count(F.lit(1))
-    return (
-        df.groupBy(*keys).agg(rows.alias("_rows")).filter(F.col("_rows") > rows_per_slice)
-        .select(*keys, F.ceil(F.col("_rows") / rows_per_slice).cast("int").alias(name))
-    )
+    top = df.select(_key_hash(keys).alias("_h")).agg(
+        F.expr(f"approx_top_k(_h, {MOST_HOT}, {TRACKED})").alias("top"))
+    return (top.select(F.inline("top")).filter(F.col("count") > rows_per_slice)
+            .select(F.col("item").alias("_h"), F.ceil(F.col("count") / rows_per_slice).cast("int").alias(name)))
 
 
 def _with_slices(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """Add ``_slices`` and ``_parts`` of the row's key, 1 and 1 unless it is hot."""
-    same = F.expr(" and ".join(f"`{k}` <=> `_hot_{k}`" for k in keys))
-    renamed = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-    return df.join(F.broadcast(renamed), same, "left").selectExpr(
+    return df.join(F.broadcast(hot), _key_hash(keys) == F.col("_h"), "left").selectExpr(
         *[f"`{c}`" for c in df.columns],
         "coalesce(_slices, 1) as _slices", "coalesce(_parts, 1) as _parts")
 
@@ -38,6 +44,17 @@ def _deal(share: str, by: list[str] | None) -> Column:
     return F.when(F.col(share) == 1, 0).otherwise(F.pmod(what, F.col(share)).cast("int"))
 
 
+def _plain_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how: str, many: DataFrame | None,
+                null_safe: bool, keep_cell: bool) -> DataFrame:
+    """No key is hot: equi-joins on the keys, all with the same partitioning of ``big``."""
+    equal, out = "<=>" if null_safe else "=", big
+    match = F.expr(" and ".join(f"`{k}` {equal} `_key_{k}`" for k in keys))
+    for lookup in [*lookups, *([] if many is None else [many])]:
+        renamed = lookup.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        out = out.join(renamed, match, how).drop(*[f"_key_{k}" for k in keys])
+    return out.withColumn(CELL, F.lit(0)) if keep_cell else out
+
+
 def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how: str = "left",
                 many: DataFrame | None = None, null_safe: bool = False,
                 rows_per_slice: int = ROWS_PER_SLICE, count_from: DataFrame | None = None,
@@ -52,8 +69,9 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
     Every matching pair meets in exactly one cell, so the result is that of the plain joins, and
     ``big`` is shuffled once, on (keys, cell), for all of them.
 
-    ``count_from`` and ``count_many_from`` may name cheaper frames to count keys in that have all
-    rows of ``big`` or ``many``, or more.
+    The keys are counted before, by one job for each side that may be hot.  ``count_from`` and
+    ``count_many_from`` may name cheaper frames to count keys in that have all rows of ``big`` or
+    ``many``, or more.  Where no key is hot, these are plain joins.
 
     A row must go to the same slice when its task is run again.  ``deal_by`` names columns of
     ``big`` that tell its rows apart.  Without it rows are dealt by position, copies too, which
@@ -65,17 +83,19 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
     if not null_safe:  # a NULL key matches nothing
         lookups = [lookup.dropna(subset=keys) for lookup in lookups]
         many = many if many is None else many.dropna(subset=keys)
-    counted = (big if count_from is None else count_from).select(*keys)
-    hot = hot_keys(counted, keys, rows_per_slice, "_slices").withColumn("_parts", F.lit(1))
+    found: dict[int, list[int]] = {}
+    counted = hot_keys((big if count_from is None else count_from).select(*keys), keys, rows_per_slice, "n")
+    for h, n in counted.collect():
+        found[h] = [n, 1]
     if many is not None:
         listed = many if count_many_from is None else count_many_from
         if not null_safe:
             listed = listed.dropna(subset=keys)
-        parts = hot_keys(listed.select(*keys), keys, rows_per_slice, "_parts")
-        hot = (
-            hot.unionByName(parts.withColumn("_slices", F.lit(1)))
-            .groupBy(*keys).agg(F.max("_slices").alias("_slices"), F.max("_parts").alias("_parts"))
-        )
+        for h, n in hot_keys(listed.select(*keys), keys, rows_per_slice, "n").collect():
+            found.setdefault(h, [1, 1])[1] = n
+    if not found:
+        return _plain_join(big, lookups, keys, how, many, null_safe, keep_cell)
+    hot = big.sparkSession.createDataFrame([(h, *n) for h, n in found.items()], "_h bigint, _slices int, _parts int")
 
     out = _with_slices(big, keys, hot).withColumn("_slice", _deal("_slices", deal_by))
     if many is None:

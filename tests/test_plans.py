@@ -49,6 +49,10 @@ def plans(tables):
         t["transaction"], account_bridge(t["customer"]),
         lookup_view(t["dim_customer"], ["customer_bk"], "customer_sk"),
         lookup_view(t["dim_account"], ["account_id"], "account_sk"), t["details"], str(DAY))
+    conf = t["raw"].sparkSession.conf  # empty tables would be broadcast
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    fact_plan = plan(fact)
+    conf.unset("spark.sql.autoBroadcastJoinThreshold")
     return {
         "customers": plan(process_customers(t["raw"])),
         "accounts": plan(process_accounts(t["raw"])),
@@ -56,7 +60,7 @@ def plans(tables):
         "dim_customer": plan(P.build_dim_customer(t["customer"], t["dim_customer"], DAY)),
         "dim_account": plan(P.build_dim_account(t["account"], t["dim_account"], DAY)),
         "details": plan(P.build_dim_transaction_details(t["transaction"], t["details"])),
-        "fact": plan(fact),
+        "fact": fact_plan,
     }
 
 
