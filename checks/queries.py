@@ -566,7 +566,7 @@ def quarantine_rules(spark, sf):
     store = TableStore(spark, shared_folder(spark))
     run_pipeline(spark, store, {name: _damaged(spark, sf, name) for name in LOADS}, RUN_1)
     return reduce(DataFrame.unionByName, [
-        store.snapshot(f"outcomes/{table}", OUTCOMES)
+        store.notes(f"outcomes/{table}", OUTCOMES)
         for table in ("customer", "account", "transaction", "dim_customer", "dim_account", "fact_transaction")])
 
 

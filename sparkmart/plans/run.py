@@ -136,8 +136,8 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         rules = rule_names(S.NOT_NULL.get(table, []), S.MAX_LENGTH.get(table))
         counted, outcomes = observed(rows, [*REFUSALS.get(table, []), *rules])
         store.write_run(counted, table, run_id, partition_by=partition_by)
-        found = [(table, outcome, n) for outcome, n in outcomes().items()]
-        store.write_run(spark.createDataFrame(found, OUTCOMES).coalesce(1), f"outcomes/{table}", run_id)
+        store.put_note(f"outcomes/{table}", run_id, [
+            {"table_name": table, "outcome": outcome, "n_rows": n} for outcome, n in outcomes().items()])
 
     def processed(rows: DataFrame, table: str, schema: str, more: str = "") -> None:
         rows = with_defaults(rows, {"create_date": stamp})

@@ -9,6 +9,8 @@ again replaces just that folder.  Three ways to read follow from it:
 * ``versions``: current rows of the newest run, closed rows of all runs (history is written
   once, when a version closes, and never rewritten).
 
+Short lists the driver needs, such as manifests, are notes: JSON files beside the tables.
+
 A table may keep rejected rows beside the accepted ones, in ``is_rejected=true``; ``snapshot`` reads
 the accepted rows, ``rejected`` the others.  A table of versions may be bucketed by its key: a
 manifest per run, in the table ``<table>_buckets``, says which run holds each bucket's current rows,
@@ -19,6 +21,7 @@ Run ids must sort in time order as text; ``run_id_of`` makes such ids.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 from functools import cache
 from typing import NamedTuple
@@ -28,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-MANIFEST = "bucket int, held_by string, n_buckets int, n_rows bigint, digest string"
 ROWS_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 500_000, 16, 4096
 
 
@@ -196,17 +198,47 @@ class TableStore:
         At most ``MOST_BUCKETS`` short rows.
         """
         newest = self.runs(table, before)[-1:]
-        if not newest or newest[0] not in self.runs(f"{table}_buckets"):
-            return {}
-        return {r.bucket: Bucket(*r) for r in self.run_rows(f"{table}_buckets", newest[0], MANIFEST).collect()}
+        rows = self.get_note(f"{table}_buckets", newest[0]) if newest else None
+        return {r["bucket"]: Bucket(**r) for r in rows or []}
 
     def write_manifest(self, table: str, run_id: str, found: dict[int, Bucket]) -> None:
         """Say where the buckets' current rows are, before the run itself is written.
 
         A manifest counts only with its run, so one whose run broke off is never read.
         """
-        rows = self.spark.createDataFrame([tuple(b) for b in found.values()], declared(MANIFEST))
-        self.write_run(rows.coalesce(1), f"{table}_buckets", run_id)
+        self.put_note(f"{table}_buckets", run_id, [b._asdict() for b in found.values()])
+
+    # -- notes: few short rows that the driver writes and reads itself, without a job -------
+
+    def _note(self, name: str, run_id: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/run={run_id}/note.json")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def put_note(self, name: str, run_id: str, rows: list[dict]) -> None:
+        """Write ``rows`` as a file of JSON lines, whole or not at all."""
+        path, fs = self._note(name, run_id)
+        draft = path.suffix(".draft")
+        out = fs.create(draft, True)
+        out.write(bytearray("".join(json.dumps(r) + "\n" for r in rows).encode()))
+        out.close()
+        fs.delete(path, False)
+        fs.rename(draft, path)
+
+    def get_note(self, name: str, run_id: str) -> list[dict] | None:
+        path, fs = self._note(name, run_id)
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return [json.loads(line) for line in text.splitlines()]
+
+    def notes(self, name: str, schema: str, run: str | None = None) -> DataFrame:
+        """The notes under ``name``, of one run or of all."""
+        found = self._glob(f"{self.root}/{name}/run={run or '*'}/note.json")
+        if not found:
+            return empty_table(self.spark, schema)
+        return self.spark.read.schema(declared(schema)).json(found)
 
     def _current_folders(self, table: str, newest: list[str], buckets: set[int] | None = None) -> list[str]:
         found = self.buckets(table, before=None if not newest else newest[0] + "~")

@@ -299,7 +299,7 @@ def test_outcomes_are_counted_by_the_job_that_writes(spark, tmp_path):
     run_pipeline(spark, store, collections(spark, FIRST[0] + [("torn", "{", SYNC[0])], *FIRST[1:]), T1)
     found = {}
     for table in ("customer", "account", "transaction", "dim_customer", "fact_transaction"):
-        for r in store.snapshot(f"outcomes/{table}", run_module.OUTCOMES).collect():
+        for r in store.notes(f"outcomes/{table}", run_module.OUTCOMES).collect():
             found[table, r.outcome] = r.n_rows
     assert found == {
         ("customer", "accepted"): 3, ("customer", "document is not readable"): 1, ("account", "accepted"): 3,
