@@ -1,22 +1,32 @@
 """Embedding near-dedup by collision-counting projections (operator 1).
 
-Vectors of unit length are projected on as many orthonormal directions as they have components.
-Two vectors collide in a projection when one lies in the window around the other's value.  The
-squared projected differences of a pair add up to its squared distance, so a pair within the
-threshold can miss at most ``distance**2 / window**2`` of the windows: pairs with at least the
-remaining number of collisions are all candidates there are (recall 1), and are verified.
-
-The first projection sorts the vectors into strips.  A pair within the threshold lies in one
-strip or two neighbouring ones; strips are cut into tiles of bounded size, and each pair of tiles
-is a task's work, in which windows are found by sorting and counted per pair.
+Vectors of unit length are projected on many directions, and cells of several projections select
+what is compared at all:
+
+1. A table's cells are the signs of some projections, that is, the two half-lines each projection's
+   values are sorted into.  Vectors that share a cell of any table are counted: of all projections
+   of all tables, on how many they lie on the same side.  Pairs that agree on as many as pairs at
+   the threshold do are candidates.  Cells and count are calibrated for a recall of ``1 - MISS``.
+2. Candidates' connected components are formed, so a vector is sent on once, whatever it met.
+3. Within a component and label all pairs are counted by query-centred windows: two vectors collide
+   in a projection when one lies in the window around the other's value.  The squared projected
+   differences of a pair add up to its squared distance, so a pair within the threshold can miss at
+   most ``distance**2 / window**2`` of the windows: no pair is lost here.  The rest is verified.
+
+Cells and components with many vectors are cut into tiles of bounded size, and each pair of tiles
+is a task's work.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.llm.common import staged
 from sparkmart.llm.components import components
@@ -25,6 +35,9 @@ THRESHOLD, TILE = 0.98, 2048
 #: Of the squared distance, the share a window may cover in one projection: at most a quarter of
 #: the projections can then be missed.
 MISSES = 0.25
+#: Pairs at the threshold that no table's cell brings together, by calculation, and vectors of a
+#: label that one cell should hold.
+MISS, PER_CELL = 1e-6, 512
 
 
 def rotation(n: int, seed: int = 11) -> np.ndarray:
@@ -33,18 +46,110 @@ def rotation(n: int, seed: int = 11) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _project(batches):
-    """Strip coordinate of each vector; NULL for those that can't link."""
-    for pdf in batches:
-        out = np.full(len(pdf), np.nan)
-        size = pdf["embedding"].map(len).to_numpy()
-        for n in np.unique(size):
-            at = np.flatnonzero(size == n)
-            x = np.array(pdf["embedding"].iloc[at].tolist(), dtype=float)
-            x /= np.linalg.norm(x, axis=1)[:, None]
-            out[at] = x @ rotation(int(n))[:, 0]
-        pdf["first"] = out
-        yield pdf
+def tables(most: int, threshold: float) -> tuple[int, int, int]:
+    """(signs of a table's cells, tables, signs two vectors may differ in) for ``most`` vectors a label.
+
+    Two vectors at the angle of the threshold lie on the same side of a projection with probability
+    ``1 - angle / pi``.  The signs a pair differs in are let go eight deviations beyond their mean.
+    """
+    differ = math.acos(min(1.0, threshold)) / math.pi + 1e-9
+    signs = max(9, math.ceil(math.log2(max(1, most / PER_CELL))))
+    met = (1 - differ) ** signs
+    n = math.ceil(math.log(MISS) / math.log(1 - met)) if met < 1 else 1
+    size = signs * n
+    return signs, n, math.ceil(size * differ + 8 * math.sqrt(size * differ * (1 - differ)))
+
+
+def _signs(signs: int, n: int):
+    """Task: (rep, label, keys of its cells, all signs) of each vector."""
+    size = signs * n
+    weight = 1 << np.arange(signs)
+
+    def run(batches):
+        for pdf in batches:
+            bits = np.zeros((len(pdf), size), bool)
+            lengths = pdf["embedding"].map(len).to_numpy()
+            for d in np.unique(lengths):
+                at = np.flatnonzero(lengths == d)
+                x = np.array(pdf["embedding"].iloc[at].tolist(), dtype=float)
+                x /= np.abs(x).max(1)[:, None]
+                turns = np.concatenate([rotation(int(d), 11 + k) for k in range(-(-size // int(d)))], axis=1)
+                bits[at] = x @ turns[:, :size] > 0
+            packed = np.packbits(np.pad(bits, ((0, 0), (0, -size % 64))), axis=1)
+            yield pd.DataFrame({
+                "rep": pdf["rep"], "label": pdf["label"],
+                "keys": (bits.reshape(len(pdf), n, signs) @ weight).astype(np.int32).tolist(),
+                "signs": [row.tobytes() for row in packed]})
+    return run
+
+
+def in_jobs(rows: DataFrame, cell: str, tile: int, by: str) -> DataFrame:
+    """``rows`` with ``job`` and ``side``: a job is a cell, or a pair of tiles of one that has many rows.
+
+    Tiles are dealt out by the column ``by``.  Side 2 is a tile with itself, 0 and 1 are the two tiles of
+    a pair.  Only rows of cells with more than ``tile`` rows are repeated, once per tile.
+    """
+    large = rows.groupBy(cell).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > tile).select(
+        F.col(cell).alias("_cell"), F.ceil(F.col("_n") / tile).cast("int").alias("_tiles"))
+    cut = rows.join(large, F.col(cell).eqNullSafe(F.col("_cell")), "left")
+    own = F.pmod(F.xxhash64(by), F.col("_tiles")).cast("int")
+    cut = cut.withColumn("_own", own).withColumn("_other", F.explode(
+        F.when(F.col("_tiles").isNull(), F.array(F.lit(None).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("_tiles") - 1))))
+    side = F.when(F.col("_own").isNull() | (F.col("_own") == F.col("_other")), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1)
+    return cut.withColumns({"job": F.xxhash64(cell, F.least("_own", "_other"), F.greatest("_own", "_other")), "side": side}).drop(
+        "_cell", "_tiles", "_own", "_other")
+
+
+def linked(signs: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (i, j) of a forest over the rows of words that differ in at most ``most`` bits."""
+    n = len(signs)
+    if n <= 64:
+        apart = np.bitwise_count(signs[:, None] ^ signs[None]).sum(2, dtype=np.int32)
+        i, j = np.nonzero(np.triu(apart <= most, 1))
+        if len(i) < n:
+            return i, j
+    left, out = np.arange(n), []
+    while len(left) > 1:
+        todo, left = [left[0]], left[1:]
+        while todo and len(left):
+            v = todo.pop()
+            near = np.bitwise_count(signs[left] ^ signs[v]).sum(1, dtype=np.int32) <= most
+            hit, left = left[near], left[~near]
+            out.append(np.stack([np.full(len(hit), v), hit]))
+            todo.extend(hit.tolist())
+    return tuple(np.concatenate(out, axis=1)) if out else (np.empty(0, int),) * 2
+
+
+def _meet(most: int):
+    """Task: rows (job, rep, signs) sorted by job; returns a forest (a, b) of each job's candidates."""
+    def edges(job, rep, signs):
+        cut = np.flatnonzero(np.r_[True, job[1:] != job[:-1], True])
+        found = []
+        for k in np.flatnonzero(np.diff(cut) > 1):
+            own = slice(cut[k], cut[k + 1])
+            i, j = linked(signs[own], most)
+            if len(i):
+                found.append(np.stack([rep[own][i], rep[own][j]]))
+        a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        held: list[tuple] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            job, rep = (batch.column(k).to_numpy() for k in (0, 1))
+            signs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(len(job), -1)
+            held.append((job, rep, signs))
+            if job[0] == job[-1]:
+                continue  # one job so far
+            job, rep, signs = (np.concatenate(x) for x in zip(*held))
+            last = int(np.searchsorted(job, job[-1]))  # the last job may go on
+            yield edges(job[:last], rep[:last], signs[:last])
+            held = [(job[last:], rep[last:], signs[last:])]
+        if held:
+            yield edges(*(np.concatenate(x) for x in zip(*held)))
+    return run
 
 
 def _candidates(p: np.ndarray, q: np.ndarray, window: float, need: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +232,24 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return out
 
 
+def candidates(classes: DataFrame, threshold: float, tile: int) -> DataFrame:
+    """(rep, root): vectors of ``classes`` (rep, label, embedding) that candidates connect.
+
+    ``label`` tells embeddings of other labels and lengths apart.  Each vector goes to one cell per
+    table, as a few dozen bytes; a cell's answer is a forest, so many alike vectors bring no pairs.
+    """
+    most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    signs, n, differ = tables(most, threshold)
+    placed = classes.select("rep", "label", "embedding").mapInPandas(
+        _signs(signs, n), "rep bigint, label string, keys array<int>, signs binary")
+    cells = staged(placed.select("rep", "label", "signs", F.posexplode("keys").alias("t", "key")).select(
+        "rep", "signs", F.xxhash64("label", "t", "key").alias("cell")))
+    jobs = in_jobs(cells, "cell", tile, "rep").select("job", "rep", "signs")
+    found = jobs.repartition(F.col("job")).sortWithinPartitions("job").mapInArrow(
+        _meet(differ), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+    return components(found).withColumnRenamed("node", "rep")
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``.
 
@@ -135,7 +258,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     Embeddings that are NULL, empty, zero or hold a NULL or non-finite component link with nothing.
     Equal embeddings of a label are compared once and counted as often as they occur; rows with
     equal vec_id count each for itself.  A NULL vec_id is never the smallest of its component.
-    The work grows with the pairs of vectors of one label in neighbouring strips.
+    The work grows with the vectors times the tables they are in, and with the pairs within the
+    components of candidates, which ``n_links`` is about.
     """
     good = ("label is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and "
             "not isnan(x) and abs(x) < double('infinity')) and exists(embedding, x -> x <> 0)")
@@ -143,35 +267,19 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = T
     rows = rows.withColumn("ok", F.expr(f"coalesce({good}, false)")).withColumn(
         "key", F.expr("if(ok, sha2(concat_ws(',', cast(label as string), array_join(transform(embedding, "
                       "x -> hex(cast(if(x = 0, 0D, x) as string))), ' ')), 256), null)"))
-    # one row for equal vectors of a label
+    # one row for equal vectors of a label; the label takes the length in
+    label = F.concat_ws(":", F.size(F.first("embedding")).cast("string"), F.first("label").cast("string"))
     classes = staged(
         rows.filter("ok").groupBy("key").agg(
             F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"),
-            F.first("embedding").alias("embedding"), F.first("label").cast("string").alias("label"))
+            F.first("embedding").alias("embedding"), label.alias("label"))
         .withColumn("rep", F.monotonically_increasing_id()))
-    distance = float(np.sqrt(2 - 2 * threshold)) * (1 + 1e-9) + 1e-9
-    placed = classes.select("rep", "copies", "label", "embedding").mapInPandas(
-        _project, "rep bigint, copies bigint, label string, embedding array<double>, first double")
-    placed = (
-        placed.withColumn("label", F.concat_ws(":", F.size("embedding").cast("string"), "label"))
-        .withColumn("strip", F.expr(f"cast(floor(first / {distance!r}D) as int)")).drop("first"))
-    # strips with many vectors are cut into tiles by hash
-    sizes = placed.groupBy("label", "strip").agg(F.expr(f"cast(ceil(count(1) / {tile}) as int)").alias("tiles"))
-    placed = placed.join(sizes, ["label", "strip"]).withColumn(
-        "tile", F.expr("cast(pmod(xxhash64(rep), tiles) as int)")).drop("tiles")
-    cells = sizes.withColumn("tile", F.explode(F.expr("sequence(0, tiles - 1)"))).drop("tiles")
-    other = cells.select("label", F.col("strip").alias("strip2"), F.col("tile").alias("tile2"))
-    near = cells.withColumn("strip2", F.explode(F.expr("array(strip, strip + 1)"))).join(
-        other, ["label", "strip2"]).filter("strip < strip2 or tile <= tile2")
-    work = staged(near.withColumn("job", F.monotonically_increasing_id()))
-    side = F.expr("if(strip = strip2 and tile = tile2, 2, 0)").alias("side")
-    sides = work.select("label", "strip", "tile", "job", side).unionByName(
-        work.filter("strip <> strip2 or tile <> tile2").select(
-            "label", F.col("strip2").alias("strip"), F.col("tile2").alias("tile"), "job", F.lit(1).alias("side")))
+    near = candidates(classes, threshold, tile).withColumnRenamed("root", "candidate")
+    together = classes.select("rep", "copies", "label", "embedding").join(near, "rep") \
+        .withColumn("cell", F.xxhash64("candidate", "label")).drop("candidate")
     found = staged(
-        placed.join(sides, ["label", "strip", "tile"])
-        .select("job", "side", "rep", "copies", "embedding")
-        .groupBy("job").applyInPandas(_link_tiles(threshold), "a bigint, b bigint, n bigint"))
+        in_jobs(staged(together), "cell", tile, "rep").select("job", "label", "side", "rep", "copies", "embedding")
+        .groupBy("job", "label").applyInPandas(_link_tiles(threshold), "a bigint, b bigint, n bigint"))
     links = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "rep")
     roots = components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     known = (
