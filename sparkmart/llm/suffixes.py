@@ -39,13 +39,12 @@ WIDTH = LEFT + LENGTH
 PAD = 255  # in no UTF-8 text
 CHUNK, PART = 1 << 20, 12 << 20
 #: Chunks that may have an anchor before its windows are split by content.
-HOT = 64
+HOT = 256
 NO_DOC = 2 ** 63 - 1
 WINDOW_BASE = 0x9E3779B97F4A7C15 ^ 0x5DEECE66D00
 U = np.uint64
 _random = np.random.default_rng(5)
 CASE_KEY = _random.integers(1, 2 ** 63, 256, dtype=np.uint64) | U(1)
-CONTEXT_KEY = _random.integers(1, 2 ** 63, WIDTH, dtype=np.uint64) | U(1)
 
 
 def _slide(x: np.ndarray, n: int, best) -> np.ndarray:
@@ -84,11 +83,23 @@ def contexts(buf: np.ndarray, offs: np.ndarray, at: np.ndarray, row: np.ndarray)
     return np.where(inside, buf[np.clip(place, 0, len(buf) - 1)], PAD).astype(np.uint8)
 
 
-def context_hash(c: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(c), np.uint64)
-    for k in range(WIDTH):
-        out += (CASE_KEY[c[:, k]] ^ CONTEXT_KEY[k]) * CONTEXT_KEY[k]
-    return mix(out)
+def prefix_sums(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums from which ``span_hash`` reads the hash of any span of ``buf``."""
+    up, down = powers(WINDOW_BASE, len(buf) + 1)
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(CASE_KEY[buf] * up[:len(buf)], out=total[1:])
+    return total, down
+
+
+def span_hash(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    total, down = sums
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def context_hash(sums, offs: np.ndarray, at: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each anchor's context and of where the anchor is in it."""
+    start, end = np.maximum(at - LEFT, offs[row]), np.minimum(at + LENGTH, offs[row + 1])
+    return mix(span_hash(sums, start, end) + (at - start).astype(np.uint64) * U(0xD6E8FEB86659FD93))
 
 
 # -- deep-shallow sorting ------------------------------------------------------------------------
@@ -322,17 +333,13 @@ def _among(h: np.ndarray, blobs) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, low), len(known) - 1)] == low
 
 
-def hot_windows(buf: np.ndarray, offs: np.ndarray, at: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hot_windows(sums, offs: np.ndarray, at: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, row, hash) of every window over the anchors ``at``, each window once."""
     start = (at[:, None] - np.arange(LEFT + 1)).ravel()
     owner = np.repeat(row, LEFT + 1)
     inside = (start >= offs[owner]) & (start + LENGTH <= offs[owner + 1])
     start, first = np.unique(start[inside], return_index=True)
-    owner = owner[inside][first]
-    up, down = powers(WINDOW_BASE, len(buf) + 1)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(CASE_KEY[buf] * up[:len(buf)], out=total[1:])
-    return start, owner, mix((total[start + LENGTH] - total[start]) * down[start])
+    return start, owner[inside][first], span_hash(sums, start, start + LENGTH)
 
 
 def _least_doc(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -344,71 +351,90 @@ def _least_doc(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return found, low, high, where
 
 
-def _send_windows(batches):
-    """Task: each chunk's distinct windows over hot anchors, with its smallest and largest document."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            hot = batch.column("hot")[k].as_py()
-            if not any(hot or []):
-                continue
-            buf, offs, doc = _chunk(batch, k)
-            at, h, row = anchors(buf, offs)
-            mine = _among(h, hot)
-            _, owner, key = hot_windows(buf, offs, at[mine], row[mine])
-            key, low, high, _ = _least_doc(key, doc[owner])
-            for a in range(0, len(key), 10_000):
-                n = len(key[a:a + 10_000])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("cid").take(pa.array([k] * n)), pa.array(key[a:a + 10_000].view(np.int64)),
-                     pa.array(low[a:a + 10_000]), pa.array(high[a:a + 10_000])], names=["cid", "key", "low", "high"])
-
-
 def _local_groups(buf, offs, doc):
     """Anchors with their context hash, and whether an equal context has a smaller doc here."""
     at, h, row = anchors(buf, offs)
-    c = np.empty(len(at), np.uint64)
-    for a in range(0, len(at), 16384):
-        c[a:a + 16384] = context_hash(contexts(buf, offs, at[a:a + 16384], row[a:a + 16384]))
+    sums = prefix_sums(buf)
+    c = context_hash(sums, offs, at, row)
     order = np.lexsort((doc[row], c))
     first = np.r_[True, c[order][1:] != c[order][:-1]] if len(at) else np.empty(0, bool)
     lead = order[first]
     least = doc[row[lead]][np.cumsum(first) - 1] if len(at) else np.empty(0, np.int64)
     later = np.zeros(len(at), bool)
     later[order] = doc[row[order]] > least
-    return at, h, row, c, lead, later
+    return at, h, row, c, lead, later, sums
+
+
+def _sent(part: list[int], cid: int, hashes: list[bytes], docs: list[bytes], bodies: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part, pa.int32()), pa.array([cid] * len(part), pa.int64()), pa.array(hashes, pa.binary()),
+         pa.array(docs, pa.binary()), pa.array([zstandard.compress(b, 3) for b in bodies], pa.binary())],
+        names=["part", "cid", "hashes", "docs", "bodies"])
 
 
 def _send_contexts(parts: int):
+    """Task: each chunk's contexts of repeated anchors to parts below ``parts``, and its distinct windows
+    over hot anchors, with their smallest and largest document, to those from ``parts`` on."""
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 buf, offs, doc = _chunk(batch, k)
-                at, h, row, c, lead, _ = _local_groups(buf, offs, doc)
-                keep, hot = (_among(h[lead], batch.column(c)[k].as_py()) for c in ("twins", "hot"))
+                at, h, row, c, lead, _, sums = _local_groups(buf, offs, doc)
+                cid, hot_blobs = batch.column("cid")[k].as_py(), batch.column("hot")[k].as_py()
+                keep, hot = _among(h[lead], batch.column("twins")[k].as_py()), _among(h[lead], hot_blobs)
                 # anchors of several documents of this chunk that no other chunk has
                 order = np.lexsort((doc[row], h))
                 hs, ds = h[order], doc[row[order]]
                 mixed = hs[1:][(hs[1:] == hs[:-1]) & (ds[1:] != ds[:-1])]
                 lead = lead[(keep | np.isin(h[lead], mixed)) & ~hot]
+                if any(hot_blobs or []):
+                    mine = _among(h, hot_blobs)
+                    _, owner, key = hot_windows(sums, offs, at[mine], row[mine])
+                    key, low, high, _ = _least_doc(key, doc[owner])
+                    edges = _by_part(key, parts)[1]
+                    cut = [(p, slice(edges[p], edges[p + 1])) for p in range(parts) if edges[p + 1] > edges[p]]
+                    yield _sent([parts + p for p, _ in cut], cid, [key[s].tobytes() for _, s in cut], [b""] * len(cut),
+                                [low[s].tobytes() + high[s].tobytes() for _, s in cut])
                 if not len(lead):
                     continue
                 lead = lead[np.argsort(h[lead], kind="stable")]
                 edges = _by_part(h[lead], parts)[1]
                 body = contexts(buf, offs, at[lead], row[lead])
                 docs, ch = doc[row[lead]], c[lead]
-                full = [p for p in range(parts) if edges[p + 1] > edges[p]]
-                cid = batch.column("cid")[k].as_py()
-                cut = [slice(edges[p], edges[p + 1]) for p in full]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int32()), pa.array([cid] * len(full), pa.int64()),
-                     pa.array([ch[s].tobytes() for s in cut], pa.binary()),
-                     pa.array([docs[s].tobytes() for s in cut], pa.binary()),
-                     pa.array([zstandard.compress(body[s].tobytes(), 3) for s in cut], pa.binary())],
-                    names=["part", "cid", "hashes", "docs", "bodies"])
+                cut = [(p, slice(edges[p], edges[p + 1])) for p in range(parts) if edges[p + 1] > edges[p]]
+                yield _sent([p for p, _ in cut], cid, [ch[s].tobytes() for _, s in cut], [docs[s].tobytes() for _, s in cut],
+                            [body[s].tobytes() for _, s in cut])
+    return run
+
+
+def _answer(parts: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _answer_windows(pdf) if pdf["part"].iloc[0] >= parts else _answer_contexts(pdf)
     return run
 
 
-def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
+def _replies(kind: int, cid: np.ndarray, told: np.ndarray, hashes: np.ndarray, values: np.ndarray) -> pd.DataFrame:
+    """One row per chunk: the hashes ``told`` picks, and what is said about them."""
+    told = told[np.argsort(cid[told], kind="stable")]
+    edges = np.flatnonzero(np.r_[True, cid[told][1:] != cid[told][:-1], True]) if len(told) else [0]
+    each = [told[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return pd.DataFrame({"cid": [int(cid[t[0]]) for t in each], "kind": [kind] * len(each),
+                         "hashes": [hashes[t].tobytes() for t in each], "spans": [values[t].tobytes() for t in each]})
+
+
+def _answer_windows(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per chunk (window hash, smallest document) of windows that a smaller document has."""
+    key = np.frombuffer(b"".join(pdf["hashes"]), np.uint64)
+    size = [len(b) // 8 for b in pdf["hashes"]]
+    cid = np.repeat(pdf["cid"].to_numpy(), size)
+    both = [np.frombuffer(zstandard.decompress(b), np.int64) for b in pdf["bodies"]]
+    low, high = (np.concatenate([x[i * n:(i + 1) * n] for x, n in zip(both, size, strict=True)]) for i in (0, 1))
+    _, least, _, where = _least_doc(key, low)
+    least = least[where]
+    return _replies(1, cid, np.flatnonzero(least < high), key, least)
+
+
+def _answer_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
     """Per chunk (context hash, low, high) of contexts that smaller documents cover."""
     h = np.frombuffer(b"".join(pdf["hashes"]), np.uint64)
     doc = np.frombuffer(b"".join(pdf["docs"]), np.int64)
@@ -424,21 +450,16 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     low, high = low[group], high[group]
     whole = doc > doc[lead][group]  # the same context in a smaller document: all windows
     low, high = np.where(whole, -1, low), np.where(whole, 100, high)
-    told = np.flatnonzero(high >= 0)
-    told = told[np.argsort(cid[told], kind="stable")]
-    edges = np.flatnonzero(np.r_[True, cid[told][1:] != cid[told][:-1], True]) if len(told) else [0]
-    pairs = [told[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return pd.DataFrame({
-        "cid": [int(cid[t[0]]) for t in pairs], "hashes": [h[t].tobytes() for t in pairs],
-        "spans": [np.stack([low[t], high[t]], 1).astype(np.int8).tobytes() for t in pairs]})
+    return _replies(0, cid, np.flatnonzero(high >= 0), h, np.stack([low, high], 1).astype(np.int8))
 
 
 def _covered(batch, k: int, buf, offs, doc) -> np.ndarray:
     """Which bytes of a chunk lie in a window that a smaller document has."""
-    at, h, row, c, _, later = _local_groups(buf, offs, doc)
+    at, h, row, c, _, later, sums = _local_groups(buf, offs, doc)
     replies = batch.column("replies")[k].as_py() or []
-    known = np.frombuffer(b"".join(r["hashes"] for r in replies), np.uint64)
-    spans = np.frombuffer(b"".join(r["spans"] for r in replies), np.int8).reshape(-1, 2)
+    blobs = lambda kind, what: b"".join(r[what] for r in replies if r["kind"] == kind)
+    known = np.frombuffer(blobs(0, "hashes"), np.uint64)
+    spans = np.frombuffer(blobs(0, "spans"), np.int8).reshape(-1, 2)
     order = np.argsort(known)
     known, spans = known[order], spans[order].astype(np.int64)
     left = np.minimum(at - offs[row], LEFT)
@@ -456,13 +477,10 @@ def _covered(batch, k: int, buf, offs, doc) -> np.ndarray:
     hot = batch.column("hot")[k].as_py()
     if any(hot or []):
         mine = _among(h, hot)
-        start, owner, key = hot_windows(buf, offs, at[mine], row[mine])
+        start, owner, key = hot_windows(sums, offs, at[mine], row[mine])
         keys, least, _, where = _least_doc(key, doc[owner])
-        told = batch.column("told")[k].as_py() or []
-        if told:
-            other, doc_there = (np.array([t[n] for t in told], np.int64) for n in ("key", "least"))
-            place = np.searchsorted(keys, other.view(np.uint64))
-            least[place] = np.minimum(least[place], doc_there)
+        place = np.searchsorted(keys, np.frombuffer(blobs(1, "hashes"), np.uint64))
+        least[place] = np.minimum(least[place], np.frombuffer(blobs(1, "spans"), np.int64))
         start = start[least[where] < doc[owner]]
         np.add.at(edge, start, 1)
         np.add.at(edge, start + LENGTH, -1)
@@ -545,16 +563,10 @@ def dedup_suffixes(docs: DataFrame, chunk: int | None = None, hot: int | None =
     known = chunks.select("cid", "size", "doc_id", "packed").join(twins, "cid", "left")
     around = known.mapInArrow(
         _send_contexts(parts), "part int, cid bigint, hashes binary, docs binary, bodies binary")
-    replies = around.groupBy("part").applyInPandas(_answer, "cid bigint, hashes binary, spans binary")
-    replies = staged(replies).groupBy("cid").agg(F.collect_list(F.struct("hashes", "spans")).alias("replies"))
-    many = twins.filter(F.exists("hot", lambda x: F.octet_length(x) > 0)).select("cid", "hot")
-    windows = staged(chunks.select("cid", "size", "doc_id", "packed").join(many, "cid").mapInArrow(
-        _send_windows, "cid bigint, key bigint, low bigint, high bigint"))
-    least = windows.groupBy("key").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    told = windows.join(least, "key").filter("least < high").groupBy("cid").agg(
-        F.collect_list(F.struct("key", "least")).alias("told"))
-    marked = chunks.join(replies, "cid", "left").join(many, "cid", "left").join(told, "cid", "left").mapInArrow(_mark, (
-        f"{RESULT}, piece int, gone binary, packed binary"))
+    replies = staged(around.groupBy("part").applyInPandas(_answer(parts), "cid bigint, kind int, hashes binary, spans binary"))
+    replies = replies.groupBy("cid").agg(F.collect_list(F.struct("kind", "hashes", "spans")).alias("replies"))
+    marked = chunks.join(replies, "cid", "left").join(twins.select("cid", "hot"), "cid", "left").mapInArrow(
+        _mark, f"{RESULT}, piece int, gone binary, packed binary")
     marked = staged(marked)
     long = marked.filter("piece <> -1").select("doc_id", "rid", "piece", "gone", "packed")
     joined = long.repartition(F.col("rid")).sortWithinPartitions(
