@@ -175,7 +175,7 @@ def _apply(min_sentences: int, min_words: int):
             buf, offs = text_buffer(column)
             covers = batch.column("_covers")
             total = np.zeros(batch.num_rows, np.int64)
-            gone = np.zeros(batch.num_rows, np.int64)
+            gone, words_gone = (np.zeros(batch.num_rows, np.int64) for _ in range(2))
             texts = []
             for lo, hi in row_slices(offs, 2 << 20):
                 part = buf[offs[lo]:offs[hi]]
@@ -191,6 +191,8 @@ def _apply(min_sentences: int, min_words: int):
                     total[lo:hi] = np.bincount(w.row[starts], minlength=hi - lo)
                     gone[lo:hi] = np.bincount(w.row[starts][lost], minlength=hi - lo)
                 less = np.bincount(owner[drop], minlength=hi - lo)
+                width = np.diff(np.r_[units, len(w.start)])
+                words_gone[lo:hi] = np.bincount(owner[drop], width[drop], hi - lo)
                 for i in range(lo, hi):
                     if not less[i - lo]:
                         texts.append(column[i].as_py())
@@ -203,16 +205,18 @@ def _apply(min_sentences: int, min_words: int):
             names = [c for c in batch.schema.names if c not in ("_covers", "text")]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names], pa.array(texts, pa.string()), pa.array(total),
-                 pa.array(gone)], names=[*names, "text", "n_sentences", "n_removed"])
+                 pa.array(gone), pa.array(words_gone)],
+                names=[*names, "text", "n_sentences", "n_removed", "n_words_removed"])
     return run
 
 
 def dedup_sentences(docs: DataFrame, min_sentences: int = MIN_SENTENCES,
                     min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text without repeated spans, n_sentences, n_removed: one row per row of ``docs``.
+    """doc_id, text without repeated spans, n_sentences, n_removed, n_words_removed: one row per row
+    of ``docs``.
 
     ``n_removed`` counts the sentences of repeated sentence spans; words that go with spans of
-    units only leave the text as well, but aren't counted there.
+    units only leave the text as well, and ``n_words_removed`` counts all words that do.
 
     The first span of a hash is that of the smallest doc_id (NULL before all), then of the
     earlier row and place; all others are removed with their sentences, also within a document.
@@ -235,4 +239,4 @@ def dedup_sentences(docs: DataFrame, min_sentences: int = MIN_SENTENCES,
     )
     return rows.join(covers, "_rid", "left").drop("_rid").mapInArrow(
         _apply(min_sentences, min_words),
-        f"doc_id {doc_type}, text string, n_sentences bigint, n_removed bigint")
+        f"doc_id {doc_type}, text string, n_sentences bigint, n_removed bigint, n_words_removed bigint")

@@ -77,6 +77,9 @@ def test_sentence_spans(spark, tmp_path):
     key = lambda x: tuple((v is not None, v) for v in x)
     assert sorted(((r.doc_id, r.n_sentences, r.n_removed) for r in out), key=key) == sorted(
         brute_sentences([(i, t) for i, t, *_ in rows + many]), key=key)
+    words = lambda text: len(WORD.findall(text or ""))
+    left = sorted(words(r.text) + r.n_words_removed for r in out)
+    assert left == sorted(words(t) for _, t, *_ in rows + many)
     by = {r.doc_id: r for r in out}
     assert by[1].text is None and by[3].text == rows[2][1]
     assert sum(len(WORD.findall(by[100 + k].text)) > 100 for k in range(9)) == 1
