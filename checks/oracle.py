@@ -564,6 +564,20 @@ BODIES = {
         select account_id, case when ingest_date <= {CUTOFF} then '2024-05-03 00:00:00'
             else '2024-05-10 00:00:00' end as loaded, count(*) as n_rows, sum(amount) as amount
         from tx group by all""",
+    "dq_unique_incremental": f"""
+        select o_orderkey as key, cast(1 as bigint) as n_rows, 1 as n_runs from orders
+        where o_orderdate > {MARK} and o_orderdate <= {CUTOFF}""",
+    "dq_loads": " union all ".join([
+        "select 'birth_date is not null' as rule, count(*) filter (undated) as violations from customer_load where refused is null",
+        _violations({f"{c} is not null": "where false" for c in ["id", "user_name", "name", "email", "account_id", "ingest_date"]},
+                    "customer_load"),
+        _violations({f"{c} is not null": "where false" for c in ["id", "account_id", "limit", "ingest_date"]}, "account_documents"),
+        _violations({f"{c} is not null": f"where {c} is null" for c in [
+            "transaction_bk", "customer_fk", "account_fk", "transaction_date_fk", "account_bk", "customer_bk"]}, "fact"),
+        _violations({f"{c} fits varchar({n})": f"where length({c}) > {n}"
+                     for c, n in {"name": 50, "user_name": 100, "address": 255, "email": 100}.items()}, "customers_1"),
+        *[_violations({"source_system fits varchar(20)": f"where length({SOURCE}) > 20"}, t) for t in ("customers_1", "accounts_1", "pairs")],
+        _violations({f"{c} fits varchar(10)": f"where length({c}) > 10" for c in ["transaction_type", "symbol"]}, "pairs")]),
     "numbered_rows": """
         select l_orderkey, l_linenumber, row_number() over (order by l_orderkey, l_linenumber) as n
         from lineitem""",

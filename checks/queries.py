@@ -31,6 +31,7 @@ from sparkmart.plans import processed
 from sparkmart.plans.calendar import build_dim_date
 from sparkmart.plans.run import OUTCOMES, run_pipeline
 from sparkmart.session import prepare, shared_folder, staged
+from sparkmart.sources.index import KeyIndex, check_unique_incremental
 from sparkmart.sources.raw import parse_envelope, read_raw, without_deleted
 from sparkmart.sources.store import TableStore, conform, empty_table, with_defaults
 
@@ -638,6 +639,30 @@ def resync_buckets(spark, sf):
     return _loads(spark, sf, runs, skip_loaded=True)
 
 
+@query
+def dq_unique_incremental(spark, sf):
+    """Orders in two overlapping batches: keys of the second that the first has brought."""
+    orders = raw.table(spark, sf, "orders")
+    index = KeyIndex(TableStore(spark, shared_folder(spark)), "orders", "bigint")
+    early = orders.filter(F.col("o_orderdate") <= F.lit(CUTOFF).cast("timestamp_ntz"))
+    check_unique_incremental(index, early, "o_orderkey", "r1")
+    return check_unique_incremental(index, newer_than(orders, "o_orderdate", MARK), "o_orderkey", "r2")
+
+
+@query
+def dq_loads(spark, sf):
+    """Declared constraints of the remaining tables: on loads of damaged documents, before rows that
+    break one are set apart, on the accepted facts, and the lengths of every dimension column."""
+    gave_rows = F.col("document").isNull() & (F.col(S.REJECT_REASON).isNull() | F.col(S.REJECT_REASON).endswith("is null"))
+    people, ledger = (LOADS[n](_damaged(spark, sf, n)).filter(gave_rows) for n in ("customers", "accounts"))
+    dims = {"dim_customer": staged(first_customers(spark, sf)), "dim_account": staged(first_accounts(spark, sf))}
+    dims["dim_transaction_details"] = details(spark, transactions(spark, sf))
+    checks = [quality.check_not_null(people, S.NOT_NULL["customer"]), quality.check_not_null(ledger, S.NOT_NULL["account"]),
+              quality.check_not_null(P.accepted(fact(spark, sf)), S.NOT_NULL["fact_transaction"])]
+    checks += [quality.check_length(df, S.MAX_LENGTH[name]) for name, df in dims.items()]
+    return reduce(DataFrame.unionByName, checks)
+
+
 @query
 def numbered_rows(spark, sf):
     """Gap-free numbers over the line items, by a distributed prefix sum."""

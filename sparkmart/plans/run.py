@@ -35,6 +35,7 @@ from sparkmart.plans.processed import (
     load_transactions,
 )
 from sparkmart.session import prepare, staged
+from sparkmart.sources.index import KeyIndex
 from sparkmart.sources.raw import EMPTY, UNREADABLE, read_raw, without_deleted
 from sparkmart.sources.store import (
     Bucket,
@@ -42,7 +43,6 @@ from sparkmart.sources.store import (
     bucket_count,
     bucket_digests,
     conform,
-    empty_table,
     run_id_of,
     with_defaults,
 )
@@ -52,7 +52,6 @@ TABLES = ["customer", "account", "transaction", "dim_date", "dim_customer", "dim
           "dim_transaction_details", "fact_transaction", "fact_open"]
 #: Columns of the bucket, which change when it grows; the others tell its transactions apart.
 OF_BUCKET = ["bucket_start_date", "bucket_end_date", "transaction_count", "ingest_date"]
-DOCUMENT_INDEX = "document_id string, runs array<string>"
 OUTCOMES = "table_name string, outcome string, n_rows bigint"
 #: Reasons besides the rules, by table.
 REFUSALS = {
@@ -174,40 +173,24 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         The index ``<table>_documents`` says which runs hold rows of a document.  It is written in
         buckets of document ids: a run reads and rewrites those its documents fall into.
         """
-        index = f"{table}_documents"
+        index = KeyIndex(store, f"{table}_documents")
         good = F.col(S.REJECT_REASON).isNull()
-        known = store.buckets(index, before=run_id)
-        runs = store.runs(table, before=run_id)
-        arriving = rows.filter(good).select("document_id").distinct()
-        if known:
-            n_buckets = next(iter(known.values())).n_buckets
-        else:
-            n_buckets = bucket_count(arriving.count(), {})
-        arriving = staged(arriving.withColumn(BUCKET, bucket_of("document_id", n_buckets)))
-        hit = {r[0] for r in arriving.select(BUCKET).distinct().collect()}  # at most n_buckets
-        if known or not runs:
-            held = store.current(index, DOCUMENT_INDEX, before=run_id, buckets=hit)
-        else:  # the first run that asks for it: from the ids in all runs
-            held = reduce(DataFrame.unionByName, [
-                store.run_rows(table, r, "document_id string", part=ACCEPTED).distinct().select(
-                    "document_id", F.array(F.lit(r)).alias("runs")) for r in runs])
-            held = held.groupBy("document_id").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-        again = staged(held.join(arriving.select("document_id"), "document_id", "left_semi")
-                       .select("document_id", F.explode("runs").alias("held_by")))
+        ids = F.col("document_id").alias("key")
+        earlier = {r: store.run_rows(table, r, "document_id string", part=ACCEPTED).select(ids)
+                   for r in store.runs(table, before=run_id)} if not store.buckets(index.name, before=run_id) else None
+        found = index.arrive(rows.filter(good).select(ids), run_id, earlier)
+        again = staged(found.again())
         holders = [r[0] for r in again.select("held_by").distinct().collect()]  # run ids
+        index.add(found, run_id)
+        if not holders:
+            return rows
         schema = f"{S.PROCESSED_TRANSACTION}, document_id string"
-        loaded = empty_table(spark, schema)
-        for r in holders:
-            ids = again.filter(F.col("held_by") == r).select("document_id")
-            loaded = loaded.unionByName(store.run_rows(table, r, schema, part=ACCEPTED).join(ids, "document_id", "left_semi"))
+        loaded = reduce(DataFrame.unionByName, [
+            store.run_rows(table, r, schema, part=ACCEPTED).join(
+                again.filter(F.col("held_by") == r).select(F.col("key").alias("document_id")), "document_id", "left_semi")
+            for r in holders])
         business = [c for c in rows.columns if c not in (*OF_BUCKET, S.REJECT_REASON, "document")]
-        fresh = drop_loaded(rows.filter(good), loaded, business, "document_id") if holders else rows.filter(good)
-        here = arriving.select("document_id", F.array(F.lit(run_id)).alias("runs"))
-        entries = held.unionByName(here).groupBy("document_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
-        entries = entries.withColumns({"is_current": F.lit(True), BUCKET: bucket_of("document_id", n_buckets)})
-        written = hit if known else set(range(n_buckets))
-        store.write_manifest(index, run_id, dict(known) | {b: Bucket(b, run_id, n_buckets, 0, "") for b in written})
-        store.write_run(entries.repartition(F.col(BUCKET)), index, run_id, partition_by=["is_current", BUCKET])
+        fresh = drop_loaded(rows.filter(good), loaded, business, "document_id")
         return fresh.unionByName(rows.filter(~good))
 
     def dimension(table: str, schema: str, key: str, sk: str, tracked: list[str], updates: DataFrame,

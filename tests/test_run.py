@@ -427,7 +427,7 @@ def test_resynced_buckets_read_only_the_runs_that_hold_them(spark, tmp_path, mon
     load(T3, ("b3", bucket(1, move(symbol="d"), move(symbol="e")), SYNC[2]))
     assert read == [("transaction", store.runs("transaction")[1])]
     assert moves(store)[-2:] == [("b3", "d", T2), ("b3", "e", T3)] and len(moves(store)) == 6
-    index = {r.document_id: r.runs for r in store.current("transaction_documents", run_module.DOCUMENT_INDEX).collect()}
+    index = {r.key: r.runs for r in store.current("transaction_documents", "key string, runs array<string>").collect()}
     one, two, three = store.runs("transaction")
     assert index == {"b1": [one, two], "b2": [one], "b3": [two, three]}
 
