@@ -59,7 +59,8 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
                 many: DataFrame | None = None, null_safe: bool = False,
                 rows_per_slice: int = ROWS_PER_SLICE, count_from: DataFrame | None = None,
                 count_many_from: DataFrame | None = None, deal_by: list[str] | None = None,
-                keep_cell: bool = False) -> DataFrame:
+                keep_cell: bool = False, at_most: int | None = None,
+                many_at_most: int | None = None) -> DataFrame:
     """Join ``big`` with each lookup on ``keys`` (``how`` is ``left`` or ``inner``).
 
     ``lookups`` have one row per key; ``many`` is one more lookup that may have any number.
@@ -71,7 +72,9 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
 
     The keys are counted before, by one job for each side that may be hot.  ``count_from`` and
     ``count_many_from`` may name cheaper frames to count keys in that have all rows of ``big`` or
-    ``many``, or more.  Where no key is hot, these are plain joins.
+    ``many``, or more.  ``at_most`` and ``many_at_most`` tell how many rows a side can have, if known: a
+    side of no more than ``rows_per_slice`` has no hot key and isn't counted.  Where no key is hot,
+    these are plain joins.
 
     A row must go to the same slice when its task is run again.  ``deal_by`` names columns of
     ``big`` that tell its rows apart.  Without it rows are dealt by position, copies too, which
@@ -83,15 +86,19 @@ def spread_join(big: DataFrame, lookups: list[DataFrame], keys: list[str], how:
     if not null_safe:  # a NULL key matches nothing
         lookups = [lookup.dropna(subset=keys) for lookup in lookups]
         many = many if many is None else many.dropna(subset=keys)
+    def hot_in(df: DataFrame, rows: int | None) -> list[tuple[int, int]]:
+        if rows is not None and rows <= rows_per_slice:
+            return []
+        return hot_keys(df.select(*keys), keys, rows_per_slice, "n").collect()
+
     found: dict[int, list[int]] = {}
-    counted = hot_keys((big if count_from is None else count_from).select(*keys), keys, rows_per_slice, "n")
-    for h, n in counted.collect():
+    for h, n in hot_in(big if count_from is None else count_from, at_most):
         found[h] = [n, 1]
     if many is not None:
         listed = many if count_many_from is None else count_many_from
         if not null_safe:
             listed = listed.dropna(subset=keys)
-        for h, n in hot_keys(listed.select(*keys), keys, rows_per_slice, "n").collect():
+        for h, n in hot_in(listed, many_at_most):
             found.setdefault(h, [1, 1])[1] = n
     if not found:
         return _plain_join(big, lookups, keys, how, many, null_safe, keep_cell)

@@ -98,10 +98,10 @@ def build_dim_transaction_details(transactions: DataFrame, target: DataFrame,
     return scd1_upsert(target, pairs, DETAIL_KEYS, "transaction_details_pk")
 
 
-def resolve_owners(bridge: DataFrame, customers: DataFrame) -> DataFrame:
+def resolve_owners(bridge: DataFrame, customers: DataFrame, pairs: int | None = None) -> DataFrame:
     """(account, customer, customer key) of each pair; the key is NULL for unknown customers."""
     known = customers.select("customer_bk", F.col("customer_sk").alias("customer_fk"))
-    return spread_join(bridge, [known], ["customer_bk"], deal_by=["customer_bk", "account_id"])
+    return spread_join(bridge, [known], ["customer_bk"], deal_by=["customer_bk", "account_id"], at_most=pairs)
 
 
 NO_OWNER = "account has no owner"
@@ -117,13 +117,15 @@ def _missing_key() -> Column:
 
 
 def fact_rows(transactions: DataFrame, bridge: DataFrame, customers: DataFrame,
-              accounts: DataFrame, details: DataFrame, run_ts: datetime | str) -> DataFrame:
+              accounts: DataFrame, details: DataFrame, run_ts: datetime | str,
+              moves: int | None = None, owned: int | None = None) -> DataFrame:
     """The rows of ``build_fact_transaction`` without their own keys."""
     account_keys = accounts.select("account_id", F.col("account_sk").alias("account_fk"))
-    owners = resolve_owners(bridge, customers)
+    owners = resolve_owners(bridge, customers, owned)
     numbered = transactions.withColumn("_row", F.monotonically_increasing_id())
     joined = spread_join(numbered, [account_keys], ["account_id"], many=owners,
-                         count_from=transactions, count_many_from=bridge, deal_by=["_row"])
+                         count_from=transactions, count_many_from=bridge, deal_by=["_row"],
+                         at_most=moves, many_at_most=owned)
     pairs = details.select(F.col("transaction_details_pk").alias("transaction_details_fk"),
                            *DETAIL_KEYS)
     return lookup_fk(joined, pairs, DETAIL_KEYS, deal_by=["_row", "customer_bk"]).select(
@@ -139,16 +141,17 @@ def fact_rows(transactions: DataFrame, bridge: DataFrame, customers: DataFrame,
 
 def build_fact_transaction(transactions: DataFrame, bridge: DataFrame, customers: DataFrame,
                            accounts: DataFrame, details: DataFrame, run_ts: datetime | str,
-                           start: int = 0) -> DataFrame:
+                           start: int = 0, moves: int | None = None, owned: int | None = None) -> DataFrame:
     """One row per transaction and owner, with a ``reject_reason`` where a needed key is missing.
 
     ``customers`` and ``accounts`` are lookups of current rows.  ``transactions`` must be a scan
     or computed from one row by row; they are numbered there, which tells copies apart.  The transactions are shuffled
     once, by account, for the account and the owner lookup together; owners are resolved to
     customer keys before, on the much smaller bridge.  Accounts with very many transactions or
-    very many owners are split over several tasks.
+    very many owners are split over several tasks; ``moves`` and ``owned`` may say how many transactions
+    and pairs there are at most, which saves looking for such accounts where there can't be any.
     """
-    rows = fact_rows(transactions, bridge, customers, accounts, details, run_ts)
+    rows = fact_rows(transactions, bridge, customers, accounts, details, run_ts, moves, owned)
     return assign_row_keys(rows, "fact_transactions_pk", start)
 
 
@@ -169,7 +172,7 @@ def split_open(open_facts: DataFrame, accounts: DataFrame, customers: DataFrame)
 
 
 def settle_open(open_facts: DataFrame, bridge: DataFrame, customers: DataFrame, accounts: DataFrame,
-                run_ts: datetime | str) -> DataFrame:
+                run_ts: datetime | str, pairs: int | None = None) -> DataFrame:
     """Open facts tried again: all their columns, with new keys and perhaps a new reason.
 
     A row that knows its owner keeps it; one without becomes a row per owner, if there are any now.
@@ -177,13 +180,13 @@ def settle_open(open_facts: DataFrame, bridge: DataFrame, customers: DataFrame,
     """
     account_keys = accounts.select(F.col("account_id").alias("account_bk"), F.col("account_sk").alias("account_fk"))
     known = customers.select("customer_bk", F.col("customer_sk").alias("customer_fk"))
-    owners = resolve_owners(bridge, customers).withColumnRenamed("account_id", "account_bk")
+    owners = resolve_owners(bridge, customers, pairs).withColumnRenamed("account_id", "account_bk")
     rows = open_facts.drop("customer_fk", "account_fk", REJECT_REASON, "create_date")
     row, account = ["fact_transactions_pk"], ["account_bk"]
     owned = spread_join(spread_join(rows.filter("customer_bk is not null"), [known], ["customer_bk"], deal_by=row),
                         [account_keys], account, deal_by=row)
     unowned = spread_join(rows.filter("customer_bk is null").drop("customer_bk"), [account_keys], account, many=owners,
-                          count_many_from=owners.select(*account), deal_by=row)
+                          count_many_from=owners.select(*account), deal_by=row, many_at_most=pairs)
     return owned.unionByName(unowned).withColumns({
         "create_date": F.lit(run_ts).cast("timestamp"), REJECT_REASON: _missing_key()})
 

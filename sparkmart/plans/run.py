@@ -15,6 +15,7 @@ from sparkmart.operators.dedup import drop_loaded
 from sparkmart.operators.incremental import high_water_mark, newer_than, since
 from sparkmart.operators.keys import assign_row_keys, key_digits, largest_key
 from sparkmart.operators.lookup import account_bridge, junk_dimension, lookup_view
+from sparkmart.operators.quality import ACCEPTED as OK_ROWS
 from sparkmart.operators.quality import observed, quarantine, rule_names
 from sparkmart.operators.scd import BUCKET, bucket_of, scd1_upsert, scd2_delta, with_source
 from sparkmart.plans.calendar import build_dim_date, extend_dim_date
@@ -193,13 +194,24 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
         fresh = drop_loaded(rows.filter(good), loaded, business, "document_id")
         return fresh.unionByName(rows.filter(~good))
 
+    def accepted_rows(table: str, runs: list[str]) -> int | None:
+        """Accepted rows of some runs, by the counts their writing has left; None if one has none."""
+        notes = [store.get_note(f"outcomes/{table}", run) for run in runs]
+        if any(note is None for note in notes):
+            return None
+        return sum(r["n_rows"] for note in notes for r in note if r["outcome"] == OK_ROWS)
+
+    def keys_at_most(table: str, rows: DataFrame) -> int:
+        known = accepted_rows(table, store.runs(table)[-1:])
+        return rows.count() if known is None else known
+
     def dimension(table: str, schema: str, key: str, sk: str, tracked: list[str], updates: DataFrame,
                   rows: int) -> None:
         """Merge the buckets whose updates differ from the last ones; refer to earlier runs for the rest."""
         known = store.buckets(table, before=run_id)
         n_buckets = bucket_count(rows, known)
         again = all(b.n_buckets == n_buckets for b in known.values())
-        dealt = staged(updates.withColumn(BUCKET, bucket_of(key, n_buckets)).repartition(F.col(BUCKET)), BUCKET)
+        dealt = staged(updates.withColumn(BUCKET, bucket_of(key, n_buckets)))
         found = bucket_digests(dealt, BUCKET)
         moved = {b for b, (_, digest) in found.items() if not again or b not in known or known[b].digest != digest}
         target = store.current(table, schema, before=run_id, buckets=moved if again else None)
@@ -216,12 +228,12 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
     def dim_customer(table):
         people = store.snapshot("customer", S.PROCESSED_CUSTOMER)
         dimension(table, S.DIM_CUSTOMER, "customer_bk", "customer_sk", CUSTOMER_TRACKED,
-                  customer_updates(people, source), people.count())
+                  customer_updates(people, source), keys_at_most("customer", people))
 
     def dim_account(table):
         ledger = store.snapshot("account", S.PROCESSED_ACCOUNT)
         dimension(table, S.DIM_ACCOUNT, "account_id", "account_sk", ACCOUNT_TRACKED,
-                  account_updates(ledger, source), ledger.count())
+                  account_updates(ledger, source), keys_at_most("account", ledger))
 
     def dim_date(table):
         """The calendar, and whatever the transactions since the last fact need beyond it."""
@@ -280,11 +292,13 @@ def run_pipeline(spark: SparkSession, store: TableStore, raw: dict[str, DataFram
             "create_date", mark)
         bridge, people, ledger = lookups()
         details = store.snapshot("dim_transaction_details", S.DIM_TRANSACTION_DETAILS)
-        rows = build_fact_transaction(new, bridge, people, ledger, details, str(run_ts)) \
+        moves = accepted_rows("transaction", [r for r in store.runs("transaction") if after is None or r > after])
+        owned = accepted_rows("customer", store.runs("customer")[-1:])
+        rows = build_fact_transaction(new, bridge, people, ledger, details, str(run_ts), moves=moves, owned=owned) \
             .withColumn("opened", F.col("create_date"))
         waiting = open_facts()
         if waiting is not None:
-            tried = settle_open(waiting.filter("_retry").drop("_retry"), bridge, people, ledger, str(run_ts))
+            tried = settle_open(waiting.filter("_retry").drop("_retry"), bridge, people, ledger, str(run_ts), owned)
             rows = rows.unionByName(tried)
         rows = quarantine(conform(rows, S.OPEN_FACT), S.NOT_NULL[table])
         write(assign_row_keys(rows, "fact_transactions_pk", _last_row_key(store, run_id)), table)
