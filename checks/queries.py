@@ -112,17 +112,26 @@ def details(spark, txs):
     return P.build_dim_transaction_details(txs, empty_table(spark, S.DIM_TRANSACTION_DETAILS))
 
 
-def fact(spark, sf, batch=1):
-    """The fact of a first load from the documents of one batch."""
+def star(spark, sf, batch=1):
+    """The fact of a first load from the documents of one batch, and the dimensions it was joined to."""
     txs, people = staged(transactions(spark, sf)), staged(customers(spark, sf, batch))
-    dim_customer = P.build_dim_customer(people, empty_table(spark, S.DIM_CUSTOMER), RUN_1.date())
-    dim_account = P.build_dim_account(accounts(spark, sf, batch),
-                                      empty_table(spark, S.DIM_ACCOUNT), RUN_1.date())
-    return P.build_fact_transaction(
+    dims = {
+        "dim_customer": staged(P.build_dim_customer(people, empty_table(spark, S.DIM_CUSTOMER), RUN_1.date())),
+        "dim_account": staged(P.build_dim_account(accounts(spark, sf, batch),
+                                                  empty_table(spark, S.DIM_ACCOUNT), RUN_1.date())),
+        "dim_transaction_details": staged(details(spark, txs)),
+    }
+    rows = P.build_fact_transaction(
         txs, staged(account_bridge(people)),
-        lookup_view(staged(dim_customer), ["customer_bk"], "customer_sk"),
-        lookup_view(staged(dim_account), ["account_id"], "account_sk"),
-        staged(details(spark, txs)), str(RUN_1))
+        lookup_view(dims["dim_customer"], ["customer_bk"], "customer_sk"),
+        lookup_view(dims["dim_account"], ["account_id"], "account_sk"),
+        dims["dim_transaction_details"], str(RUN_1))
+    return rows, dims
+
+
+def fact(spark, sf, batch=1):
+    """The fact of ``star`` alone."""
+    return star(spark, sf, batch)[0]
 
 
 # -- sources, sinks, table lifecycle -------------------------------------------------------------
@@ -670,10 +679,9 @@ def dq_loads(spark, sf):
     break one are set apart, on the accepted facts, and the lengths of every dimension column."""
     gave_rows = F.col("document").isNull() & (F.col(S.REJECT_REASON).isNull() | F.col(S.REJECT_REASON).endswith("is null"))
     people, ledger = (LOADS[n](_damaged(spark, sf, n)).filter(gave_rows) for n in ("customers", "accounts"))
-    dims = {"dim_customer": staged(first_customers(spark, sf)), "dim_account": staged(first_accounts(spark, sf))}
-    dims["dim_transaction_details"] = details(spark, transactions(spark, sf))
+    rows, dims = star(spark, sf)
     checks = [quality.check_not_null(people, S.NOT_NULL["customer"]), quality.check_not_null(ledger, S.NOT_NULL["account"]),
-              quality.check_not_null(P.accepted(fact(spark, sf)), S.NOT_NULL["fact_transaction"])]
+              quality.check_not_null(P.accepted(rows), S.NOT_NULL["fact_transaction"])]
     checks += [quality.check_length(df, S.MAX_LENGTH[name]) for name, df in dims.items()]
     return reduce(DataFrame.unionByName, checks)
 
