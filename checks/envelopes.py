@@ -133,11 +133,15 @@ def _suppliers_as_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_accounts(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     """One document per order; orders in status P have an older document as well."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    held = (
+    bits = {product: 1 << n for n, product in enumerate(PRODUCT_OF_TYPE.values())}
+    bit = _pick(F.col("p_type"), {kind: str(bits[product]) for kind, product in PRODUCT_OF_TYPE.items()}).cast("int")
+    held = (  # a set of products is a number there, which is aggregated without objects
         table(spark, sf_dir, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .select("l_orderkey", _pick(F.col("p_type"), PRODUCT_OF_TYPE).alias("product"))
-        .groupBy("l_orderkey").agg(F.collect_set("product").alias("products"))
+        .select("l_orderkey", F.coalesce(bit, F.lit(0)).alias("bit"))
+        .groupBy("l_orderkey").agg(F.bit_or("bit").alias("bits"))
+        .withColumn("products", F.array_compact(F.array(*[
+            F.when(F.col("bits").bitwiseAND(n) != 0, product) for product, n in bits.items()])))
     )
     orders = table(spark, sf_dir, "orders")
     docs = orders.join(held, orders.o_orderkey == held.l_orderkey, "left")

@@ -40,6 +40,22 @@ def test_buckets_read_the_lines_once_and_keep_copies_of_orders(spark, tmp_path):
     assert [tuple(r) for r in got if r["_id"] != "T1-0"] == [("T2-0", "1", None, 1)]
 
 
+def test_products_of_an_order_are_aggregated_as_a_number(spark, tmp_path):
+    lines = [(1, 1), (1, 2), (1, 1), (2, 3), (2, 4), (3, 1), (3, 9), (None, 1), (6, None)]
+    spark.createDataFrame(lines, "l_orderkey int, l_partkey int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    kinds = [(1, "PROMO"), (2, "STANDARD"), (2, "SMALL"), (3, None), (4, "OTHER"), (None, "LARGE")]
+    spark.createDataFrame(kinds, "p_partkey int, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(k, "O", 250.0, "5-LOW") for k in (1, 2, 2, 3, 5, 6, None)],
+                          "o_orderkey int, o_orderstatus string, o_totalprice double, o_orderpriority string") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    docs = raw.raw_accounts(spark, str(tmp_path))
+    assert "collect_set" not in plan(docs)
+    got = docs.select("_id", F.array_sort(F.from_json(F.get_json_object("data", "$.products"), "array<string>"))).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([
+        ("A1", ["Derivatives", "InvestmentFund", "InvestmentStock"]), ("A2", []), ("A2", []), ("A3", ["Derivatives"]),
+        ("A5", None), ("A6", None), (None, None)], key=str)
+
+
 def test_loaded_rows_meet_new_ones_without_a_join(spark):
     rows = [(1, None, "a"), (1, None, "b"), (1, None, "c"), (2, "x", "d"), (None, "y", "e"), (None, "y", "f")]
     new = spark.createDataFrame(rows, "id int, what string, run string")
