@@ -8,15 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Shuffled bytes of a partition that a join may hash; not below ``advisoryPartitionSizeInBytes``, or it has no effect.
+HASHED_PARTITION = "64m"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what the jobs rely on.
 
     The session time zone is UTC, so that ISO strings with ``Z`` keep their calendar day.  Tables
     are partitioned by flags with two values; a task then keeps a file open for each of them,
     and need not sort its rows by the flag before it writes.
+
+    A join of two shuffled sides hashes one whose partitions have all been measured to be at most
+    ``HASHED_PARTITION``, instead of sorting both.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "4")
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED_PARTITION)
     return spark
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import envelopes as raw
@@ -40,6 +41,20 @@ def test_buckets_read_the_lines_once_and_keep_copies_of_orders(spark, tmp_path):
     assert [tuple(r) for r in got if r["_id"] != "T1-0"] == [("T2-0", "1", None, 1)]
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    """Joins as large tables have them."""
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+
+
+def executed(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_products_of_an_order_are_aggregated_as_a_number(spark, tmp_path):
     lines = [(1, 1), (1, 2), (1, 1), (2, 3), (2, 4), (3, 1), (3, 9), (None, 1), (6, None)]
     spark.createDataFrame(lines, "l_orderkey int, l_partkey int").write.parquet(f"{tmp_path}/lineitem.parquet")
@@ -56,6 +71,14 @@ def test_products_of_an_order_are_aggregated_as_a_number(spark, tmp_path):
         ("A5", None), ("A6", None), (None, None)], key=str)
 
 
+def test_large_joins_hash_the_smaller_side(spark, no_broadcast):
+    many = spark.range(10_000).selectExpr("id % 50 as k", "id")
+    few = spark.range(60).selectExpr("if(id = 3, null, id) as k", "id as name")
+    joined = many.repartition(3).join(few.repartition(3), "k", "left")
+    assert "ShuffledHashJoin" in executed(joined)
+    assert joined.filter("name is null").count() == 200 and joined.count() == 10_000
+
+
 def test_loaded_rows_meet_new_ones_without_a_join(spark):
     rows = [(1, None, "a"), (1, None, "b"), (1, None, "c"), (2, "x", "d"), (None, "y", "e"), (None, "y", "f")]
     new = spark.createDataFrame(rows, "id int, what string, run string")
