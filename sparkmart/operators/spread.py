@@ -9,6 +9,8 @@ ROWS_PER_SLICE = 4_000_000
 CELL = "_cell"
 #: Keys a sketch tracks, and hot keys at most.
 TRACKED, MOST_HOT = 1 << 18, 100_000
+#: Groups of keys that rows are counted by, at most so many short rows of a task, and crowded ones a filter lists.
+GROUPS, LISTED = 1 << 16, 1000
 
 
 def _key_hash(keys: list[str]) -> Column:
@@ -18,15 +20,25 @@ def _key_hash(keys: list[str]) -> Column:
 def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int, name: str) -> DataFrame:
     """Hashes ``_h`` of keys with more than ``rows_per_slice`` rows, and in ``name`` their slices.
 
-    Found by a sketch of frequent items: every task tracks at most ``TRACKED`` keys, and the sketches
-    are merged, so nothing is shuffled by key.  Up to so many distinct keys the counts are exact;
+    Rows are first counted by ``GROUPS`` groups of hashes, an aggregate that combines in generated code before
+    its small shuffle.  A hot key makes its group as large, so where no group is, there is none.  Only the rows
+    of crowded groups go into a sketch of frequent items: every task tracks at most ``TRACKED`` keys, and the
+    sketches are merged, so nothing is shuffled by key.  Up to so many distinct keys the counts are exact;
     beyond, they are off by at most 3.5 / ``TRACKED`` of all rows, so up to 3 * 10**11 rows no key of
     four million is missed (one that is missed stays whole, for the runtime's own skew handling).  At
     most ``MOST_HOT`` short rows: that bound is what makes it safe to collect and broadcast them.
     Another key with the same hash is dealt out as well, which changes no result.
     """
-    top = df.select(_key_hash(keys).alias("_h")).agg(
-        F.expr(f"approx_top_k(_h, {MOST_HOT}, {TRACKED})").alias("top"))
+    hashed = df.select(_key_hash(keys).alias("_h"))
+    group = F.pmod("_h", F.lit(GROUPS))
+    counted = hashed.groupBy(group.alias("_group")).agg(F.count(F.lit(1)).alias("_n"))
+    crowded = [r[0] for r in counted.filter(F.col("_n") > rows_per_slice).select("_group").collect()]
+    if not crowded:
+        return df.sparkSession.range(1).filter(F.lit(False)).select(
+            F.col("id").alias("_h"), F.col("id").cast("int").alias(name))
+    if len(crowded) <= LISTED:  # beyond, most rows would be in the list
+        hashed = hashed.filter(group.isin(crowded))
+    top = hashed.agg(F.expr(f"approx_top_k(_h, {MOST_HOT}, {TRACKED})").alias("top"))
     return (top.select(F.inline("top")).filter(F.col("count") > rows_per_slice)
             .select(F.col("item").alias("_h"), F.ceil(F.col("count") / rows_per_slice).cast("int").alias(name)))
 

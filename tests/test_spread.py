@@ -79,3 +79,19 @@ def test_other_joins_are_refused(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):
         spread_join(df, [df], ["id"], how="full")
+
+
+def test_rows_are_not_sketched_where_no_group_of_keys_is_crowded(spark):
+    def plan(limit):
+        return hot_keys(df, ["k"], limit, "n")._jdf.queryExecution().toString()
+    df = spark.createDataFrame([(1,)] * 9 + [(None,)] * 5 + [(k,) for k in range(2, 50)], "k int")
+    assert "approx_top_k" in plan(8)
+    assert "approx_top_k" not in plan(9)
+    assert [r.n for r in hot_keys(df, ["k"], 4, "n").orderBy("n").collect()] == [2, 3]
+    assert hot_keys(df, ["k"], 9, "n").dtypes == hot_keys(df, ["k"], 8, "n").dtypes
+
+
+def test_many_crowded_groups_are_all_sketched(spark, monkeypatch):
+    monkeypatch.setattr("sparkmart.operators.spread.LISTED", 3)
+    df = spark.range(200).selectExpr("id div 10 as k")
+    assert hot_keys(df, ["k"], 9, "n").count() == 20
