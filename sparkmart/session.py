@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Shuffled bytes of a partition that a join may hash; not below ``advisoryPartitionSizeInBytes``, or it has no effect.
 HASHED_PARTITION = "64m"
+#: Shuffled bytes that small partitions are joined up to: with more, the last few tasks of a step hold up the rest.
+TASK_PARTITION = "16m"
 #: Bytes of code that the JVM still compiles in one method; a longer one is interpreted, row by row.
 COMPILED_METHOD = "8000"
 
@@ -24,11 +26,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     A join of two shuffled sides hashes one whose partitions have all been measured to be at most
     ``HASHED_PARTITION``, instead of sorting both.
 
+    Small shuffled partitions are joined up to ``TASK_PARTITION``, so that a step has several tasks for each core.
     Steps that Spark would fuse into a method of more than ``COMPILED_METHOD`` bytes stay apart, each of them compiled.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "4")
     spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED_PARTITION)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_PARTITION)
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", COMPILED_METHOD)
     return spark
 

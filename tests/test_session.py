@@ -8,3 +8,7 @@ from sparkmart.session import prepare
 def test_methods_too_long_to_be_compiled_are_not_made(spark):
     """The JVM compiles no method above 8,000 bytes; Spark's own limit is eight times that."""
     assert int(prepare(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_small_partitions_are_joined_into_tasks_that_stay_small(spark):
+    assert prepare(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
