@@ -348,6 +348,27 @@ def test_settling_open_facts_reads_no_old_facts(spark, loaded):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_open_facts_are_looked_up_once_a_run(spark, tmp_path, monkeypatch):
+    """Whom a run may settle takes several joins: they are run once, not for each count, try and rest."""
+    found, tried = [], []
+    split, settle = run_module.split_open, run_module.settle_open
+    monkeypatch.setattr(run_module, "split_open", lambda *args: found.append(1) or split(*args))
+
+    def settled(waiting, *args):
+        tried.append(waiting._jdf.queryExecution().optimizedPlan().toString())
+        return settle(waiting, *args)
+
+    monkeypatch.setattr(run_module, "settle_open", settled)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    buckets = [("b1", bucket(1, move(amount=1)), SYNC[0]), ("b2", bucket(2, move(amount=2)), SYNC[0])]
+    run_pipeline(spark, store, collections(spark, [who("ann", [1])], [account(1), account(2)], buckets), T1)
+    assert store.snapshot("fact_open", S.OPEN_FACT).count() == 1 and not found
+    run_pipeline(spark, store, collections(spark, [who("ann", [1, 2])], [account(1), account(2)], buckets), T2)
+    assert opened(store)[-1] == (2, "ann", 2, T1, T2) and len(opened(store)) == 2
+    assert len(found) == 1 and "Join" not in tried[0]
+    assert store.snapshot("fact_open", S.OPEN_FACT).count() == 0
+
+
 def size(store, table, run):
     import os
     top = f"{store.root}/{table}/run={run}"
