@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 from functools import partial
+from uuid import uuid4
 
 import pytest
 
 from sparkmart import schemas as S
+from sparkmart import session
 from sparkmart.operators import lookup
 from sparkmart.operators.quality import check_not_null, check_one_current
 from sparkmart.operators.spread import spread_join
@@ -453,6 +455,41 @@ def test_resynced_buckets_read_only_the_runs_that_hold_them(spark, tmp_path, mon
     assert index == {"b1": [one, two], "b2": [one], "b3": [two, three]}
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_resynced_rows_meet_in_one_shuffle_without_sorts(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(run_module, "is_small", lambda df: few)
+    plans, real = [], run_module.drop_loaded
+
+    def dropped(*args, **kwargs):
+        left = real(*args, **kwargs)
+        plans.append(left._jdf.queryExecution().executedPlan().toString())
+        return left
+
+    monkeypatch.setattr(run_module, "drop_loaded", dropped)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    twice = bucket(1, move(amount=1), move(amount=1), move(symbol=None))
+    more = bucket(1, move(amount=1), move(amount=1), move(amount=1), move(symbol=None), move("?"))
+    other = [("b2", bucket(2, move(amount=5)), SYNC[0]), (None, bucket(3, move(amount=7)), SYNC[0])]
+    people, accounts = FIRST[:2]
+    run_pipeline(spark, store, collections(spark, people, accounts, [("b1", twice, SYNC[0]), *other]), T1, skip_loaded=True)
+    again = [("b1", more, SYNC[1]), (None, bucket(3, move(amount=7)), SYNC[1])]
+    run_pipeline(spark, store, collections(spark, people, accounts, again), T2, skip_loaded=True)
+    rows = store.appended("transaction", S.PROCESSED_TRANSACTION, part=OK).collect()
+    assert sorted((r.account_id, r.amount, r.create_date) for r in rows if r.create_date == T2) == [(1, 1, T2), (3, 7, T2)]
+    assert len(rows) == 7 and store.rejected("transaction", S.PROCESSED_TRANSACTION).count() == 1
+    assert len(plans) == 1 and "SortAggregate" not in plans[0] and "SortMergeJoin" not in plans[0]
+    assert plans[0].count("Exchange hashpartitioning(document_id") == 2  # to meet, and to write out what is left
+
+
+def test_a_run_leaves_no_staged_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: f"{tmp_path}/shared/{uuid4().hex}")
+    store = TableStore(spark, str(tmp_path / "tables"))
+    for when, batch in [(T1, FIRST), (T2, SECOND)]:
+        run_pipeline(spark, store, collections(spark, *batch), when, skip_loaded=True)
+    assert facts(store).count() == 6
+    assert not list((tmp_path / "shared").glob("*"))
+
+
 def test_the_index_of_buckets_is_made_from_earlier_runs(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "tables"))
     run_pipeline(spark, store, collections(spark, *FIRST), T1)
