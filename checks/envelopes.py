@@ -71,13 +71,22 @@ def owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.explode(who).alias("owner"), F.col("o_orderkey").alias("account"))
 
 
-def raw_customers(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
-    """One document per customer; customers with very many accounts have several."""
+def accounts_of_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(owner, cell, accounts) of the customers that own any, the same in both batches."""
     customer = table(spark, sf_dir, "customer")
-    held = spread_join(
+    return spread_join(
         owners(spark, sf_dir), [customer.select(F.col("c_custkey").alias("owner"))], ["owner"],
         how="inner", rows_per_slice=BUCKET_ROWS, keep_cell=True,
     ).groupBy("owner", CELL).agg(F.collect_set("account").alias("accounts"))
+
+
+def raw_customers(spark: SparkSession, sf_dir: str, batch: int = 1, held: DataFrame | None = None) -> DataFrame:
+    """One document per customer; customers with very many accounts have several.
+
+    ``held`` may be ``accounts_of_owners``, written once for both batches.
+    """
+    customer = table(spark, sf_dir, "customer")
+    held = accounts_of_owners(spark, sf_dir) if held is None else held
     docs = customer.join(held, customer.c_custkey == held.owner, "left")
 
     segment, balance, nation = F.col("c_mktsegment"), F.col("c_acctbal"), F.col("c_nationkey")
@@ -130,19 +139,29 @@ def _suppliers_as_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                      [v.alias(k) for k, v in fields.items()], _ts(SYNCED[2]))
 
 
-def raw_accounts(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
-    """One document per order; orders in status P have an older document as well."""
+_BITS = {product: 1 << n for n, product in enumerate(PRODUCT_OF_TYPE.values())}
+
+
+def products_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(l_orderkey, bits): an order's set of products as a number, which is aggregated without objects;
+    the same in both batches."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    bits = {product: 1 << n for n, product in enumerate(PRODUCT_OF_TYPE.values())}
-    bit = _pick(F.col("p_type"), {kind: str(bits[product]) for kind, product in PRODUCT_OF_TYPE.items()}).cast("int")
-    held = (  # a set of products is a number there, which is aggregated without objects
+    bit = _pick(F.col("p_type"), {kind: str(_BITS[product]) for kind, product in PRODUCT_OF_TYPE.items()}).cast("int")
+    return (
         table(spark, sf_dir, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select("l_orderkey", F.coalesce(bit, F.lit(0)).alias("bit"))
         .groupBy("l_orderkey").agg(F.bit_or("bit").alias("bits"))
-        .withColumn("products", F.array_compact(F.array(*[
-            F.when(F.col("bits").bitwiseAND(n) != 0, product) for product, n in bits.items()])))
     )
+
+
+def raw_accounts(spark: SparkSession, sf_dir: str, batch: int = 1, held: DataFrame | None = None) -> DataFrame:
+    """One document per order; orders in status P have an older document as well.
+
+    ``held`` may be ``products_of_orders``, written once for both batches.
+    """
+    held = (products_of_orders(spark, sf_dir) if held is None else held).withColumn("products", F.array_compact(F.array(*[
+        F.when(F.col("bits").bitwiseAND(n) != 0, product) for product, n in _BITS.items()])))
     orders = table(spark, sf_dir, "orders")
     docs = orders.join(held, orders.o_orderkey == held.l_orderkey, "left")
     limit = F.floor(F.col("o_totalprice") / 100)

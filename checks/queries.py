@@ -705,8 +705,9 @@ def _two_runs(spark, sf) -> TableStore:
     """Load what had arrived by the cut-off, then everything, with batch 2 of the snapshots."""
     store = TableStore(spark, shared_folder(spark))
     whole = _landed(spark, sf)
+    owned, products = staged(raw.accounts_of_owners(spark, sf)), staged(raw.products_of_orders(spark, sf))
     for batch, run_ts, buckets in [(1, RUN_1, _until(whole)), (2, RUN_2, whole)]:
-        found = {"customers": raw.raw_customers(spark, sf, batch), "accounts": raw.raw_accounts(spark, sf, batch)}
+        found = {"customers": raw.raw_customers(spark, sf, batch, owned), "accounts": raw.raw_accounts(spark, sf, batch, products)}
         run_pipeline(spark, store, found | {"transactions": buckets}, run_ts)
     return store
 

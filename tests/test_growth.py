@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import envelopes as raw
+from checks import queries
 from sparkmart.operators.dedup import drop_loaded
 from sparkmart.plans.processed import process_transactions
 
-
 def plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
@@ -41,6 +42,50 @@ def test_buckets_read_the_lines_once_and_keep_copies_of_orders(spark, tmp_path):
     assert [tuple(r) for r in got if r["_id"] != "T1-0"] == [("T2-0", "1", None, 1)]
 
 
+def test_two_runs_make_what_both_batches_share_once(spark, tmp_path, monkeypatch):
+    """Who owns which accounts and which products an order has do not depend on the batch."""
+    sf, day = str(tmp_path), datetime(1997, 1, 2)
+    for name, schema, rows in [
+            ("customer", "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+             [(0, "a", 1, 10.0, "BUILDING"), (1, "b", 2, 9000.0, "HOUSEHOLD"), (2, "c", 3, -5.0, "HOUSEHOLD"), (3, "d", 4, None, None)]),
+            ("supplier", "s_suppkey bigint, s_name string, s_nationkey int", [(2, "s", 1)]),
+            ("part", "p_partkey bigint, p_type string, p_brand string, p_retailprice double",
+             [(7, "PROMO", "B", 9.5), (8, "SMALL", "B", 9.5), (None, "LARGE", "B", 9.5)]),
+            ("orders", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+             " o_orderpriority string",
+             [(1, 0, "O", 500.0, day, "1-URGENT"), (1, 0, "O", 500.0, day, "1-URGENT"), (2, 1, "F", 700.0, day, "5-LOW"),
+              (3, 1, "P", None, day, "2-HIGH"), (4, None, "F", 1.0, None, "2-HIGH"), (5, 9, None, 1.0, day, None)]),
+            ("lineitem", "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double,"
+             " l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
+             [(k, p, 1, 1.0, 2.0, 0.1, "N", day) for k, p in [(1, 7), (1, 8), (1, 7), (2, 8), (3, None), (None, 7), (5, 6)]])]:
+        spark.createDataFrame(rows, schema).write.parquet(f"{sf}/{name}.parquet")
+    made = {"accounts_of_owners": 0, "products_of_orders": 0}
+
+    def counted(name, real):
+        def call(*args):
+            made[name] += 1
+            return real(*args)
+        return call
+
+    for name in made:
+        monkeypatch.setattr(raw, name, counted(name, getattr(raw, name)))
+    loads = []
+    monkeypatch.setattr(queries, "run_pipeline", lambda spark, store, found, run_ts: loads.append(found))
+    queries._two_runs(spark, sf)
+    assert made == {"accounts_of_owners": 1, "products_of_orders": 1} and len(loads) == 2
+    for batch, found in enumerate(loads, 1):
+        for name, make in [("customers", raw.raw_customers), ("accounts", raw.raw_accounts)]:
+            assert sorted(map(texts, found[name].collect())) == sorted(map(texts, make(spark, sf, batch).collect()))
+
+
+def texts(row) -> str:
+    """A document as text, its accounts in order: a set has none."""
+    data = json.loads(row["data"])
+    if "accounts" in data:
+        data["accounts"] = sorted(data["accounts"])
+    return str((row["_id"], data, row["_fivetran_synced"], row["_fivetran_deleted"]))
+
+
 @pytest.fixture()
 def no_broadcast(spark):
     """Joins as large tables have them."""
